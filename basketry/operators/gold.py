@@ -30,12 +30,19 @@ def product_metrics(silver: DataFrame) -> DataFrame:
 
 
 def country_metrics(silver: DataFrame) -> DataFrame:
-    """Per country: known customers, invoices (cancelled ones included), revenue."""
+    """Per country: known customers, invoices (cancelled ones included), revenue.
+
+    Two distinct counts multiply the rows they read, so the lines are first summed
+    to one row per invoice; exact sums make the order of summing irrelevant.
+    """
+    invoices = silver.groupBy("country", "invoice_no", "customer_id").agg(
+        F.sum("total_line_price").alias("invoice_total")
+    )
     known_customer = F.when(F.col("customer_id") != GUEST_ID, F.col("customer_id"))
-    return silver.groupBy("country").agg(
+    return invoices.groupBy("country").agg(
         F.count_distinct(known_customer).alias("total_registered_customers"),
         F.count_distinct("invoice_no").alias("total_invoices"),
-        money(F.sum("total_line_price")).alias("net_revenue"),
+        money(F.sum("invoice_total")).alias("net_revenue"),
     )
 
 

@@ -4,40 +4,44 @@ The results of a question are joined without a separator, in order, so digits at
 the end of one result fuse with digits at the start of the next.  A question may
 hold any share of all results; its text is therefore kept in parts of at most
 `width` results, and questions are asked of the parts so that the answer is that
-of the whole text.  A usual question has one part.
+of the whole text.  A usual question has one part; the functions below that look
+across parts are for the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from basketry.functions.text import numbers
+from basketry.functions.text import NUMBER, marks_failure
 
 PART_WIDTH = 65_536
 
-
-def _by_part() -> WindowSpec:
-    return Window.partitionBy("id").orderBy("part")
+_BY_PART = "PARTITION BY id ORDER BY part"
 
 
 def observation_parts(queries: DataFrame, width: int = PART_WIDTH) -> DataFrame:
-    """id, part, observation: the joined results, at most `width` of them per part.
+    """id, part, observation, is_whole, retries, queries.
 
-    Empty results add nothing and are left out, so every part but a question's
-    last has at least `width` characters.
+    `observation` joins at most `width` results.  Empty results add no text and
+    are not counted as results here, so every part but a question's last has at
+    least `width` characters.  `is_whole` marks the only part of a question.
     """
-    ordered = F.sort_array(F.collect_list(F.struct("query_no", "result")))
+    text = F.expr("CASE WHEN length(result) > 0 THEN struct(text_no, result) END")
     return (
-        queries.where(F.length("result") > 0)
-        .groupBy("id", F.expr(f"(query_no - 1) div {int(width)}").alias("part"))
-        .agg(F.array_join(F.transform(ordered, lambda row: row["result"]), "").alias("observation"))
+        queries.groupBy("id", F.expr(f"greatest(text_no - 1, 0) div {int(width)}").alias("part"))
+        .agg(
+            F.sort_array(F.collect_list(text)).alias("results"),
+            (F.max("texts") <= width).alias("is_whole"),
+            F.count_if(marks_failure(F.col("result"))).alias("retries"),
+            F.count(F.lit(1)).alias("queries"),
+        )
+        .selectExpr(
+            "id", "part", "array_join(results.result, '') AS observation", "is_whole", "retries",
+            "queries",
+        )
     )
 
 
-def _dots(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(".")))
-
-
 def _entry_state(parts: DataFrame) -> DataFrame:
     """Per part: `skip` leading dots that belong to no number, and whether the part
     starts `in_fraction`, that is, inside a number whose point came before.
@@ -46,146 +50,111 @@ def _entry_state(parts: DataFrame) -> DataFrame:
     the count of points since the last break (anything else, or two points in a
     row) to tell.  Only these counts pass through the window, not the texts.
     """
-    text = F.col("observation")
-    follows_digit = F.coalesce(F.lag("last").over(_by_part()).rlike("[0-9]"), F.lit(False))
-    from_break = r"(?s)^.*(?:[^0-9.]\.*|\.\.+)"
+    counted = parts.selectExpr(
+        "id",
+        "part",
+        "right(observation, 1) AS last",
+        r"length(regexp_extract(observation, r'^\.+', 0)) AS leading",
+        r"observation RLIKE r'[^0-9.]|\.\.' AS broken",
+        r"regexp_count(regexp_replace(observation, r'(?s)^.*(?:[^0-9.]\.*|\.\.+)', ''), r'\.')"
+        " AS dots_left",
+    )
     return (
-        parts.select(
-            "id",
-            "part",
-            F.substring(text, -1, 1).alias("last"),
-            F.length(F.regexp_extract(text, r"^\.+", 0)).alias("leading"),
-            text.rlike(r"[^0-9.]|\.\.").alias("broken"),
-            _dots(F.regexp_replace(text, from_break, "")).alias("open_dots"),
+        counted.selectExpr(
+            "*", f"IF(lag(last) OVER ({_BY_PART}) RLIKE '[0-9]', 0, leading) AS skip"
         )
-        .withColumn("skip", F.when(follows_digit, 0).otherwise(F.col("leading")))
-        .withColumns(
-            {
-                # Leading dots that are skipped count as a break before the part.
-                "open_dots": F.when(F.col("broken"), F.col("open_dots")).otherwise(
-                    F.col("open_dots") - F.col("skip")
-                ),
-                "reset": F.col("broken") | (F.col("skip") > 0),
-            }
+        # Leading dots that are skipped count as a break before the part.
+        .selectExpr(
+            "*",
+            "IF(broken, dots_left, dots_left - skip) AS open_dots",
+            "broken OR skip > 0 AS reset",
         )
-        .withColumn("dots", F.sum("open_dots").over(_by_part()))
-        .withColumn(
-            "since_break",
-            F.col("dots")
-            - F.coalesce(
-                F.max(F.when(F.col("reset"), F.col("dots") - F.col("open_dots"))).over(_by_part()),
-                F.lit(0),
-            ),
-        )
-        .select(
-            "id",
-            "part",
-            "skip",
-            (
-                (F.col("skip") == 0)
-                & (F.coalesce(F.lag("since_break").over(_by_part()), F.lit(0)) % 2 == 1)
-            ).alias("in_fraction"),
+        .selectExpr("*", f"sum(open_dots) OVER ({_BY_PART}) AS dots")
+        .selectExpr(
+            "*", f"dots - max(IF(reset, dots - open_dots, 0)) OVER ({_BY_PART}) AS dots_after"
         )
+        .selectExpr("*", f"lag(dots_after, 1, 0L) OVER ({_BY_PART}) AS dots_before")
+        .selectExpr("id", "part", "skip", "skip = 0 AND dots_before % 2 = 1 AS in_fraction")
     )
 
 
-def observed_numbers(parts: DataFrame) -> DataFrame:
+def numbers_across(parts: DataFrame) -> DataFrame:
     """id, values: all numbers of each question's whole text, in several rows per question.
 
     A number that crosses from part to part is put together from its pieces: the
     `tail` one part ends with and the `head` the next begins with.
     """
-    text = F.substr(F.col("observation"), F.col("skip") + 1)
     cut = (
-        parts.join(_entry_state(parts), ["id", "part"])
-        .withColumn("text", text)
-        .withColumn(
-            "head",
-            F.when(F.col("in_fraction"), F.regexp_extract("text", r"^[0-9]*", 0)).otherwise(
-                F.regexp_extract("text", r"^(?:[0-9]*\.)?[0-9]*", 0)
-            ),
-        )
-        .withColumn("rest", F.substr(F.col("text"), F.length("head") + 1))
-        # A lone minus may still become a number's sign in the next part.
-        .withColumn(
-            "pieces", F.regexp_extract_all("rest", F.lit(r"-?\d+\.?\d*|-"), F.lit(0))
-        )
-        .withColumn("final", F.coalesce(F.try_element_at("pieces", F.lit(-1)), F.lit("")))
-        .withColumn(
-            "tail", F.when(F.endswith("rest", "final"), F.col("final")).otherwise(F.lit(""))
-        )
-        .withColumn(
-            "inner",
-            F.filter(
-                F.when(
-                    F.col("tail") != "", F.slice("pieces", F.lit(1), F.size("pieces") - 1)
-                ).otherwise(F.col("pieces")),
-                lambda piece: piece != "-",
-            ).cast("array<double>"),
+        parts.select("id", "part", "observation")
+        .join(_entry_state(parts), ["id", "part"])
+        .selectExpr(
+            "id",
+            "part",
+            "skip",
+            "substr(observation, skip + 1) AS text",
+            "IF(in_fraction, regexp_extract(text, r'^[0-9]*', 0),"
+            r" regexp_extract(text, r'^(?:[0-9]*\.)?[0-9]*', 0)) AS head",
+            "substr(text, length(head) + 1) AS rest",
+            # A lone minus may still become a number's sign in the next part.
+            rf"regexp_extract_all(rest, r'{NUMBER}|-', 0) AS pieces",
+            "coalesce(try_element_at(pieces, -1), '') AS final",
+            "IF(endswith(rest, final), final, '') AS tail",
+            "filter(IF(tail = '', pieces, slice(pieces, 1, size(pieces) - 1)), p -> p <> '-')"
+            " AS inner",
         )
     )
-    inside = cut.select("id", F.col("inner").alias("values"))
-
-    earlier_parts = _by_part().rowsBetween(Window.unboundedPreceding, -1)
-    ends_before = (F.col("skip") > 0).cast("bigint")
-    ends_within = (F.col("rest") != "").cast("bigint")
+    inside = cut.selectExpr("id", "CAST(inner AS ARRAY<DOUBLE>) AS values")
     crossing = (
-        cut.select("id", "part", "head", "tail", ends_before.alias("a"), ends_within.alias("b"))
-        .withColumn(
-            "run",
-            F.coalesce(F.sum(F.col("a") + F.col("b")).over(earlier_parts), F.lit(0)) + F.col("a"),
+        cut.selectExpr(
+            "id", "part", "head", "tail", "int(skip > 0) AS ends_before", "int(rest <> '') AS ends_in"
+        )
+        .selectExpr(
+            "*",
+            f"coalesce(sum(ends_before + ends_in) OVER ({_BY_PART}"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + ends_before AS run",
         )
-        .select(
+        .selectExpr(
             "id",
-            F.inline(
-                F.array(
-                    F.struct("run", (F.col("part") * 2).alias("at"), F.col("head").alias("piece")),
-                    F.struct(
-                        (F.col("run") + F.col("b")).alias("run"),
-                        (F.col("part") * 2 + 1).alias("at"),
-                        F.col("tail").alias("piece"),
-                    ),
-                )
-            ),
+            "inline(array(struct(run, part * 2 AS at, head AS piece),"
+            " struct(run + ends_in AS run, part * 2 + 1 AS at, tail AS piece)))",
         )
-        .where(F.col("piece") != "")
+        .where("piece <> ''")
         .groupBy("id", "run")
         .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("ordered"))
-        .select(
+        .selectExpr(
             "id",
-            numbers(F.array_join(F.transform("ordered", lambda p: p["piece"]), "")).alias("values"),
+            f"CAST(regexp_extract_all(array_join(ordered.piece, ''), r'{NUMBER}', 0)"
+            " AS ARRAY<DOUBLE>) AS values",
         )
     )
     return inside.unionByName(crossing)
 
 
-def observed_mentions(parts: DataFrame, expected: DataFrame, width: int = PART_WIDTH) -> DataFrame:
+def mentions_across(parts: DataFrame, expected: DataFrame, width: int = PART_WIDTH) -> DataFrame:
     """id, mentioned: whether a question's whole text contains `expected_str`, ignoring case.
 
     Hits inside a part and hits across a seam are looked for separately; for the
     seam only the edges of the parts travel.
     """
-    wanted = expected.select("id", F.lower("expected_str").alias("wanted")).where(
-        F.col("wanted").isNotNull()
+    wanted = expected.where("expected_str IS NOT NULL").selectExpr(
+        "id", "lower(expected_str) AS wanted", "length(wanted) - 1 AS reach"
     )
-    reach = F.length("wanted") - 1
-    text = F.lower("observation")
-    rows = parts.join(wanted, "id").select(
-        "id",
-        "part",
-        "wanted",
-        F.contains(text, F.col("wanted")).alias("inside"),
-        F.when(
-            reach > width, F.raise_error(F.lit("expected text is longer than a part; widen it"))
+    return (
+        parts.join(wanted, "id")
+        .selectExpr(
+            "id",
+            "part",
+            "wanted",
+            "lower(observation) AS text",
+            "contains(text, wanted) AS inside",
+            "CASE WHEN reach < 1 THEN '' "
+            f"WHEN reach > {int(width)} THEN raise_error('expected text is longer than a part') "
+            "ELSE right(text, reach) END AS right_edge",
+            "IF(reach < 1, '', left(text, reach)) AS left_edge",
+        )
+        .selectExpr(
+            "id",
+            f"inside OR coalesce(contains(concat(lag(right_edge) OVER ({_BY_PART}), left_edge),"
+            " wanted), false) AS mentioned",
         )
-        .otherwise(F.when(reach > 0, F.right(text, reach)).otherwise(F.lit("")))
-        .alias("right_edge"),
-        F.when(reach > 0, F.left(text, reach)).otherwise(F.lit("")).alias("left_edge"),
-    )
-    seam = F.concat(F.lag("right_edge").over(_by_part()), F.col("left_edge"))
-    return rows.select(
-        "id",
-        (F.col("inside") | F.coalesce(F.contains(seam, F.col("wanted")), F.lit(False))).alias(
-            "mentioned"
-        ),
     )

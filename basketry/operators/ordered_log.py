@@ -4,61 +4,66 @@ A window over a whole key would put all its rows into one task.  Here the key's
 rows are cut into slices of consecutive sequence numbers; the heavy window runs
 per (key, slice), and only one summary row per slice meets in a second window.
 `seq` must be unique within a key, so a slice never holds more than `width` rows.
+Steps on the same slices share one shuffle of the log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-SLICE_WIDTH = 65_536
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame, functions as F
 
-def _sliced(log: DataFrame, seq: str, width: int) -> DataFrame:
-    return log.withColumn("_slice", F.expr(f"`{seq}` div {int(width)}"))
+SLICE_WIDTH = 65_536
 
 
-def _same_slice(key: str) -> Column:
-    return F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_to"))
+def sliced(log: DataFrame, key: str, seq: str, width: int = SLICE_WIDTH) -> DataFrame:
+    """Add `slice`; rows without a key belong to no order and are left out."""
+    return log.where(F.col(key).isNotNull()).withColumn(
+        "slice", F.expr(f"`{seq}` div {int(width)}")
+    )
 
 
-def with_previous(
-    log: DataFrame, key: str, seq: str, columns: list[str], width: int = SLICE_WIDTH
-) -> DataFrame:
+def with_previous(log: DataFrame, key: str, seq: str, columns: list[str]) -> DataFrame:
     """Add `previous`, a struct of `columns` from the row before; NULL on a key's first row."""
-    in_slice = Window.partitionBy(key, "_slice").orderBy(seq)
-    across_slices = Window.partitionBy(key).orderBy("_slice")
-    near = _sliced(log, seq, width).withColumns(
-        {
-            "_near": F.lag(F.struct(*columns)).over(in_slice),
-            "_last": F.lead(F.lit(True)).over(in_slice).isNull(),
-        }
+    row = f"struct({', '.join(columns)})"
+    in_slice = f"PARTITION BY {key}, slice ORDER BY {seq}"
+    near = log.selectExpr(
+        "*",
+        f"lag({row}) OVER ({in_slice}) AS near",
+        f"lead(true) OVER ({in_slice}) IS NULL AS closes_slice",
     )
-    carried = near.where("_last").select(
-        F.col(key).alias("_key"),
-        F.col("_slice").alias("_to"),
-        F.lag(F.struct(*columns)).over(across_slices).alias("_carried"),
+    carried = near.where("closes_slice").selectExpr(
+        key, "slice", f"lag({row}) OVER (PARTITION BY {key} ORDER BY slice) AS carried"
     )
-    return near.join(carried, _same_slice(key), "left").select(
-        *log.columns, F.coalesce("_near", "_carried").alias("previous")
+    return near.join(carried, [key, "slice"], "left").selectExpr(
+        *log.columns, "coalesce(near, carried) AS previous"
     )
 
 
-def with_position(
-    log: DataFrame, key: str, seq: str, name: str, width: int = SLICE_WIDTH
-) -> DataFrame:
-    """Add the 1-based position of each row within its key."""
-    in_slice = Window.partitionBy(key, "_slice").orderBy(seq)
-    earlier_slices = Window.partitionBy("_key").orderBy("_to").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    sliced = _sliced(log, seq, width)
+def with_positions(log: DataFrame, key: str, seq: str, counters: Mapping[str, str]) -> DataFrame:
+    """Number each key's rows from 1: per counter the rows so far that meet its condition.
+
+    Also adds `<counter>_total`, the count over the whole key.
+    """
+    flags = {name: f"bigint({condition})" for name, condition in counters.items()}
+    in_slice = f"PARTITION BY {key}, slice ORDER BY {seq} ROWS UNBOUNDED PRECEDING"
+    before = f"PARTITION BY {key} ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    counts = [F.expr(f"sum({flag})").alias(f"{name}_rows") for name, flag in flags.items()]
     offsets = (
-        sliced.groupBy(F.col(key).alias("_key"), F.col("_slice").alias("_to"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier_slices), F.lit(0)))
+        log.groupBy(key, "slice")
+        .agg(*counts)
+        .selectExpr(
+            key,
+            "slice",
+            *[f"coalesce(sum({n}_rows) OVER ({before}), 0) AS {n}_before" for n in flags],
+            *[f"sum({n}_rows) OVER (PARTITION BY {key}) AS {n}_total" for n in flags],
+        )
+    )
+    numbered = log.selectExpr(
+        "*", *[f"sum({flag}) OVER ({in_slice}) AS {name}_here" for name, flag in flags.items()]
     )
-    return (
-        sliced.withColumn("_rank", F.row_number().over(in_slice))
-        .join(offsets, _same_slice(key))
-        .select(*log.columns, (F.col("_offset") + F.col("_rank")).alias(name))
+    return numbered.join(offsets, [key, "slice"]).selectExpr(
+        *log.columns,
+        *[f"{n}_before + {n}_here AS {n}" for n in flags],
+        *[f"{n}_total" for n in flags],
     )

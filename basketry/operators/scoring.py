@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.cells import money
 from basketry.functions.text import any_near, mentions, numbers
-from basketry.operators import tool_log
 from basketry.operators.observation import (
     PART_WIDTH,
+    mentions_across,
+    numbers_across,
     observation_parts,
-    observed_mentions,
-    observed_numbers,
 )
 from basketry.operators.usage import token_totals, with_cost
 
@@ -56,58 +55,62 @@ def expected_value(preview: Column) -> dict[str, Column]:
     }
 
 
-def verified(
+def _observed(parts: DataFrame, asked: DataFrame, width: int) -> DataFrame:
+    """id, observed, retries: whether the results state what is expected, per question."""
+    num, text = F.col("expected_num"), F.col("observation")
+    hit = any_near(numbers(text), num, TOLERANCE) | mentions(text, F.col("expected_str"))
+    whole = parts.where("is_whole").join(asked, "id").select("id", hit.alias("hit"), "retries")
+    # Questions of several parts: counts add up, texts are looked at across parts.
+    split = parts.where("NOT is_whole")
+    near = numbers_across(split).join(asked.where("expected_num IS NOT NULL"), "id")
+    across = near.select("id", any_near(F.col("values"), num, TOLERANCE).alias("hit")).unionAll(
+        mentions_across(split, asked, width)
+    )
+    split_rows = across.withColumn("retries", F.lit(0).cast("bigint")).unionAll(
+        split.select("id", F.lit(False).alias("hit"), "retries")
+    )
+    return (
+        whole.unionAll(split_rows)
+        .groupBy("id")
+        .agg(F.bool_or("hit").alias("observed"), F.sum("retries").alias("retries"))
+    )
+
+
+def scored_questions(
     golden: DataFrame, runs: DataFrame, queries: DataFrame, width: int = PART_WIDTH
 ) -> DataFrame:
-    """id, is_correct: whether the results or the final text state the expected value."""
-    asked = golden.where("has_expected").select("id", "expected_num", "expected_str")
-    parts = observation_parts(queries, width)
-    near = (
-        observed_numbers(parts)
-        .join(asked.where(F.col("expected_num").isNotNull()), "id")
-        .select("id", any_near(F.col("values"), F.col("expected_num"), TOLERANCE).alias("hit"))
-    )
-    mentioned = observed_mentions(parts, asked, width).withColumnRenamed("mentioned", "hit")
-    observed = near.unionByName(mentioned).groupBy("id").agg(F.bool_or("hit").alias("observed"))
+    """One row per golden question: success, correctness, latency, retries.
 
+    A question without a logged run counts as failed; a failed one is not
+    correct and adds no latency and no retries.
+    """
+    asked = golden.select("id", "has_expected", "expected_num", "expected_str")
+    observed = _observed(observation_parts(queries, width), asked, width)
     answer = F.coalesce("final_output", F.lit(""))
     stated = any_near(numbers(answer), F.col("expected_num"), TOLERANCE) | mentions(
         answer, F.col("expected_str")
     )
-    answered = runs.where(~F.col("failed")).select("id", "final_output")
+    correct = F.col("has_expected") & (stated | F.coalesce("observed", F.lit(False)))
+    successful = F.col("successful")
     return (
-        golden.select("id", "has_expected", "expected_num", "expected_str")
-        .join(answered.withColumn("answered", F.lit(True)), "id", "left")
+        asked.join(runs.select("id", "failed", "latency_sec", "final_output"), "id", "left")
         .join(observed, "id", "left")
+        .withColumn("successful", ~F.coalesce("failed", F.lit(True)))
         .select(
             "id",
-            (
-                F.coalesce("answered", F.lit(False))
-                & F.col("has_expected")
-                & (stated | F.coalesce("observed", F.lit(False)))
-            ).alias("is_correct"),
+            "successful",
+            (successful & correct).alias("is_correct"),
+            F.when(successful, F.col("latency_sec")).alias("latency_sec"),
+            F.when(successful, F.coalesce("retries", F.lit(0))).otherwise(0).alias("retries"),
         )
     )
 
 
-def scored_questions(
+def verified(
     golden: DataFrame, runs: DataFrame, queries: DataFrame, width: int = PART_WIDTH
 ) -> DataFrame:
-    """One row per golden question: success, correctness, latency, retries."""
-    failed = F.coalesce("failed", F.lit(True))  # no run logged counts as a failed one
-    return (
-        golden.select("id")
-        .join(runs.select("id", "failed", "latency_sec"), "id", "left")
-        .join(verified(golden, runs, queries, width), "id", "left")
-        .join(tool_log.retries(queries).select("id", "retries"), "id", "left")
-        .select(
-            "id",
-            (~failed).alias("successful"),
-            "is_correct",
-            F.when(~failed, F.col("latency_sec")).alias("latency_sec"),
-            F.when(~failed, F.coalesce("retries", F.lit(0))).otherwise(0).alias("retries"),
-        )
-    )
+    """id, is_correct: whether the results or the final text state the expected value."""
+    return scored_questions(golden, runs, queries, width).select("id", "is_correct")
 
 
 def run_metrics(

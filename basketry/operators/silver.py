@@ -7,23 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.cells import timestamp_or_null, whole_number
+from basketry.functions.cells import ISO_FORMAT, timestamp_or_null, whole_number
 from basketry.schema import COLUMN_NAMES, GUEST_ID, SILVER_COLUMNS
 
-DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
+DATE_FORMAT = ISO_FORMAT
 PRICE_SCALE = 4
 
 
 def typed(raw: DataFrame, price_scale: int = PRICE_SCALE) -> DataFrame:
     """Rename the raw columns and cast the numeric ones."""
+    customer = F.coalesce(whole_number("customer_id", "BIGINT"), F.lit(GUEST_ID).cast("bigint"))
     return raw.withColumnsRenamed(COLUMN_NAMES).withColumns(
         {
-            "quantity": whole_number(F.col("quantity"), "int"),
+            "quantity": whole_number("quantity", "INT"),
             # Decimal prices make every later sum exact and order-independent.
             "unit_price": F.col("unit_price").cast(f"decimal(18,{price_scale})"),
-            "customer_id": F.coalesce(
-                whole_number(F.col("customer_id"), "bigint"), F.lit(GUEST_ID).cast("bigint")
-            ),
+            "customer_id": customer,
         }
     )
 

@@ -5,31 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.text import marks_failure
-from basketry.operators.ordered_log import SLICE_WIDTH, with_position, with_previous
+from basketry.operators.ordered_log import SLICE_WIDTH, sliced, with_positions, with_previous
 
 # Fixed value: the tool whose calls are logged.
 QUERY_TOOL = "sql_db_query"
 
 
 def query_log(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
-    """One row per executed query: id, query_no, seq, query, result.
+    """One row per executed query: id, query_no, seq, query, result, text_no, texts.
 
     `events` has id, seq, kind ('tool_start' / 'tool_end'), tool, payload.  An
     end belongs to the start right before it: a second start replaces an open
     one, and an end clears it, so later ends without a start log nothing.
+    `text_no` counts the question's results so far that are not empty, `texts`
+    all of them.
     """
-    steps = events.where(F.col("kind").isin("tool_start", "tool_end"))
+    steps = events.where("kind IN ('tool_start', 'tool_end')").select(
+        "id", "seq", "kind", "tool", "payload"
+    )
     paired = (
-        with_previous(steps, "id", "seq", ["kind", "tool", "payload"], width)
+        with_previous(sliced(steps, "id", "seq", width), "id", "seq", ["kind", "tool", "payload"])
         .where(
-            (F.col("kind") == "tool_end")
-            & (F.col("previous.kind") == "tool_start")
-            & (F.col("previous.tool") == QUERY_TOOL)
+            "kind = 'tool_end' AND previous.kind = 'tool_start' "
+            f"AND previous.tool = '{QUERY_TOOL}'"
         )
-        .select("id", "seq", F.col("previous.payload").alias("query"), F.col("payload").alias("result"))
+        .selectExpr("id", "slice", "seq", "previous.payload AS query", "payload AS result")
     )
-    return with_position(paired, "id", "seq", "query_no", width).select(
-        "id", "query_no", "seq", "query", "result"
+    counters = {"query_no": "true", "text_no": "coalesce(length(result), 0) > 0"}
+    return with_positions(paired, "id", "seq", counters).select(
+        "id", "query_no", "seq", "query", "result", "text_no", F.col("text_no_total").alias("texts")
     )
 
 

@@ -6,79 +6,72 @@ from one row of the given tables, so all of it grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import gold, silver
-from basketry.schema import RAW_COLUMNS
 from basketry.sources.golden import normalise_golden
 from basketry.sources.raw_csv import normalise
+from basketry.sources.tables import spread
+
+# Columns read from each table; a given schema saves the job that infers it.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "events": "event_id bigint, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+# Raw column -> its text, with missing-value tokens where a value is absent.
+_RAW_TEXT = {
+    "Invoice": """concat(
+        CASE WHEN l_returnflag <> 'R' THEN '' WHEN l_orderkey % 10 = 0 THEN 'c' ELSE 'C' END,
+        l_orderkey)""",
+    "StockCode": "string(l_partkey)",
+    "Description": """CASE
+        WHEN l_partkey % 100 = 0 THEN 'NA' WHEN l_partkey % 50 = 0 THEN '' ELSE p_name END""",
+    "Quantity": """CASE
+        WHEN (l_orderkey + l_linenumber) % 97 = 0 THEN '0'
+        WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN 'n/a'
+        WHEN l_returnflag = 'R' OR (l_returnflag = 'A' AND l_orderkey % 17 = 0)
+          THEN string(int(-l_quantity))
+        ELSE string(int(l_quantity)) END""",
+    "InvoiceDate": """CASE
+        WHEN l_orderkey % 89 = 0 THEN 'not a date'
+        ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END""",
+    "Price": """CASE
+        WHEN l_partkey % 83 = 0 THEN '0'
+        WHEN l_partkey % 79 = 0 THEN 'NaN'
+        WHEN l_partkey % 71 = 0 THEN '-1'
+        ELSE string(CAST(p_retailprice AS DECIMAL(18,4))) END""",
+    "Customer ID": """CASE
+        WHEN o_custkey % 4 = 0 THEN ''
+        WHEN o_custkey % 4 = 1 THEN concat(o_custkey, '.0')
+        ELSE string(o_custkey) END""",
+    "Country": "CASE WHEN l_orderkey % 13 = 0 THEN 'NATION_0' ELSE n_name END",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _first_of(*cases: tuple[Column, Column | str], otherwise: Column) -> Column:
-    (condition, value), *rest = cases
-    column = F.when(condition, value)
-    for condition, value in rest:
-        column = column.when(condition, value)
-    return column.otherwise(otherwise)
+def _keyed(spark: SparkSession, sf_dir: str, name: str, **renamed: str) -> DataFrame:
+    return table(spark, sf_dir, name).withColumnsRenamed(renamed)
 
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail lines as a raw file holds them: eight text columns, tokens for gaps."""
-    order, line, part, quantity = (
-        F.col("l_orderkey"),
-        F.col("l_linenumber"),
-        F.col("l_partkey"),
-        F.col("l_quantity"),
-    )
-    returned = F.col("l_returnflag") == "R"
-    columns = {
-        "Invoice": F.concat(
-            _first_of(
-                (returned & (order % 10 == 0), "c"), (returned, "C"), otherwise=F.lit("")
-            ),
-            order.cast("string"),
-        ),
-        "StockCode": part.cast("string"),
-        "Description": _first_of(
-            (part % 100 == 0, "NA"), (part % 50 == 0, ""), otherwise=F.col("p_name")
-        ),
-        "Quantity": _first_of(
-            ((order + line) % 97 == 0, "0"),
-            ((order + line) % 101 == 0, "n/a"),
-            (returned, (-quantity).cast("int").cast("string")),
-            (
-                (F.col("l_returnflag") == "A") & (order % 17 == 0),
-                (-quantity).cast("int").cast("string"),
-            ),
-            otherwise=quantity.cast("int").cast("string"),
-        ),
-        "InvoiceDate": F.when(order % 89 == 0, "not a date").otherwise(
-            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-        ),
-        "Price": _first_of(
-            (part % 83 == 0, "0"),
-            (part % 79 == 0, "NaN"),
-            (part % 71 == 0, "-1"),
-            otherwise=F.col("p_retailprice").cast("decimal(18,4)").cast("string"),
-        ),
-        "Customer ID": _first_of(
-            (F.col("o_custkey") % 4 == 0, ""),
-            (F.col("o_custkey") % 4 == 1, F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))),
-            otherwise=F.col("o_custkey").cast("string"),
-        ),
-        "Country": F.when(order % 13 == 0, "NATION_0").otherwise(F.col("n_name")),
-    }
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select([columns[name].alias(name) for name in RAW_COLUMNS])
+        spread(table(spark, sf_dir, "lineitem"))
+        .join(_keyed(spark, sf_dir, "orders", o_orderkey="l_orderkey"), "l_orderkey")
+        .join(_keyed(spark, sf_dir, "customer", c_custkey="o_custkey"), "o_custkey")
+        .join(_keyed(spark, sf_dir, "nation", n_nationkey="c_nationkey"), "c_nationkey")
+        .join(_keyed(spark, sf_dir, "part", p_partkey="l_partkey"), "l_partkey")
+        .selectExpr(*[f"{text} AS `{name}`" for name, text in _RAW_TEXT.items()])
     )
 
 
@@ -96,52 +89,43 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool events per question: id, seq, kind, tool, payload."""
-    kind = F.col("event_type")
-    amount = F.col("value").cast("decimal(18,2)").cast("string")
-    number = F.col("event_id").cast("string")
     return (
         table(spark, sf_dir, "events")
-        .where(kind.isin("click", "view", "purchase", "error"))
-        .select(
-            F.col("user_id").alias("id"),
-            F.col("event_id").alias("seq"),
-            F.when(kind.isin("click", "view"), "tool_start").otherwise("tool_end").alias("kind"),
-            F.when(kind == "click", "sql_db_query").when(kind == "view", "sql_db_schema").alias("tool"),
-            _first_of(
-                (kind == "click", F.concat(F.lit("SELECT "), number)),
-                (kind == "view", "gold_fact_sales"),
-                (
-                    (kind == "error") & (F.col("event_id") % 3 == 0),
-                    F.concat(F.lit("BLOCKED: "), number),
-                ),
-                (kind == "error", F.concat(F.lit("Error: "), amount)),
-                (F.col("event_id") % 2 == 0, F.concat(F.lit("[("), amount, F.lit(",)]"))),
-                otherwise=amount,
-            ).alias("payload"),
+        .where("event_type IN ('click', 'view', 'purchase', 'error')")
+        .selectExpr(
+            "user_id AS id",
+            "event_id AS seq",
+            "IF(event_type IN ('click', 'view'), 'tool_start', 'tool_end') AS kind",
+            "CASE event_type WHEN 'click' THEN 'sql_db_query' "
+            "WHEN 'view' THEN 'sql_db_schema' END AS tool",
+            """CASE
+                WHEN event_type = 'click' THEN concat('SELECT ', event_id)
+                WHEN event_type = 'view' THEN 'gold_fact_sales'
+                WHEN event_type = 'error' AND event_id % 3 = 0 THEN concat('BLOCKED: ', event_id)
+                WHEN event_type = 'error' THEN concat('Error: ', CAST(value AS DECIMAL(18,2)))
+                WHEN event_id % 2 = 0 THEN concat('[(', CAST(value AS DECIMAL(18,2)), ',)]')
+                ELSE string(CAST(value AS DECIMAL(18,2))) END AS payload""",
         )
     )
 
 
 def llm_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model calls with their usage in one of two layouts, or in neither."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    call = F.col("event_id")
-
-    def usage(first: str, second: str) -> Column:
-        return F.struct(
-            k.alias(first), (k % 7).alias(second), (k + k % 7).alias("total_tokens")
-        )
-
     return (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "signup")
-        .select(
-            call.alias("call_id"),
-            F.col("user_id").alias("id"),
-            F.when(call % 3 != 0, usage("input_tokens", "output_tokens")).alias("usage_metadata"),
-            F.when(
-                (call % 3 == 0) & (call % 15 != 0), usage("prompt_tokens", "completion_tokens")
-            ).alias("token_usage"),
+        .where("event_type = 'signup'")
+        .selectExpr(
+            "event_id AS call_id", "user_id AS id", "bigint(get_json_object(props, '$.k')) AS k"
+        )
+        .selectExpr(
+            "call_id",
+            "id",
+            """CASE WHEN call_id % 3 <> 0 THEN named_struct(
+                'input_tokens', k, 'output_tokens', k % 7, 'total_tokens', k + k % 7)
+               END AS usage_metadata""",
+            """CASE WHEN call_id % 3 = 0 AND call_id % 15 <> 0 THEN named_struct(
+                'prompt_tokens', k, 'completion_tokens', k % 7, 'total_tokens', k + k % 7)
+               END AS token_usage""",
         )
     )
 
@@ -150,53 +134,39 @@ def _order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the value of their orders, NULL for customers without any."""
     ordered = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("id"))
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("order_value"))
-    )
-    return (
-        table(spark, sf_dir, "customer")
-        .select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
-        .join(ordered, "id", "left")
+        .selectExpr("o_custkey AS id", "CAST(o_totalprice AS DECIMAL(18,2)) AS order_value")
+        .groupBy("id")
+        .agg({"order_value": "sum"})
+        .withColumnRenamed("sum(order_value)", "order_value")
     )
+    return _keyed(spark, sf_dir, "customer", c_custkey="id").join(ordered, "id", "left")
 
 
 def golden_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One golden question per customer: id, position, question, result_preview (JSON)."""
     best_sales = (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
-        .groupBy(F.col("user_id").alias("id"))
-        .agg(F.max(F.col("value").cast("decimal(18,2)")).alias("best_sale"))
+        .where("event_type = 'purchase'")
+        .selectExpr("user_id AS id", "CAST(value AS DECIMAL(18,2)) AS best_sale")
+        .groupBy("id")
+        .agg({"best_sale": "max"})
+        .withColumnRenamed("max(best_sale)", "best_sale")
     )
-    one = F.col("id")
-
-    def preview(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f'[{{"{name}": '), value, F.lit(', "rows": 7}]'))
-
     return (
         _order_values(spark, sf_dir)
         .join(best_sales, "id", "left")
-        .select(
-            one,
-            one.alias("position"),
-            F.concat(F.lit("What is the order value of "), "c_name", F.lit("?")).alias("question"),
-            _first_of(
-                (one % 7 == 6, "[]"),
-                (one % 11 == 10, "[{}]"),
-                (
-                    one % 3 == 0,
-                    preview("segment", F.concat(F.lit('"'), "c_mktsegment", F.lit('"'))),
-                ),
-                (
-                    (one % 2 == 1) & F.col("best_sale").isNotNull(),
-                    preview("best_sale", F.col("best_sale").cast("string")),
-                ),
-                (
-                    F.col("order_value").isNotNull(),
-                    preview("order_value", F.col("order_value").cast("string")),
-                ),
-                otherwise=preview("order_value", F.lit("null")),
-            ).alias("result_preview"),
+        .selectExpr(
+            "id",
+            "id AS position",
+            "concat('What is the order value of ', c_name, '?') AS question",
+            """CASE
+                WHEN id % 7 = 6 THEN '[]'
+                WHEN id % 11 = 10 THEN '[{}]'
+                WHEN id % 3 = 0 THEN concat('[{"segment": "', c_mktsegment, '", "rows": 7}]')
+                WHEN id % 2 = 1 AND best_sale IS NOT NULL
+                  THEN concat('[{"best_sale": ', best_sale, ', "rows": 7}]')
+                ELSE concat('[{"order_value": ', coalesce(string(order_value), 'null'),
+                            ', "rows": 7}]') END AS result_preview""",
         )
     )
 
@@ -207,36 +177,25 @@ def golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One logged run per golden question, but for every 29th."""
-    one, value = F.col("id"), F.col("order_value")
-    whole = value.cast("bigint")
-
-    def said(amount: Column) -> Column:
-        return F.concat(F.lit("The total is "), amount.cast("string"), F.lit("."))
-
-    with_separator = F.concat(
-        F.floor(whole / 1000).cast("string"),
-        F.lit(","),
-        F.lpad((whole % 1000).cast("string"), 3, "0"),
-        F.lit("."),
-        F.right(value.cast("string"), F.lit(2)),
-    )
-    answer = _first_of(
-        (one % 5 == 4, F.concat(F.lit("Mostly the "), F.lower("c_mktsegment"), F.lit(" segment"))),
-        (value.isNull(), "none found"),
-        (one % 5 == 0, said(value)),
-        (one % 5 == 1, said(value + F.lit("0.005").cast("decimal(4,3)"))),
-        (one % 5 == 2, said(value + F.lit("0.02").cast("decimal(3,2)"))),
-        otherwise=said(with_separator),
-    )
-    failed = one % 13 == 12
     return (
         _order_values(spark, sf_dir)
-        .where(one % 29 != 28)
-        .select(
-            one,
-            F.when(~failed, answer).alias("final_output"),
-            (F.lit(0.25) + (one % 400) / 100).alias("latency_sec"),
-            failed.alias("failed"),
-            F.when(failed, "timeout").alias("error"),
+        .where("id % 29 <> 28")
+        .selectExpr(
+            "id",
+            """CASE
+                WHEN id % 13 = 12 THEN NULL
+                WHEN id % 5 = 4 THEN concat('Mostly the ', lower(c_mktsegment), ' segment')
+                WHEN order_value IS NULL THEN 'none found'
+                ELSE concat('The total is ', CASE id % 5
+                  WHEN 0 THEN string(order_value)
+                  WHEN 1 THEN string(order_value + CAST('0.005' AS DECIMAL(4,3)))
+                  WHEN 2 THEN string(order_value + CAST('0.02' AS DECIMAL(3,2)))
+                  ELSE concat(bigint(order_value) div 1000, ',',
+                              lpad(string(bigint(order_value) % 1000), 3, '0'), '.',
+                              right(string(order_value), 2)) END, '.')
+               END AS final_output""",
+            "0.25D + (id % 400) / 100D AS latency_sec",
+            "id % 13 = 12 AS failed",
+            "CASE WHEN id % 13 = 12 THEN 'timeout' END AS error",
         )
     )

@@ -44,4 +44,4 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool | None = None) ->
 
 def normalise(raw: DataFrame) -> DataFrame:
     """The eight raw columns with every missing-value token turned into NULL."""
-    return raw.select([missing_to_null(F.col(name)).alias(name) for name in RAW_COLUMNS])
+    return raw.selectExpr([f"{missing_to_null(name)} AS `{name}`" for name in RAW_COLUMNS])

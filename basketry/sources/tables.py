@@ -7,6 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out an input that arrives in fewer splits than there are task slots.
+
+    One small file is one task, however many cores wait.  Inputs with enough
+    splits, which is any large one, pass through without a shuffle.
+    """
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(slots) if rows.rdd.getNumPartitions() < slots else rows
+
+
 @dataclass(frozen=True)
 class Lake:
     """Parquet tables of one database."""

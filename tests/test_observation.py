@@ -5,20 +5,21 @@ import re
 
 import pytest
 
-from basketry.operators.observation import observation_parts, observed_mentions, observed_numbers
-from basketry.operators.ordered_log import with_position, with_previous
+from basketry.operators.observation import observation_parts, mentions_across, numbers_across
+from basketry.operators.ordered_log import sliced, with_positions, with_previous
+from basketry.operators.tool_log import query_log
 
-SCHEMA = "id bigint, query_no bigint, query string, result string"
+EVENTS = "id bigint, seq bigint, kind string, tool string, payload string"
 
 
 def as_log(spark, questions):
-    rows = [
-        (i, n + 1, "q", result)
-        for i, results in enumerate(questions)
-        for n, result in enumerate(results)
-    ]
+    rows = []
+    for i, results in enumerate(questions):
+        for n, result in enumerate(results):
+            rows.append((i, 2 * n, "tool_start", "sql_db_query", "q"))
+            rows.append((i, 2 * n + 1, "tool_end", None, result))
     random.Random(1).shuffle(rows)
-    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return query_log(spark.createDataFrame(rows, EVENTS).repartition(3), 5)
 
 
 def random_questions(seed, alphabet, count=400):
@@ -35,7 +36,7 @@ def test_numbers_of_the_whole_text(spark, width, alphabet):
     questions = random_questions(alphabet, alphabet)
     parts = observation_parts(as_log(spark, questions), width)
     found = {i: [] for i in range(len(questions))}
-    for row in observed_numbers(parts).collect():
+    for row in numbers_across(parts).collect():
         found[row["id"]] += row["values"]
     for i, results in enumerate(questions):
         expected = [float(x) for x in re.findall(r"-?\d+\.?\d*", "".join(results))]
@@ -50,7 +51,7 @@ def test_mentions_in_the_whole_text(spark, width):
     parts = observation_parts(as_log(spark, questions), width)
     expected = spark.createDataFrame(list(enumerate(wanted)), "id bigint, expected_str string")
     hits = {}
-    for row in observed_mentions(parts, expected, width).collect():
+    for row in mentions_across(parts, expected, width).collect():
         hits[row["id"]] = hits.get(row["id"], False) or row["mentioned"]
     for i, results in enumerate(questions):
         text = "".join(results)
@@ -59,26 +60,28 @@ def test_mentions_in_the_whole_text(spark, width):
 
 def test_parts_hold_the_text_in_order(spark):
     questions = [["a", "", "b", "c", "d", "e"], [""], []]
-    parts = observation_parts(as_log(spark, questions), 2).collect()
-    texts = [r["observation"] for r in sorted(parts, key=lambda r: r["part"]) if r["id"] == 0]
-    assert "".join(texts) == "abcde"
-    assert {r["id"] for r in parts} == {0}
+    parts = observation_parts(as_log(spark, questions), 2).orderBy("id", "part").collect()
+    assert [r["observation"] for r in parts] == ["ab", "cd", "e", ""]
+    assert [r["queries"] for r in parts] == [3, 2, 1, 1]
+    assert [r["is_whole"] for r in parts] == [False] * 3 + [True]
 
 
 @pytest.mark.parametrize("width", [1, 2, 7, 1000])
 def test_previous_and_position_do_not_depend_on_slices(spark, width):
     rng = random.Random(width)
-    rows = [(k, s, f"{k}/{s}") for k in (None, 1, 2, 3) for s in rng.sample(range(60), 25)]
-    log = spark.createDataFrame(rows, "k bigint, s bigint, v string").repartition(4)
-    ordered = {}
-    for k, s, v in sorted(rows, key=lambda r: (r[0] or 0, r[1])):
-        ordered.setdefault(k, []).append((s, v))
-    previous = {(r["k"], r["s"]): r["previous"] for r in with_previous(log, "k", "s", ["v"], width).collect()}
-    position = {(r["k"], r["s"]): r["n"] for r in with_position(log, "k", "s", "n", width).collect()}
-    assert len(previous) == len(position) == len(rows)
-    for k, steps in ordered.items():
-        before = None
-        for n, (s, v) in enumerate(steps, 1):
-            assert position[k, s] == n
-            assert (previous[k, s] and previous[k, s]["v"]) == before
-            before = v
+    rows = [(k, s, f"{k}/{s}") for k in (1, 2, 3) for s in rng.sample(range(60), 25)]
+    log = spark.createDataFrame([*rows, (None, 1, "x")], "k bigint, s bigint, v string")
+    cut = sliced(log.repartition(4), "k", "s", width)
+    counters = {"n": "true", "even": "s % 2 = 0"}
+    before = {(r["k"], r["s"]): r["previous"] for r in with_previous(cut, "k", "s", ["v"]).collect()}
+    counted = {(r["k"], r["s"]): r for r in with_positions(cut, "k", "s", counters).collect()}
+    assert len(before) == len(counted) == len(rows)
+    for key in (1, 2, 3):
+        steps = sorted((s, v) for k, s, v in rows if k == key)
+        evens = [s for s, _ in steps if s % 2 == 0]
+        for n, (s, _) in enumerate(steps):
+            row = counted[key, s]
+            assert (row["n"], row["n_total"]) == (n + 1, 25)
+            assert (row["even"], row["even_total"]) == (sum(e <= s for e in evens), len(evens))
+            previous = before[key, s]
+            assert (previous and previous["v"]) == (steps[n - 1][1] if n else None)

@@ -12,7 +12,8 @@ from basketry.sources.tables import Lake, write_report
 
 EVENTS = "id bigint, seq bigint, kind string, tool string, payload string"
 RUNS = "id bigint, final_output string, latency_sec double, failed boolean, error string"
-QUERIES = "id bigint, query_no bigint, seq bigint, query string, result string"
+QUERIES = """id bigint, query_no bigint, seq bigint, query string, result string,
+  text_no bigint, texts bigint"""
 GOLDEN = "id bigint, position bigint, question string, result_preview string"
 CALLS = """call_id bigint, id bigint,
   usage_metadata struct<input_tokens: bigint, output_tokens: bigint, total_tokens: bigint>,
@@ -135,7 +136,9 @@ CHECKS = [
     ('[{"v": 2.5}]', ["1", "2.5"], "no idea", False),
     ('[{"v": 1234.5}]', [], "1,234.5", False),
     ('[{"v": "Foo"}]', [], "the FOO bar", True),
-    ('[{"v": "Foo"}]', ["a f", "oo"], "", True),
+    ('[{"v": "Foo"}]', ["a f", "o", "o"], "", True),
+    ('[{"v": 123.5}]', ["1", "2", "3.", "5 apples"], "no idea", True),
+    ('[{"v": 5}]', ["1", "2", "3.", "5 apples"], "no idea", False),
     ('[{"v": ""}]', [], "", True),
     ('[{"v": null}]', [], "has None", True),
     ('[{"v": true}]', [], "1", True),
@@ -145,12 +148,12 @@ CHECKS = [
 ]
 
 
-@pytest.mark.parametrize("width", [3, 1000])
+@pytest.mark.parametrize("width", [2, 1000])
 def test_verification(spark, width):
     golden = golden_of(spark, *[case[0] for case in CHECKS])
     queries = spark.createDataFrame(
         [
-            (i, n, n, "q", result)
+            (i, n, n, "q", result, n, len(case[1]))
             for i, case in enumerate(CHECKS)
             for n, result in enumerate(case[1], 1)
         ],
@@ -177,10 +180,10 @@ def small_run(spark):
     )
     queries = spark.createDataFrame(
         [
-            (0, 1, 4, "SELECT a", "Error: no column"),
-            (0, 2, 8, "SELECT b", "[(1,)]"),
-            (2, 1, 3, "SELECT c", "BLOCKED"),
-            (3, 1, 2, "SELECT d", "Error: late"),
+            (0, 1, 4, "SELECT a", "Error: no column", 1, 2),
+            (0, 2, 8, "SELECT b", "[(1,)]", 2, 2),
+            (2, 1, 3, "SELECT c", "BLOCKED", 1, 1),
+            (3, 1, 2, "SELECT d", "Error: late", 1, 1),
         ],
         QUERIES,
     )
