@@ -78,18 +78,29 @@ def _entry_state(parts: DataFrame) -> DataFrame:
     )
 
 
+def asked_of_parts(parts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Parts with what their question expects.
+
+    Joining on the question would gather all its texts; only its part numbers
+    meet there, and the texts are joined part by part.
+    """
+    expected = parts.select("id", "part").join(asked, "id")
+    return parts.join(expected, ["id", "part"])
+
+
 def numbers_across(parts: DataFrame) -> DataFrame:
-    """id, values: all numbers of each question's whole text, in several rows per question.
+    """id, expected_num, values: all numbers of each question's whole text, in several rows.
 
     A number that crosses from part to part is put together from its pieces: the
     `tail` one part ends with and the `head` the next begins with.
     """
     cut = (
-        parts.select("id", "part", "observation")
+        parts.select("id", "part", "expected_num", "observation")
         .join(_entry_state(parts), ["id", "part"])
         .selectExpr(
             "id",
             "part",
+            "expected_num",
             "skip",
             "substr(observation, skip + 1) AS text",
             "IF(in_fraction, regexp_extract(text, r'^[0-9]*', 0),"
@@ -103,10 +114,11 @@ def numbers_across(parts: DataFrame) -> DataFrame:
             " AS inner",
         )
     )
-    inside = cut.selectExpr("id", "CAST(inner AS ARRAY<DOUBLE>) AS values")
+    inside = cut.selectExpr("id", "expected_num", "CAST(inner AS ARRAY<DOUBLE>) AS values")
     crossing = (
         cut.selectExpr(
-            "id", "part", "head", "tail", "int(skip > 0) AS ends_before", "int(rest <> '') AS ends_in"
+            "id", "part", "expected_num", "head", "tail",
+            "int(skip > 0) AS ends_before", "int(rest <> '') AS ends_in",
         )
         .selectExpr(
             "*",
@@ -115,14 +127,16 @@ def numbers_across(parts: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "id",
+            "expected_num",
             "inline(array(struct(run, part * 2 AS at, head AS piece),"
             " struct(run + ends_in AS run, part * 2 + 1 AS at, tail AS piece)))",
         )
         .where("piece <> ''")
-        .groupBy("id", "run")
+        .groupBy("id", "expected_num", "run")
         .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("ordered"))
         .selectExpr(
             "id",
+            "expected_num",
             f"CAST(regexp_extract_all(array_join(ordered.piece, ''), r'{NUMBER}', 0)"
             " AS ARRAY<DOUBLE>) AS values",
         )
@@ -130,31 +144,25 @@ def numbers_across(parts: DataFrame) -> DataFrame:
     return inside.unionByName(crossing)
 
 
-def mentions_across(parts: DataFrame, expected: DataFrame, width: int = PART_WIDTH) -> DataFrame:
+def mentions_across(parts: DataFrame, width: int = PART_WIDTH) -> DataFrame:
     """id, mentioned: whether a question's whole text contains `expected_str`, ignoring case.
 
     Hits inside a part and hits across a seam are looked for separately; for the
     seam only the edges of the parts travel.
     """
-    wanted = expected.where("expected_str IS NOT NULL").selectExpr(
-        "id", "lower(expected_str) AS wanted", "length(wanted) - 1 AS reach"
-    )
-    return (
-        parts.join(wanted, "id")
-        .selectExpr(
-            "id",
-            "part",
-            "wanted",
-            "lower(observation) AS text",
-            "contains(text, wanted) AS inside",
-            "CASE WHEN reach < 1 THEN '' "
-            f"WHEN reach > {int(width)} THEN raise_error('expected text is longer than a part') "
-            "ELSE right(text, reach) END AS right_edge",
-            "IF(reach < 1, '', left(text, reach)) AS left_edge",
-        )
-        .selectExpr(
-            "id",
-            f"inside OR coalesce(contains(concat(lag(right_edge) OVER ({_BY_PART}), left_edge),"
-            " wanted), false) AS mentioned",
-        )
+    return parts.selectExpr(
+        "id",
+        "part",
+        "lower(expected_str) AS wanted",
+        "length(wanted) - 1 AS reach",
+        "lower(observation) AS text",
+        "contains(text, wanted) AS inside",
+        "CASE WHEN reach < 1 THEN '' "
+        f"WHEN reach > {int(width)} THEN raise_error('expected text is longer than a part') "
+        "ELSE right(text, reach) END AS right_edge",
+        "IF(reach < 1, '', left(text, reach)) AS left_edge",
+    ).selectExpr(
+        "id",
+        f"inside OR coalesce(contains(concat(lag(right_edge) OVER ({_BY_PART}), left_edge),"
+        " wanted), false) AS mentioned",
     )

@@ -4,7 +4,6 @@ A window over a whole key would put all its rows into one task.  Here the key's
 rows are cut into slices of consecutive sequence numbers; the heavy window runs
 per (key, slice), and only one summary row per slice meets in a second window.
 `seq` must be unique within a key, so a slice never holds more than `width` rows.
-Steps on the same slices share one shuffle of the log.
 """
 
 from __future__ import annotations
@@ -17,9 +16,15 @@ SLICE_WIDTH = 65_536
 
 
 def sliced(log: DataFrame, key: str, seq: str, width: int = SLICE_WIDTH) -> DataFrame:
-    """Add `slice`; rows without a key belong to no order and are left out."""
-    return log.where(F.col(key).isNotNull()).withColumn(
-        "slice", F.expr(f"`{seq}` div {int(width)}")
+    """Add `slice`; rows without a key or number have no place in the order.
+
+    The rows are brought together by (key, slice) here, once: later steps with
+    different needs would each shuffle the log in a shape of their own.
+    """
+    return (
+        log.withColumn("slice", F.expr(f"`{seq}` div {int(width)}"))
+        .where(F.col(key).isNotNull() & F.col("slice").isNotNull())
+        .repartition(key, "slice")
     )
 
 

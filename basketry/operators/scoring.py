@@ -12,11 +12,11 @@ from basketry.functions.cells import money
 from basketry.functions.text import any_near, mentions, numbers
 from basketry.operators.observation import (
     PART_WIDTH,
+    asked_of_parts,
     mentions_across,
     numbers_across,
-    observation_parts,
 )
-from basketry.operators.usage import token_totals, with_cost
+from basketry.operators.usage import TOKENS, call_tokens, with_cost
 
 # Fixed value: how far a stated number may be off.
 TOLERANCE = 0.01
@@ -62,9 +62,10 @@ def _observed(parts: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     whole = parts.where("is_whole").join(asked, "id").select("id", hit.alias("hit"), "retries")
     # Questions of several parts: counts add up, texts are looked at across parts.
     split = parts.where("NOT is_whole")
-    near = numbers_across(split).join(asked.where("expected_num IS NOT NULL"), "id")
+    of_parts = asked_of_parts(split, asked)
+    near = numbers_across(of_parts.where("expected_num IS NOT NULL"))
     across = near.select("id", any_near(F.col("values"), num, TOLERANCE).alias("hit")).unionAll(
-        mentions_across(split, asked, width)
+        mentions_across(of_parts.where("expected_str IS NOT NULL"), width)
     )
     split_rows = across.withColumn("retries", F.lit(0).cast("bigint")).unionAll(
         split.select("id", F.lit(False).alias("hit"), "retries")
@@ -77,15 +78,16 @@ def _observed(parts: DataFrame, asked: DataFrame, width: int) -> DataFrame:
 
 
 def scored_questions(
-    golden: DataFrame, runs: DataFrame, queries: DataFrame, width: int = PART_WIDTH
+    golden: DataFrame, runs: DataFrame, parts: DataFrame, width: int = PART_WIDTH
 ) -> DataFrame:
     """One row per golden question: success, correctness, latency, retries.
 
-    A question without a logged run counts as failed; a failed one is not
+    `parts` are the observations cut at `width`.  They are read several times, so
+    pass written ones.  A question without a logged run counts as failed; a failed one is not
     correct and adds no latency and no retries.
     """
     asked = golden.select("id", "has_expected", "expected_num", "expected_str")
-    observed = _observed(observation_parts(queries, width), asked, width)
+    observed = _observed(parts, asked, width)
     answer = F.coalesce("final_output", F.lit(""))
     stated = any_near(numbers(answer), F.col("expected_num"), TOLERANCE) | mentions(
         answer, F.col("expected_str")
@@ -106,24 +108,19 @@ def scored_questions(
     )
 
 
-def verified(
-    golden: DataFrame, runs: DataFrame, queries: DataFrame, width: int = PART_WIDTH
-) -> DataFrame:
-    """id, is_correct: whether the results or the final text state the expected value."""
-    return scored_questions(golden, runs, queries, width).select("id", "is_correct")
-
-
 def run_metrics(
     scored: DataFrame, calls: DataFrame, labels: dict[str, object] | None = None
 ) -> DataFrame:
     """One row per run.  Failed questions stay in every denominator."""
-    total = F.count(F.lit(1))
+    total = F.count("successful")
 
     def share_of_total(amount: Column, scale: float = 1.0) -> Column:
         share = amount.cast("double") / F.nullif(total, F.lit(0)) * F.lit(scale)
         return F.coalesce(share, F.lit(0.0))
 
-    measured = scored.agg(
+    # Questions and calls in one frame and one aggregation: nothing to join.
+    rows = scored.unionByName(call_tokens(calls).drop("call_id"), allowMissingColumns=True)
+    measured = rows.agg(
         total.alias("batch_size"),
         F.count_if("successful").alias("successful_executions"),
         F.count_if("is_correct").alias("correct_results"),
@@ -134,13 +131,11 @@ def run_metrics(
             money(F.coalesce(F.sum(F.col("latency_sec").cast("decimal(18,6)")), F.lit(0)))
         ).alias("avg_latency_sec"),
         F.coalesce(F.sum("retries"), F.lit(0)).alias("total_firewall_blocks_and_retries"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in TOKENS],
     )
-    # Two single-row totals: joined on a constant key, not crossed.
-    costs = with_cost(token_totals(calls)).select("total_tokens", "estimated_cost_usd")
     return (
-        measured.withColumn("_one", F.lit(1))
-        .join(costs.withColumn("_one", F.lit(1)), "_one")
-        .drop("_one")
+        with_cost(measured)
+        .drop("prompt_tokens", "completion_tokens")
         .withColumns({name: F.lit(value) for name, value in (labels or {}).items()})
     )
 

@@ -11,19 +11,17 @@ from basketry.operators.ordered_log import SLICE_WIDTH, sliced, with_positions,
 QUERY_TOOL = "sql_db_query"
 
 
-def query_log(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
-    """One row per executed query: id, query_no, seq, query, result, text_no, texts.
+def executed_queries(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
+    """One row per executed query: id, slice, seq, query, result.
 
     `events` has id, seq, kind ('tool_start' / 'tool_end'), tool, payload.  An
     end belongs to the start right before it: a second start replaces an open
     one, and an end clears it, so later ends without a start log nothing.
-    `text_no` counts the question's results so far that are not empty, `texts`
-    all of them.
     """
     steps = events.where("kind IN ('tool_start', 'tool_end')").select(
         "id", "seq", "kind", "tool", "payload"
     )
-    paired = (
+    return (
         with_previous(sliced(steps, "id", "seq", width), "id", "seq", ["kind", "tool", "payload"])
         .where(
             "kind = 'tool_end' AND previous.kind = 'tool_start' "
@@ -31,12 +29,25 @@ def query_log(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
         )
         .selectExpr("id", "slice", "seq", "previous.payload AS query", "payload AS result")
     )
+
+
+def numbered(executed: DataFrame) -> DataFrame:
+    """Executed queries as id, query_no, seq, query, result, text_no, texts.
+
+    `text_no` counts the question's results so far that are not empty, `texts`
+    all of them.
+    """
     counters = {"query_no": "true", "text_no": "coalesce(length(result), 0) > 0"}
-    return with_positions(paired, "id", "seq", counters).select(
+    return with_positions(executed, "id", "seq", counters).select(
         "id", "query_no", "seq", "query", "result", "text_no", F.col("text_no_total").alias("texts")
     )
 
 
+def query_log(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
+    """The numbered queries of a log, in one plan."""
+    return numbered(executed_queries(events, width))
+
+
 def retries(queries: DataFrame) -> DataFrame:
     """Refused or failed queries per question, counted before the shuffle."""
     return queries.groupBy("id").agg(

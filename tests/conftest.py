@@ -14,7 +14,7 @@ def spark():
     scratch = tempfile.mkdtemp(prefix="basketry-test-")
     session = local_session(
         8, 4, spark__sql__warehouse__dir=f"{scratch}/warehouse",
-        spark__sql__adaptive__coalescePartitions__enabled="true",
+        spark__checkpoint__dir=f"{scratch}/shared",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -4,8 +4,14 @@ import random
 import re
 
 import pytest
-
-from basketry.operators.observation import observation_parts, mentions_across, numbers_across
+from pyspark.sql import functions as F
+
+from basketry.operators.observation import (
+    asked_of_parts,
+    mentions_across,
+    numbers_across,
+    observation_parts,
+)
 from basketry.operators.ordered_log import sliced, with_positions, with_previous
 from basketry.operators.tool_log import query_log
 
@@ -36,7 +42,7 @@ def test_numbers_of_the_whole_text(spark, width, alphabet):
     questions = random_questions(alphabet, alphabet)
     parts = observation_parts(as_log(spark, questions), width)
     found = {i: [] for i in range(len(questions))}
-    for row in numbers_across(parts).collect():
+    for row in numbers_across(parts.withColumn("expected_num", F.lit(1.0))).collect():
         found[row["id"]] += row["values"]
     for i, results in enumerate(questions):
         expected = [float(x) for x in re.findall(r"-?\d+\.?\d*", "".join(results))]
@@ -51,7 +57,7 @@ def test_mentions_in_the_whole_text(spark, width):
     parts = observation_parts(as_log(spark, questions), width)
     expected = spark.createDataFrame(list(enumerate(wanted)), "id bigint, expected_str string")
     hits = {}
-    for row in mentions_across(parts, expected, width).collect():
+    for row in mentions_across(asked_of_parts(parts, expected), width).collect():
         hits[row["id"]] = hits.get(row["id"], False) or row["mentioned"]
     for i, results in enumerate(questions):
         text = "".join(results)

@@ -1,14 +1,17 @@
 """Tool-call pairing, verification, run metrics, tokens and the report."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions.text import marks_failure, numbers
 from basketry.operators import scoring, tool_log, usage
+from basketry.operators.observation import observation_parts
+from basketry.plans.evaluate import RUNS_TABLE, LoggedRun, evaluate
 from basketry.sources.golden import normalise_golden, read_golden
-from basketry.sources.tables import Lake, write_report
+from basketry.sources.tables import Lake, write_report, written
 
 EVENTS = "id bigint, seq bigint, kind string, tool string, payload string"
 RUNS = "id bigint, final_output string, latency_sec double, failed boolean, error string"
@@ -162,7 +165,8 @@ def test_verification(spark, width):
     runs = spark.createDataFrame(
         [(i, case[2], 1.0, False, None) for i, case in enumerate(CHECKS)], RUNS
     )
-    found = dict(scoring.verified(golden, runs, queries, width).collect())
+    scored = scoring.scored_questions(golden, runs, observation_parts(queries, width), width)
+    found = {r["id"]: r["is_correct"] for r in scored.collect()}
     assert found == {i: case[3] for i, case in enumerate(CHECKS)}
 
 
@@ -190,6 +194,11 @@ def small_run(spark):
     return golden, runs, queries
 
 
+def scored_of(run):
+    golden, runs, queries = run
+    return scoring.scored_questions(golden, runs, observation_parts(queries))
+
+
 def test_run_metrics(spark, small_run):
     calls = spark.createDataFrame(
         [
@@ -202,7 +211,7 @@ def test_run_metrics(spark, small_run):
         CALLS,
     )
     row = scoring.run_metrics(
-        scoring.scored_questions(*small_run), calls, {"model_name": "m", "temperature": 0.0}
+        scored_of(small_run), calls, {"model_name": "m", "temperature": 0.0}
     ).first()
     assert row["batch_size"] == 5
     assert (row["successful_executions"], row["correct_results"]) == (3, 1)
@@ -216,7 +225,7 @@ def test_run_metrics(spark, small_run):
 
 def test_metrics_of_an_empty_batch_are_zero(spark, small_run):
     golden, runs, queries = small_run
-    scored = scoring.scored_questions(golden.limit(0), runs, queries)
+    scored = scoring.scored_questions(golden.limit(0), runs, observation_parts(queries))
     row = scoring.run_metrics(scored, spark.createDataFrame([], CALLS)).first()
     assert all(value == 0 for value in row)
 
@@ -264,11 +273,34 @@ def test_questions_without_queries(spark, small_run):
     assert {r["id"] for r in tool_log.without_queries(golden, queries).collect()} == {1, 4}
 
 
-def test_runs_are_appended(spark, small_run):
-    lake = Lake(spark)
-    metrics = scoring.run_metrics(
-        scoring.scored_questions(*small_run), spark.createDataFrame([], CALLS), {"model_name": "m"}
+def test_a_logged_run_end_to_end(spark, small_run, tmp_path):
+    golden, runs, queries = small_run
+    events = spark.createDataFrame(
+        [
+            row
+            for q in queries.collect()
+            for row in (
+                (q["id"], 10 * q["query_no"], "tool_start", "sql_db_query", q["query"]),
+                (q["id"], 10 * q["query_no"] + 1, "tool_end", None, q["result"]),
+            )
+        ],
+        EVENTS,
     )
-    lake.append("eval_runs", metrics)
-    lake.append("eval_runs", metrics)
-    assert lake.table("eval_runs").count() == 2
+    lake = Lake(spark)
+    logged = LoggedRun(golden, runs, events, spark.createDataFrame([], CALLS))
+    first_two = replace(logged, batch_size=2)
+    evaluate(lake, logged, str(tmp_path / "all"), {"model_name": "m"})
+    evaluate(lake, first_two, str(tmp_path / "two"), {"model_name": "m"})
+    rows = lake.table(RUNS_TABLE).orderBy("batch_size").collect()
+    assert [r["batch_size"] for r in rows] == [2, 5]
+    assert [r["execution_accuracy"] for r in rows] == [100.0, 60.0]
+    text = "".join(f.read_text() for f in sorted((tmp_path / "all").glob("part-*")))
+    assert text == REPORT + "\n"
+    short = "".join(f.read_text() for f in sorted((tmp_path / "two").glob("part-*")))
+    assert "Q1" in short and "Q2" not in short
+
+
+def test_written_rows_go_to_the_shared_folder(spark):
+    copy = written(spark.range(5))
+    assert copy.count() == 5
+    assert spark.conf.get("spark.checkpoint.dir") in copy.inputFiles()[0]
