@@ -72,6 +72,18 @@ class Guard:
         check(self.session, sql, self.allowed)
         return self.session.sql(sql).limit(self.max_rows)
 
+    def catalogue(self) -> DataFrame:
+        """table_name, column_name, data_type of the tables a query may read; no data is read."""
+        rows = [
+            (name, field.name, field.dataType.simpleString())
+            for name in sorted(self.allowed)
+            if self.session.catalog.tableExists(name)
+            for field in self.session.table(name).schema
+        ]
+        return self.session.createDataFrame(
+            rows, "table_name string, column_name string, data_type string"
+        )
+
     def query_or_error(self, sql: str) -> DataFrame | str:
         """As `query`, with a refusal or a failed analysis as text."""
         try:

@@ -7,71 +7,87 @@ customers or invoices cannot be added up across groups.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.cells import money
 from basketry.schema import COUNTRY, FACT, MONTHLY, PRODUCT, RFM
 
+Tables = Mapping[str, DataFrame]
 
-def _exact_sum(amount: str) -> Column:
-    """Sum of published DOUBLE amounts that does not depend on the order of rows."""
-    return money(F.sum(F.col(amount).cast("decimal(38,4)")))
-
-
-@dataclass(frozen=True)
-class Metric:
-    """Where a metric lives: its table, and either a total or columns to read."""
+# What a rollup can be filtered by.
+ROLLUP_KEYS = {
+    COUNTRY: {"country"},
+    MONTHLY: {"invoice_year_month", "invoice_year", "invoice_month"},
+    PRODUCT: {"stock_code", "product_description"},
+}
 
-    table: str
-    total: str | None = None
-    columns: tuple[str, ...] = ()
-    filters: tuple[str, ...] = field(default=())
+# Totals: the column of each rollup that holds them, smallest rollup first, and
+# what to sum over the fact when no rollup has the wanted filter.
+TOTALS = {
+    "total_net_revenue": (
+        {COUNTRY: "net_revenue", MONTHLY: "net_monthly_revenue", PRODUCT: "net_revenue"},
+        "total_line_price",
+    ),
+    "total_gross_revenue": (
+        {MONTHLY: "gross_monthly_revenue"},
+        "CASE WHEN is_cancelled = 0 THEN total_line_price ELSE 0 END",
+    ),
+    "refund_total": (
+        {MONTHLY: "total_refunded_amount"},
+        "CASE WHEN is_cancelled = 1 THEN abs(total_line_price) ELSE 0 END",
+    ),
+}
 
-    def read(self, tables: Mapping[str, DataFrame], name: str, filters: Mapping) -> DataFrame:
-        unknown = set(filters) - set(self.filters)
-        if unknown:
-            raise ValueError(f"{name} cannot be filtered by {sorted(unknown)}")
-        rows = tables[self.table]
-        for column, value in filters.items():
-            rows = rows.where(F.col(column).eqNullSafe(F.lit(value)))
-        if self.total:
-            return rows.agg(_exact_sum(self.total).alias(name))
-        return rows.select(*self.columns)
-
-
-METRICS = {
-    "total_net_revenue": Metric(COUNTRY, total="net_revenue"),
-    "total_gross_revenue": Metric(MONTHLY, total="gross_monthly_revenue"),
-    "refund_total": Metric(MONTHLY, total="total_refunded_amount"),
-    "month_revenue": Metric(
+# Breakdowns: rollup rows as they are.
+BREAKDOWNS = {
+    "country_revenue": (COUNTRY, ["country", "net_revenue"]),
+    "month_revenue": (
         MONTHLY,
-        columns=("invoice_year_month", "net_monthly_revenue", "gross_monthly_revenue"),
-        filters=("invoice_year_month", "invoice_year", "invoice_month"),
-    ),
-    "country_revenue": Metric(COUNTRY, columns=("country", "net_revenue"), filters=("country",)),
-    "product_revenue": Metric(
-        PRODUCT,
-        columns=("product_description", "stock_code", "net_revenue"),
-        filters=("stock_code", "product_description"),
+        ["invoice_year_month", "net_monthly_revenue", "gross_monthly_revenue"],
     ),
+    "product_revenue": (PRODUCT, ["product_description", "stock_code", "net_revenue"]),
 }
 
 
-def metric(tables: Mapping[str, DataFrame], name: str, **filters) -> DataFrame:
-    """A metric by name, read from the rollup that already holds it."""
-    if name not in METRICS:
-        raise ValueError(f"unknown metric {name}; known: {sorted(METRICS)}")
-    return METRICS[name].read(tables, name, filters)
+def _where(rows: DataFrame, filters: Mapping[str, object]) -> DataFrame:
+    for column, value in filters.items():
+        rows = rows.where(F.col(column).eqNullSafe(F.lit(value)))
+    return rows
 
 
-def country_count(tables: Mapping[str, DataFrame]) -> DataFrame:
+def source_of(name: str, filters: Mapping[str, object]) -> str:
+    """The table that answers a metric: a rollup if one has all filters, else the fact."""
+    if name in BREAKDOWNS:
+        table = BREAKDOWNS[name][0]
+        unknown = set(filters) - ROLLUP_KEYS[table]
+        if unknown:
+            raise ValueError(f"{name} cannot be filtered by {sorted(unknown)}")
+        return table
+    if name not in TOTALS:
+        raise ValueError(f"unknown metric {name}; known: {sorted([*TOTALS, *BREAKDOWNS])}")
+    rollups, _ = TOTALS[name]
+    return next((table for table in rollups if set(filters) <= ROLLUP_KEYS[table]), FACT)
+
+
+def metric(tables: Tables, name: str, **filters: object) -> DataFrame:
+    """A metric by name: a total in one row, or a breakdown."""
+    source = source_of(name, filters)
+    rows = _where(tables[source], filters)
+    if name in BREAKDOWNS:
+        return rows.select(*BREAKDOWNS[name][1])
+    rollups, line_amount = TOTALS[name]
+    amount = F.expr(line_amount if source == FACT else rollups[source])
+    # Rollups publish DOUBLE; decimals make the sum independent of the row order.
+    return rows.agg(money(F.sum(amount.cast("decimal(38,4)"))).alias(name))
+
+
+def country_count(tables: Tables) -> DataFrame:
     """How many countries are sold to."""
     return tables[COUNTRY].agg(F.count("country").alias("country_count"))
 
 
-def top_customers(tables: Mapping[str, DataFrame], k: int = 10) -> DataFrame:
+def top_customers(tables: Tables, k: int = 10) -> DataFrame:
     """Customers by spend; a heap of k rows per task, never a full sort."""
     return (
         tables[RFM]
@@ -81,7 +97,7 @@ def top_customers(tables: Mapping[str, DataFrame], k: int = 10) -> DataFrame:
     )
 
 
-def customer_spend(tables: Mapping[str, DataFrame]) -> DataFrame:
+def customer_spend(tables: Tables) -> DataFrame:
     """Completed purchases per customer; guests are one group, summed before the shuffle."""
     return (
         fact_lines(tables, cancelled=False)
@@ -91,7 +107,7 @@ def customer_spend(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def fact_lines(
-    tables: Mapping[str, DataFrame],
+    tables: Tables,
     *,
     cancelled: bool | None = None,
     invoice_no: str | None = None,

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from basketry.schema import GOLD_TABLES
+
 
 def spread(rows: DataFrame) -> DataFrame:
     """Deal out an input that arrives in fewer splits than there are task slots.
@@ -56,9 +58,14 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
 
+    def gold(self) -> dict[str, DataFrame]:
+        """The published gold tables by name."""
+        return {name: self.table(name) for name in GOLD_TABLES}
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Write the whole table anew."""
-        self.spark.sql(f"DROP VIEW IF EXISTS {self._name(name)}") if self._is_view(name) else None
+        if self._is_view(name):
+            self.spark.sql(f"DROP VIEW {self._name(name)}")
         rows.write.mode("overwrite").format("parquet").saveAsTable(self._name(name))
 
     def replace_counted(self, name: str, rows: DataFrame) -> int:

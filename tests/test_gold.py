@@ -139,6 +139,35 @@ def test_metrics_come_from_the_rollup(tables):
     assert kpis.country_count(tables).first()[0] == 25
 
 
+@pytest.mark.parametrize(
+    "name, filters, source",
+    [
+        ("total_net_revenue", {}, COUNTRY),
+        ("total_net_revenue", {"country": "NATION_7"}, COUNTRY),
+        ("total_net_revenue", {"invoice_year": 1997}, MONTHLY),
+        ("total_net_revenue", {"invoice_year_month": None}, MONTHLY),
+        ("total_net_revenue", {"stock_code": "77"}, PRODUCT),
+        ("total_net_revenue", {"stock_code": "77", "country": "NATION_7"}, FACT),
+        ("total_net_revenue", {"customer_id": -1}, FACT),
+        ("total_gross_revenue", {}, MONTHLY),
+        ("total_gross_revenue", {"country": "NATION_7"}, FACT),
+        ("refund_total", {"invoice_month": 5}, MONTHLY),
+        ("refund_total", {"country": "NATION_7", "invoice_year": 1997}, FACT),
+    ],
+)
+def test_totals_come_from_the_smallest_table_and_agree_with_the_fact(tables, name, filters, source):
+    assert kpis.source_of(name, filters) == source
+    value = kpis.metric(tables, name, **filters).first()[0]
+    lines = tables[FACT]
+    for column, wanted in filters.items():
+        lines = lines.where(F.col(column).eqNullSafe(F.lit(wanted)))
+    if name != "total_net_revenue":
+        lines = lines.where(F.col("is_cancelled") == int(name == "refund_total"))
+    expected = total(lines.withColumn("total_line_price", F.abs("total_line_price"))
+                     if name == "refund_total" else lines, "total_line_price")
+    assert value == (None if expected is None else float(expected))
+
+
 def test_fact_filters(tables):
     fact = tables[FACT]
     done = kpis.fact_lines(tables, cancelled=False)

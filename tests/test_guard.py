@@ -118,6 +118,16 @@ def test_unknown_columns_come_back_as_text(guard):
     assert guard.query_or_error(f"SELECT nope FROM {FACT}").startswith("Error: ")
 
 
+def test_the_catalogue_shows_the_allowed_tables_only(guard):
+    assert {tuple(r) for r in guard.catalogue().collect()} == {
+        (FACT, "invoice_no", "bigint"),
+        (FACT, "country", "string"),
+        (FACT, "total_line_price", "bigint"),
+        (COUNTRY, "country", "string"),
+        (COUNTRY, "net_revenue", "bigint"),
+    }
+
+
 def test_the_callers_session_keeps_its_settings(spark, guard):
     assert spark.conf.get("spark.sql.crossJoin.enabled") == "true"
     assert spark.range(2).crossJoin(spark.range(2)).count() == 4

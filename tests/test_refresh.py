@@ -81,8 +81,10 @@ def test_staged_and_direct_refresh_give_the_same_tables(spark, raw_files, keep_b
     lake = Lake(spark, database)
     assert spark.catalog.tableExists(f"{database}.{BRONZE}") == keep_bronze
     expected = given.silver_lines(spark, SF)
-    for name in GOLD_TABLES:
-        assertDataFrameEqual(lake.table(name), gold.BUILDERS[name](expected))
+    tables = lake.gold()
+    assert set(tables) == set(GOLD_TABLES)
+    for name, table in tables.items():
+        assertDataFrameEqual(table, gold.BUILDERS[name](expected))
     kind = spark.catalog.getTable(f"{database}.{FACT}").tableType
     assert kind == ("MANAGED" if copy_fact else "VIEW")
 
