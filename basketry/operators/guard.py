@@ -98,7 +98,7 @@ def open_guard(
     allowed: Iterable[str] = GOLD_TABLES,
     max_rows: int = MAX_ROWS,
 ) -> Guard:
-    """A guard over catalogue tables, or over views that `register` creates.
+    """A guard over the current database, or over views that `register` creates.
 
     The settings must hold until a result is computed, hence a session that
     nothing else uses: no cartesian products, no files read as tables.
@@ -106,6 +106,7 @@ def open_guard(
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     session.conf.set("spark.sql.crossJoin.enabled", "false")
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     if register is not None:

@@ -133,9 +133,13 @@ def test_the_callers_session_keeps_its_settings(spark, guard):
     assert spark.range(2).crossJoin(spark.range(2)).count() == 4
 
 
-def test_catalogue_tables_need_no_registration(spark):
-    spark.range(3).selectExpr("id AS country").write.mode("overwrite").saveAsTable(COUNTRY)
+def test_tables_of_the_current_database_need_no_registration(spark):
+    spark.sql("CREATE DATABASE guarded_lake")
+    spark.catalog.setCurrentDatabase("guarded_lake")
     try:
+        spark.range(3).selectExpr("id AS country").write.saveAsTable(COUNTRY)
+        spark.sql(f"CREATE VIEW {FACT} AS SELECT country AS invoice_no FROM {COUNTRY}")
         assert guarded_query(spark, f"SELECT country FROM {COUNTRY}", max_rows=2).count() == 2
+        assert guarded_query(spark, f"SELECT invoice_no FROM {FACT}").count() == 3
     finally:
-        spark.sql(f"DROP TABLE {COUNTRY}")
+        spark.catalog.setCurrentDatabase("default")
