@@ -66,7 +66,7 @@ product AS (
 _COUNTRY = """
 by_country AS (
   SELECT country,
-         COUNT(DISTINCT customer_id) FILTER (WHERE customer_id > 0 OR customer_id = 0)
+         COUNT(DISTINCT customer_id) FILTER (WHERE customer_id >= 0)
            AS total_registered_customers,
          COUNT(DISTINCT invoice_no) AS total_invoices,
          CAST(SUM(total_line_price) AS DOUBLE) AS net_revenue
