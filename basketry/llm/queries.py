@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, sharding, warc
+from . import exact_dedup, near_dedup, sharding, warc
 from .common import ROW, shared_folder, stored, table
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -50,12 +54,32 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
 
 ORACLES = {
+    "op4_near_dedup": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE
+            WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+              FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+              WHERE 100 * c >= 85 * (a.n + b.n - c)),
+        r AS (SELECT doc_id, doc_id AS z FROM documents
+              UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.z = l.x)
+        SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles,
+          min(z) AS component_id, r.doc_id = min(z) AS kept
+        FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
