@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, near_dedup, sharding, warc
+from . import contamination, exact_dedup, near_dedup, sharding, warc
 from .common import ROW, shared_folder, stored, table
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.benchmark_hits(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).drop(ROW)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -54,6 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_warc": op9_warc,
@@ -61,6 +68,29 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_decontamination": r"""
+        WITH t AS (SELECT 'd' AS k, doc_id AS id, text FROM documents
+                   UNION ALL SELECT 'b', item_id, text FROM benchmark),
+        w AS (SELECT k, id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM t),
+        win AS (SELECT DISTINCT id AS item_id, least(len(w), 10) AS n,
+            unnest([array_to_string(w[i:i + 9], ' ') FOR i IN range(1, greatest(len(w) - 9, 1) + 1)]) AS p
+            FROM w WHERE k = 'b' AND len(w) > 0),
+        pos AS (SELECT id AS doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i
+            FROM w, (SELECT DISTINCT n FROM win) WHERE k = 'd'),
+        hit AS (SELECT doc_id, item_id, i, n FROM (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM pos) JOIN win USING (n, p)),
+        words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (
+            SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (
+            SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+        SELECT w.id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+          coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+          coalesce(n_hit, 0) > 0 AS contaminated
+        FROM w LEFT JOIN words ON words.doc_id = w.id LEFT JOIN items ON items.doc_id = w.id
+        WHERE k = 'd'
+    """,
     "op4_near_dedup": r"""
         WITH RECURSIVE w AS (
           SELECT doc_id, regexp_extract_all(
