@@ -6,8 +6,8 @@ group by the next digit: groups of one row are done, groups whose texts have
 ended hold equal texts, all others go on.  Texts are compared byte by byte, never
 by digest.  Digits grow, so a text of n bytes takes O(log n) rounds.
 
-Scale: only sums per group and narrow rows meet in the first round; bytes not yet
-looked at travel only for rows that still share a group.  Groups are counted with
+Scale: the first round shuffles one digit per row; texts travel only for rows that
+still share a group after it, and are stored without the bytes looked at.  Groups are counted with
 map-side sums and joined back, so a group with a third of all rows is spread.
 """
 
@@ -18,16 +18,41 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ROW, only_rows, stored, with_row_id
+from .graph import join_few
 
 FIRST_DIGIT = 64
 GROWTH = 16
 
 
-def _cut(width: int) -> tuple[Column, Column]:
-    return (
+def _cut(width: int) -> list[Column]:
+    return [
         F.substring("_rest", 1, width).alias("_digit"),
         F.expr(f"substring(_rest, {width + 1})").alias("_rest"),
-    )
+        F.greatest(F.octet_length("_rest") - width, F.lit(0)).alias("_left"),
+    ]
+
+
+def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that are done, and rows that still share a group, with its new number."""
+    keys = ["_group", "_digit"]
+    # A group's texts have one length, so all of them end in the same round.
+    groups = stored(
+        rows.groupBy(*keys)
+        .agg(
+            F.count("*").alias("group_size"),
+            F.max(F.struct(F.col("doc_id").alias("id"), (-F.col(ROW)).alias("at"))).alias("_best"),
+        )
+        .where("group_size > 1")
+    ).withColumn("_next", F.monotonically_increasing_id())
+    rest = [c for c in rows.columns if c == "_rest"]
+    joined = stored(
+        rows.join(groups, keys, "left").select(
+            ROW, "doc_id", "_sha", "_next", "group_size", "_best",
+            (F.col("_next").isNull() | (F.col("_left") == 0)).alias("_done"), *rest,
+        )
+    )
+    on = joined.where("NOT _done").select(ROW, "doc_id", "_sha", F.col("_next").alias("_group"), *rest)
+    return joined.where("_done").select(ROW, "doc_id", "_sha", "group_size", "_best"), on
 
 
 def _bytes(text: str) -> Column:
@@ -49,45 +74,27 @@ def duplicate_groups(
     empty table gives an empty result; other columns of `docs` are ignored.
     """
     data = _bytes(text_column)
-    rows = with_row_id(docs).select(
+    whole = with_row_id(docs).select(ROW, data.alias("_rest"))
+    cut = with_row_id(docs).select(
         ROW,
         F.col(id_column).alias("doc_id"),
         F.unhex(F.sha2(data, 256)).alias("_sha"),
         F.octet_length(data).alias("_group"),
-        data.alias("_rest"),
+        F.substring(data, 1, first_digit).alias("_digit"),
+        F.greatest(F.octet_length(data) - first_digit, F.lit(0)).alias("_left"),
     )
-    done = []
     width = first_digit
-    keys = ["_group", "_digit"]
-    while True:
-        cut = rows.select(ROW, "doc_id", "_sha", "_group", *_cut(width))
-        # The bytes that follow matter to no count, so they stay out of this shuffle.
-        shared = stored(
-            cut.groupBy(*keys)
-            .agg(
-                F.count("*").alias("group_size"),
-                F.max(F.struct(F.col("doc_id").alias("id"), (-F.col(ROW)).alias("at"))).alias("_best"),
-                F.max(F.octet_length("_rest")).alias("_left"),
-            )
-            .where("group_size > 1")
-        ).withColumn("_next", F.monotonically_increasing_id())
-        joined = stored(
-            cut.join(shared, keys, "left").select(
-                ROW,
-                "doc_id",
-                "_sha",
-                "_next",
-                "group_size",
-                "_best",
-                F.when(F.col("_left") > 0, F.col("_rest")).alias("_rest"),
-            )
-        )
-        done.append(joined.where("_rest IS NULL"))
-        rows = joined.where("_rest IS NOT NULL").withColumnRenamed("_next", "_group")
-        if rows.isEmpty():
-            break
+    done, shared = _split(cut)
+    ended = [done]
+    if not shared.isEmpty():
+        # Only now do texts travel, and only those that share a group.
+        rows = join_few(whole, shared, ROW).withColumn("_rest", F.expr(f"substring(_rest, {width + 1})"))
+    while not shared.isEmpty():
         width *= growth
-    return reduce(DataFrame.unionByName, done).select(
+        done, shared = _split(rows.select(ROW, "doc_id", "_sha", "_group", *_cut(width)))
+        ended.append(done)
+        rows = shared
+    return reduce(DataFrame.unionByName, ended).select(
         ROW,
         "doc_id",
         F.coalesce("_best.id", "doc_id").alias("keep_id"),
