@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, exact_dedup, near_dedup, sharding, warc
+from . import bpe, contamination, exact_dedup, near_dedup, sharding, warc
 from .common import ROW, shared_folder, stored, table
 
 
@@ -18,6 +18,23 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def _byte_bpe() -> str:
+    from public_tokenizers import path
+
+    return path("byte_bpe_50k.json")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary(_byte_bpe())
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return bpe.decode(coded, vocabulary).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -60,6 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_bpe": op5_bpe,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
