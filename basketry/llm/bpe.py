@@ -42,6 +42,12 @@ class Vocabulary:
         self.entries = parsed["model"]["vocab"]
         self.merges = parsed["model"]["merges"]
 
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Vocabulary) and self.text == other.text
+
+    def __hash__(self) -> int:
+        return hash(self.text)
+
     def pieces(self) -> list[bytes]:
         """The bytes of every id."""
         letter = {c: b for b, c in byte_letters().items()}
@@ -61,8 +67,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def around_specials(specials) -> re.Pattern | None:
+    """Cuts a text so that every second part is a special string."""
+    longest_first = sorted(specials, key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if specials else None
+
+
 # Letters, digits and white space of these ranges are such in every Unicode version.
-_OTHER = re.compile("[^\x00-\u02ff\u2010-\u2027\u20ac]")
+OTHER = re.compile("[^\x00-\u02ff\u2010-\u2027\u20ac]")
 
 
 def splitter(specials, shipped):
@@ -73,17 +85,17 @@ def splitter(specials, shipped):
     """
 
     def cut(text: str) -> list[str]:
-        if _OTHER.search(text):
-            found = _tokenizer(shipped.value).pre_tokenizer.pre_tokenize_str(text)
+        if OTHER.search(text):
+            found = tokenizer_of(shipped.value).pre_tokenizer.pre_tokenize_str(text)
             return [text[a:b] for _, (a, b) in found]
         return WORDS.findall(text)
 
-    around = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")")
+    around = around_specials(specials)
 
     def split(text: str | None) -> list[bytes]:
         if not text:
             return []
-        if specials and around.search(text):
+        if around and around.search(text):
             words = []
             for k, part in enumerate(around.split(text)):
                 words += [part] if k % 2 else cut(part)
@@ -95,7 +107,7 @@ def splitter(specials, shipped):
 
 
 @functools.lru_cache(maxsize=2)
-def _tokenizer(text: str):
+def tokenizer_of(text: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -107,7 +119,7 @@ def _tokenizer(text: str):
 
 def _encode_words(shipped):
     def run(batches):
-        tokenizer = _tokenizer(shipped.value)
+        tokenizer = tokenizer_of(shipped.value)
         known: dict[bytes, list[int]] = {}
         for batch in batches:
             out = []

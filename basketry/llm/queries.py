@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, exact_dedup, near_dedup, sharding, warc
+from . import bpe, contamination, exact_dedup, near_dedup, sharding, token_counts, warc
 from .common import ROW, shared_folder, stored, table
 
 
@@ -39,6 +39,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), bpe.Vocabulary(_byte_bpe())
+    ).drop(ROW)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = shared_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), archives)
@@ -77,6 +83,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_token_counts": op7_token_counts,
     "op5_bpe": op5_bpe,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
