@@ -63,18 +63,21 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "capture",
     )
     full = captures.where("capture.record_type = 'response'").select(
-        F.col("record_id").alias("refers_to"),
+        F.col("record_id").alias("_full"),
         F.col("page_id").alias("_page"),
         F.col("capture.payload_bytes").alias("_bytes"),
         F.col("capture.payload_digest").alias("_digest"),
     )
-    pages = captures.select("page_id", "capture.*").drop("concurrent_to", "head", "record_id")
-    return pages.join(full, "refers_to", "left").select(
+    # A response stands for itself, so that no key is NULL.
+    pages = captures.select("page_id", "capture.*").withColumn(
+        "_full", F.coalesce("refers_to", "record_id")
+    )
+    return pages.join(full, "_full", "left").select(
         "page_id",
         F.coalesce("_bytes", "payload_bytes").alias("payload_bytes"),
         F.coalesce("_digest", "payload_digest").alias("payload_digest"),
         "record_type",
-        F.col("_page").alias("refers_to"),
+        F.when(F.col("record_type") == "revisit", F.col("_page")).alias("refers_to"),
     )
 
 
