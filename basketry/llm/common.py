@@ -7,7 +7,11 @@ change between two evaluations should be written first.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,24 @@ WORD_BYTES = bytes(
 )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they have it on their Python path."""
+    package = Path(__file__).resolve().parents[1]
+    application = spark.sparkContext.applicationId
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or application in _shipped:
+        return
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name
+    )
+    spark.sparkContext.addPyFile(archive)  # the driver serves it to every executor
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -51,6 +72,7 @@ def stored(frame: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def with_row_id(frame: DataFrame) -> DataFrame:
+    ship(frame.sparkSession)
     return frame.withColumn(ROW, F.monotonically_increasing_id())
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, exact_dedup, near_dedup, sharding, token_counts, warc
+from . import bpe, contamination, context_mixing, exact_dedup, near_dedup, sharding, token_counts, warc
 from .common import ROW, shared_folder, stored, table
 
 
@@ -45,6 +45,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop(ROW)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scores(table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = shared_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), archives)
@@ -86,6 +90,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_lm_scoring": op8_lm_scoring,
     "op7_token_counts": op7_token_counts,
     "op5_bpe": op5_bpe,
     "op3_decontamination": op3_decontamination,
