@@ -149,7 +149,7 @@ def _close_pairs(
         yield a + at, b, bits[a, b]
 
 
-def _describe(threshold: int):
+def _describe(width: int):
     schema = pa.schema(
         [
             (ROW, pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
@@ -159,7 +159,7 @@ def _describe(threshold: int):
 
     def run(batches):
         for batch in text_batches(batches, 2, BATCH_BYTES):
-            sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
+            sets = [shingle_set(t, width) for t in batch.column(2).to_pylist()]
             full = [s for s in sets if len(s)]
             keys, sketch = signatures(full) if full else (np.zeros((0, BANDS), np.int64), [])
             at = iter(range(len(full)))
@@ -221,19 +221,22 @@ def _in_blocks(members: DataFrame, key: str, parts: str) -> DataFrame:
     )
 
 
-def _sets(batches):
-    for batch in text_batches(batches, 2, BATCH_BYTES):
-        sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
-        sketch = signatures(sets)[1]
-        yield pa.record_batch(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
-                pa.array([s.tobytes() for s in sketch], pa.binary()),
-            ],
-            names=["rep", "cluster", "_set", "_sketch"],
-        )
+def _sets(width: int):
+    def run(batches):
+        for batch in text_batches(batches, 2, BATCH_BYTES):
+            sets = [shingle_set(t, width) for t in batch.column(2).to_pylist()]
+            sketch = signatures(sets)[1]
+            yield pa.record_batch(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sketch], pa.binary()),
+                ],
+                names=["rep", "cluster", "_set", "_sketch"],
+            )
+
+    return run
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -271,13 +274,14 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
     threshold: int = THRESHOLD,
+    width: int = SHINGLE,
     block_rows: int = BLOCK_ROWS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document: (_row_id, doc_id, n_shingles, component_id, kept).
 
-    Words are separated by ASCII white space, A-Z lower-cased.  A text of one or two
-    words is one shingle; without words, or NULL, a text has none and is alone in its
+    Words are separated by ASCII white space, A-Z lower-cased.  A text of fewer
+    words than `width` is one shingle; without words, or NULL, a text has none and is alone in its
     component.  `component_id` is the smallest id of the component (NULL ids come
     last; NULL only if it has no other).  One row stays per component: the one with
     that id; of rows repeating it, the first in scan order.  An empty table gives an
@@ -287,7 +291,7 @@ def near_duplicates(
     rows = with_row_id(docs).select(
         ROW, F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("_text")
     )
-    described = stored(rows.mapInArrow(_describe(threshold), _DESCRIBED))
+    described = stored(rows.mapInArrow(_describe(width), _DESCRIBED))
     reps = stored(
         described.where("n_shingles > 0")
         .groupBy("_key")
@@ -314,7 +318,7 @@ def near_duplicates(
     sets = stored(
         join_few(rows, clusters, ROW)
         .select(ROW, "cluster", "_text")
-        .mapInArrow(_sets, "rep bigint, cluster bigint, _set binary, _sketch binary")
+        .mapInArrow(_sets(width), "rep bigint, cluster bigint, _set binary, _sketch binary")
     )
     sizes = sets.groupBy("cluster").agg(
         F.greatest(

@@ -4,10 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, context_mixing, exact_dedup, near_dedup, sharding, token_counts, warc
+from . import (
+    bpe,
+    contamination,
+    context_mixing,
+    exact_dedup,
+    language_crf,
+    near_dedup,
+    pseudonyms,
+    sharding,
+    token_counts,
+    warc,
+)
 from .common import ROW, shared_folder, stored, table
 
 
+# A demonstration key.  In production the key comes from a secret store.
+PSEUDONYM_KEY = b"basketry demonstration key"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY).drop(ROW)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_crf.identified(docs, language_crf.fitted(docs))
+    return found.select(
+        "doc_id",
+        language_crf.held_out("doc_id").alias("held_out"),
+        "lang_pred",
+        "score",
+        "n_words",
+        "n_switches",
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.benchmark_hits(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -90,12 +122,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op8_lm_scoring": op8_lm_scoring,
-    "op7_token_counts": op7_token_counts,
-    "op5_bpe": op5_bpe,
+    "op1_pii": op1_pii,
+    "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_bpe": op5_bpe,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
