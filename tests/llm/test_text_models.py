@@ -1,0 +1,317 @@
+"""PII, language identification, decontamination, tokens, scores and WARC."""
+
+import gzip
+import hashlib
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from basketry.llm import (
+    bpe,
+    contamination,
+    context_mixing,
+    language_crf,
+    pseudonyms,
+    token_counts,
+    warc,
+)
+
+KEY = b"test"
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def texts_of(docs):
+    return {r._1: r for r in docs.selectExpr("monotonically_increasing_id() _1", "doc_id", "text").collect()}
+
+
+# Pseudonyms
+
+
+def test_feistel_is_a_permutation():
+    f = pseudonyms.Feistel(KEY)
+    for size in (1, 2, 10, 97, 500):
+        image = [f.permuted("t", i, size) for i in range(size)]
+        assert sorted(image) == list(range(size))
+        assert [f.permuted("t", i, size, back=True) for i in image] == list(range(size))
+
+
+@pytest.mark.parametrize(
+    "text,kind",
+    [
+        ("card 4111 1111 1111 1111.", "card"),
+        ("mail Jo.Doe7@mail8.example.com now", "email"),
+        ("call +1 (988) 555-2485", "phone"),
+        ("host 70.123.182.155,", "ip"),
+        ("id 123-45-6789", "ssn"),
+        ("born 1984-02-29", "date"),
+        ("on 28.02.1999", "date"),
+        ("DE89 3704 0044 0532 0130 00", "iban"),
+    ],
+)
+def test_pseudonyms_keep_the_format(text, kind):
+    new, spans = pseudonyms.replaced(text, KEY)
+    assert [s[0] for s in spans] == [kind]
+    assert new != text and len(new) == len(text)
+    again, kinds = pseudonyms.replaced(new, KEY)
+    assert [s[0] for s in kinds] == [kind]  # valid as the original was
+    assert pseudonyms.replaced(new, KEY, back=True)[0] == text
+    twice, _ = pseudonyms.replaced(text + " and " + text, KEY)
+    assert twice == new + " and " + new  # equal values stay linked
+
+
+@pytest.mark.parametrize(
+    "text", ["Version 3.1.4 of 2024", "1234567890123456", "02/30/1999", "999.1.1.1", "000-12-3456", "CC BY-NC 4.0."]
+)
+def test_what_is_not_valid_stays(text):
+    assert pseudonyms.replaced(text, KEY) == (text, [])
+
+
+def test_pseudonyms_on_odd_rows(odd_docs, no_docs):
+    rows = pseudonyms.pseudonymised(odd_docs, KEY).collect()
+    assert {r._row_id: r.text for r in rows} == {k: r.text for k, r in texts_of(odd_docs).items()}
+    assert pseudonyms.pseudonymised(no_docs, KEY).count() == 0
+
+
+# Language identification
+
+
+def small_field():
+    rng = np.random.default_rng(0)
+    field = language_crf.Field(["de", "en"], {"the": np.array([-1.0, 1.0])})
+    field.weights = rng.normal(size=field.weights.shape)
+    field.steps = rng.normal(size=(2, 2))
+    field.start = rng.normal(size=2)
+    return field
+
+
+def test_forward_backward_is_exact():
+    field = small_field()
+    words = ["the", "und", "cat", "the", "ist"]
+    scores = field.emissions(words)
+    total, exact = 0.0, np.zeros((5, 2))
+    for path in itertools.product(range(2), repeat=5):
+        weight = math.exp(
+            field.start[path[0]]
+            + sum(scores[i, s] for i, s in enumerate(path))
+            + sum(field.steps[a, b] for a, b in zip(path, path[1:]))
+        )
+        total += weight
+        for i, s in enumerate(path):
+            exact[i, s] += weight
+    labeller = language_crf._Labeller(field)
+    found = labeller.label([["cat"], words, [], ["the", "ist"]])
+    assert found[2] is None
+    np.testing.assert_allclose(found[1], exact / total, atol=1e-5)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = (
+        language_crf.identified(docs, language_crf.fitted(docs, docs_per_language=100))
+        .join(docs.select("doc_id", "lang"), "doc_id")
+        .where(language_crf.held_out("doc_id"))
+        .collect()
+    )
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_code_switching_runs(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    field = language_crf.fitted(docs, docs_per_language=100)
+    parts = {g: docs.where((F.col("lang") == g) & (F.col("n_chars") > 900)).first().text[300:700] for g in ("en", "de")}
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(1, parts["en"] + " " + parts["de"])], "doc_id bigint, text string").write.parquet(path)
+    row = language_crf.identified(spark.read.parquet(path), field, runs=True).first()
+    share = Counter()
+    for run in row.runs:
+        for at in range(run.start, run.end):
+            share[run.lang == ("en" if at < len(parts["en"]) else "de")] += 1
+    assert share[True] > 0.9 * sum(share.values())
+
+
+def test_language_of_odd_rows(odd_docs, no_docs):
+    assert language_crf.fitted(no_docs) is None
+    rows = language_crf.identified(odd_docs, small_field()).collect()
+    texts = texts_of(odd_docs)
+    for r in rows:
+        has_letter = any(c.isalpha() for c in texts[r._row_id].text or "")
+        assert (r.lang_pred == "und") == (not has_letter)
+    assert {r.lang_pred for r in language_crf.identified(odd_docs, None).collect()} == {"und"}
+    assert language_crf.identified(no_docs, small_field()).count() == 0
+
+
+# Decontamination
+
+
+def brute_hits(text, items, window):
+    words, hit, found = contamination.words_of(text), set(), set()
+    for item, item_text in items:
+        for phrase in contamination.phrases_of(item_text, window):
+            for i in range(len(words) - len(phrase) + 1):
+                if tuple(words[i : i + len(phrase)]) == phrase:
+                    hit.update(range(i, i + len(phrase)))
+                    found.add(item)
+    return len(words), len(hit), found
+
+
+@pytest.mark.parametrize("block_phrases", [200_000, 7])
+def test_phrases_against_brute_force(spark, tmp_path, block_phrases):
+    random.seed(4)
+    vocabulary = ["the", "of", "Cat", "dog", "é-t", "x1"]
+    make = lambda n: " ".join(random.choice(vocabulary) for _ in range(n))
+    texts = [make(random.choice([0, 1, 3, 40, 200])) for _ in range(60)] + [None, ""]
+    items = [(k, make(random.choice([0, 2, 3, 6]))) for k in range(12)] + [(3, "the cat"), (50, None)]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(path)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = contamination.benchmark_hits(spark.read.parquet(path), bench, window=3, block_phrases=block_phrases).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, hit, found = brute_hits(texts[r.doc_id], items, 3)
+        names = ",".join(sorted(map(str, found)))
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(found), hit > 0)
+        assert r.items_sha256 == hashlib.sha256(names.encode()).hexdigest()
+
+
+def test_proximity(spark, tmp_path):
+    texts = ["a b c d", "a x b c", "a x y b c", "c b a", "b a c a b x c", None]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(path)
+    bench = spark.createDataFrame([(1, "A b, c")], "item_id bigint, text string")
+    rows = contamination.proximity_matches(spark.read.parquet(path), bench, slop=1).collect()
+    assert {(r.doc_id, r.first, r.last) for r in rows} == {(0, 0, 3), (1, 0, 4), (4, 3, 7)}
+
+
+def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
+    bench = spark.createDataFrame([(1, "the dog barked at it all day long"), (None, None)], "item_id bigint, text string")
+    kept = contamination.decontaminated(odd_docs, bench)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
+    assert contamination.benchmark_hits(no_docs, bench).count() == 0
+    none = contamination.benchmark_hits(odd_docs, bench.where("item_id = 9"))
+    assert none.count() == odd_docs.count() and none.where("contaminated").count() == 0
+
+
+# Tokens
+
+
+def test_encoding_round_trip(odd_docs, no_docs):
+    vocabulary, tokenizer = bpe.Vocabulary(FILE), Tokenizer.from_file(FILE)
+    coded = bpe.encode(odd_docs, vocabulary)
+    texts = texts_of(odd_docs)
+    rows = bpe.decode(coded, vocabulary).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        expected = tokenizer.encode(texts[r._row_id].text or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == expected and r.n_tokens == len(expected)
+        assert r.text == tokenizer.decode(expected, skip_special_tokens=False)
+        assert r.doc_id == texts[r._row_id].doc_id
+    assert bpe.encode(no_docs, vocabulary).count() == 0
+
+
+def test_counts_match_the_tokenizer(odd_docs, no_docs):
+    vocabulary, tokenizer = bpe.Vocabulary(FILE), Tokenizer.from_file(FILE)
+    texts = texts_of(odd_docs)
+    for r in token_counts.token_counts(odd_docs, vocabulary).collect():
+        text = texts[r._row_id].text or ""
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 1024)
+    assert token_counts.token_counts(no_docs, vocabulary).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [5, 64])
+def test_chunks_compose(chunk):
+    vocabulary, tokenizer = bpe.Vocabulary(FILE), Tokenizer.from_file(FILE)
+    random.seed(chunk)
+    pool = [*"  \n\t'strevmld12²é中。!<|>😀 _-", "'re", "'ll", "  ", "the ing", "aaaaaaaa", "ation"]
+    texts = ["".join(random.choices(pool, k=random.randint(0, 60))) for _ in range(400)] + ["x" * 3000, "ab" * 999]
+    machine = token_counts.Transducer(vocabulary)
+    found = token_counts.count_tokens(texts, machine, chunk, token_counts._starts_with(vocabulary))
+    expected = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert found.tolist() == expected
+
+
+# Scores
+
+
+def test_scores(spark, tmp_path):
+    random.seed(2)
+    words = [f"word{i}" for i in range(60)]
+    texts = [" ".join(random.choices(words, k=random.randint(0, 40))) for _ in range(200)] + [None, "Word1 unseen!"]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(path)
+    rows = {r.doc_id: r for r in context_mixing.scores(spark.read.parquet(path)).collect()}
+    tokens = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t in enumerate(texts)}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
+    counts = Counter(w for i, t in tokens.items() if not held[i] for w in t)
+    n, v = sum(counts.values()), len(counts)
+    for i, t in tokens.items():
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        r = rows[i]
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (held[i], len(t), n)
+        assert r.n_known == sum(counts[w] > 0 for w in t)
+        assert r.base_score == pytest.approx(base) and r.score < 0
+
+
+def test_bit_probabilities_add_up():
+    model = context_mixing.Model(np.random.default_rng(0).random((6, context_mixing.SLOTS, 2)).astype(np.float32))
+    words = [bytes([b]) for b in range(256) if b != 32]
+    # One-byte words and the empty word: first bytes' probabilities sum to one.
+    coded = context_mixing._Bytes([*words, b""])
+    total = 0.0
+    chance = np.zeros(len(coded.data))
+    for k, bit, slots in coded.bits():
+        odds, gate = model.odds(slots)
+        one = model.refined((odds * model.weights[gate, k]).sum(axis=1), gate)
+        chance += np.log(np.where(bit == 1, one, 1 - one))
+    first = np.cumsum(coded.sizes) - coded.sizes
+    total = np.exp(chance[first]).sum()
+    assert total == pytest.approx(1.0)
+
+
+def test_scores_of_odd_rows(odd_docs, no_docs):
+    rows = context_mixing.scores(odd_docs).collect()
+    assert len(rows) == odd_docs.count() and all(math.isfinite(r.score) for r in rows)
+    assert context_mixing.scores(no_docs).count() == 0
+
+
+# WARC
+
+
+def test_warc_round_trip(spark, tmp_path):
+    tricky = "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nx"
+    pages = [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "u\nv", ""), (5, "http://c", tricky), (6, "", "é")]
+    path, out = str(tmp_path / "p"), str(tmp_path / "w")
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(path)
+    warc.write_archives(spark.read.parquet(path), out)
+    rows = warc.captures(warc.read_records(spark, out)).withColumn("page", warc.metadata_field("page")).collect()
+    assert {int(r.page) for r in rows} == {p for p, _, _ in pages}
+    by = {int(r.page): r for r in rows}
+    assert by[1].capture.record_type == "revisit" and by[1].capture.refers_to == by[2].record_id
+    assert by[3].capture.record_type == "revisit" and by[4].capture.record_type == "response"
+    assert bytes(by[5].capture.payload).decode() == tricky
+    assert bytes(by[6].capture.payload).decode() == "é"
+    assert by[2].request.head.decode().startswith("GET http://b/")
+    for r in rows:
+        assert r.request.concurrent_to == r.metadata.concurrent_to == r.record_id
+
+
+def test_archives_of_several_members():
+    record = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    found = list(warc.parse_archive(gzip.compress(record) + gzip.compress(record)))
+    assert [b for _, b in found] == [b"abc", b"abc"]
+
+
+def test_no_pages(spark, tmp_path):
+    path, out = str(tmp_path / "p"), str(tmp_path / "w")
+    spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(path)
+    warc.write_archives(spark.read.parquet(path), out)
+    assert warc.captures(warc.read_records(spark, out)).count() == 0
