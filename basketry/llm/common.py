@@ -76,11 +76,6 @@ def with_row_id(frame: DataFrame) -> DataFrame:
     return frame.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def only_rows(frame: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of a scanned frame whose row id is in `kept`, with its own columns."""
-    return with_row_id(frame).join(kept.select(ROW), ROW, "left_semi").select(*frame.columns)
-
-
 def pack(array: np.ndarray) -> bytes:
     """An array of unsigned 32-bit numbers, compressed."""
     raw = np.ascontiguousarray(array, dtype="<u4")

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, WORD_BYTES, only_rows, pack, stored, text_batches, unpack, with_row_id
+from .common import ROW, WORD_BYTES, pack, stored, text_batches, unpack, with_row_id
+from .graph import only_rows
 
 WINDOW = 10
 BLOCK_PHRASES = 200_000

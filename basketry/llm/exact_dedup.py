@@ -17,8 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ROW, only_rows, stored, with_row_id
-from .graph import join_few
+from .common import ROW, stored, with_row_id
+from .graph import join_few, only_rows
 
 FIRST_DIGIT = 64
 GROWTH = 16

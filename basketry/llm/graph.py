@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import ROW, stored
 
 BROADCAST_ROWS = 500_000
 ONE_TASK_LINKS = 200_000
@@ -21,6 +21,16 @@ def join_few(rows: DataFrame, few: DataFrame, on, how: str = "inner") -> DataFra
     return rows.join(few, on, how)
 
 
+def only_rows(frame: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of a scanned frame whose row id is in `kept`, with its own columns."""
+    name = ROW
+    while name in frame.columns:
+        name += "_"
+    rows = frame.withColumn(name, F.monotonically_increasing_id())
+    few = stored(kept.select(F.col(ROW).alias(name)))
+    return join_few(rows, few, name, "left_semi").select(*frame.columns)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in the links (u, v): the smallest node it reaches.
 

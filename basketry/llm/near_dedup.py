@@ -30,8 +30,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, only_rows, stored, text_batches, with_row_id
-from .graph import components, join_few
+from .common import ROW, stored, text_batches, with_row_id
+from .graph import components, join_few, only_rows
 
 BANDS, DEPTH = 24, 5
 SAMPLES = BANDS * DEPTH

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.llm import bpe, contamination, exact_dedup, language_crf, near_dedup
-from basketry.llm.common import ROW, only_rows, ship, stored, table
+from basketry.llm.common import ROW, ship, stored, table
+from basketry.llm.graph import only_rows
 
 LEAST_SCORE = 0.5  # mean probability of the text's language
 
@@ -19,7 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Rejects texts without a letter and texts of no prevailing language."""
     found = language_crf.identified(docs, language_crf.fitted(docs))
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return only_rows(docs, stored(kept.select(ROW)))
+    return only_rows(docs, kept)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
