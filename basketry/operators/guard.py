@@ -46,9 +46,13 @@ _ALLOWED_NODES = _SELECT_ROOTS | _SET_OPERATIONS | _SOURCES
 # Nodes that only wrap the SELECT whose kind decides rule G2.
 _WRAPPERS = {"Distinct", "GlobalLimit", "LocalLimit", "Offset", "Sort", "UnresolvedWith"}
 
-# Functions that call arbitrary JVM code.
+# Built-in functions that call arbitrary JVM code.
 _DENIED_FUNCTIONS = {"java_method", "reflect", "try_reflect"}
 
+# Expressions that compare for equality, and those that may stand between a join's
+# condition and its equalities.
+_EQUALITIES = {"EqualTo", "EqualNullSafe"}
+
 
 class QueryDenied(ValueError):
     """A query broke a rule; `rule` is one of G1 to G5."""
@@ -66,10 +70,11 @@ class Guard:
     session: SparkSession
     allowed: frozenset[str]
     max_rows: int
+    theta_joins: bool = False
 
     def query(self, sql: str) -> DataFrame:
         """The result of a permitted SELECT, never more than `max_rows` rows."""
-        check(self.session, sql, self.allowed)
+        check(self.session, sql, self.allowed, self.theta_joins)
         return self.session.sql(sql).limit(self.max_rows)
 
     def catalogue(self) -> DataFrame:
@@ -85,9 +90,13 @@ class Guard:
         )
 
     def query_or_error(self, sql: str) -> DataFrame | str:
-        """As `query`, with a refusal or a failed analysis as text."""
+        """As `query`, with a refusal, a failed analysis or a failed run as text.
+
+        The result is computed here, so that its errors are met; `max_rows` bounds it.
+        """
         try:
-            return self.query(sql)
+            result = self.query(sql)
+            return self.session.createDataFrame(result.collect(), result.schema)
         except (QueryDenied, PySparkException) as error:
             return f"Error: {error}"
 
@@ -97,9 +106,12 @@ def open_guard(
     register: Callable[[SparkSession], None] | None = None,
     allowed: Iterable[str] = GOLD_TABLES,
     max_rows: int = MAX_ROWS,
+    theta_joins: bool = False,
 ) -> Guard:
     """A guard over the current database, or over views that `register` creates.
 
+    A join needs an equality between its sides unless `theta_joins` are permitted.
+
     The settings must hold until a result is computed, hence a session that
     nothing else uses: no cartesian products, no files read as tables.
     """
@@ -111,10 +123,12 @@ def open_guard(
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     if register is not None:
         register(session)
-    return Guard(session, frozenset(name.lower() for name in allowed), max_rows)
+    return Guard(session, frozenset(name.lower() for name in allowed), max_rows, theta_joins)
 
 
-def check(spark: SparkSession, sql: str, allowed: frozenset[str]) -> None:
+def check(
+    spark: SparkSession, sql: str, allowed: frozenset[str], theta_joins: bool = False
+) -> None:
     """Raise QueryDenied unless the text is one plain SELECT over allowed tables."""
     parser = spark._jsparkSession.sessionState().sqlParser()
     try:
@@ -122,7 +136,24 @@ def check(spark: SparkSession, sql: str, allowed: frozenset[str]) -> None:
     except PySparkException as error:
         raise QueryDenied("G1", f"not a single readable statement: {error}") from error
     _check_root(plan)
-    _check_nodes(plan, allowed, frozenset())
+    rules = _Rules(allowed, _built_in(spark), theta_joins)
+    _check_nodes(plan, rules, frozenset())
+
+
+@dataclass(frozen=True)
+class _Rules:
+    allowed: frozenset[str]
+    functions: frozenset[str]
+    theta_joins: bool
+
+
+def _built_in(spark: SparkSession) -> frozenset[str]:
+    """Names of the functions that Spark itself brings, less the denied ones."""
+    registry = spark._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.builtin()
+    names = registry.listFunction()
+    return frozenset(
+        names.apply(at).funcName().lower() for at in range(names.size())
+    ) - _DENIED_FUNCTIONS
 
 
 def _kind(plan) -> str:
@@ -143,7 +174,7 @@ def _check_root(plan) -> None:
         raise QueryDenied("G2", f"only SELECT is permitted, not {kind}")
 
 
-def _check_nodes(plan, allowed: frozenset[str], ctes: frozenset[str]) -> None:
+def _check_nodes(plan, rules: _Rules, ctes: frozenset[str]) -> None:
     """Check a node and all below it; `ctes` are the names in scope here."""
     kind = _kind(plan)
     if kind == "UnresolvedWith":
@@ -151,9 +182,9 @@ def _check_nodes(plan, allowed: frozenset[str], ctes: frozenset[str]) -> None:
             raise QueryDenied("G3", "recursive queries are forbidden")
         for relation in _each(plan.cteRelations()):
             # A definition sees the names defined before it.
-            _check_nodes(relation._2(), allowed, ctes)
+            _check_nodes(relation._2(), rules, ctes)
             ctes = ctes | {relation._1().lower()}
-        _check_nodes(plan.child(), allowed, ctes)
+        _check_nodes(plan.child(), rules, ctes)
         return
     if kind == "UnresolvedTableValuedFunction":
         raise QueryDenied("G4", "table functions are not tables")
@@ -161,24 +192,53 @@ def _check_nodes(plan, allowed: frozenset[str], ctes: frozenset[str]) -> None:
         raise QueryDenied("G2", f"{kind} is not part of a plain SELECT")
     if kind == "UnresolvedRelation":
         name = ".".join(_each(plan.multipartIdentifier())).lower()
-        if name not in allowed and name not in ctes:
+        if name not in rules.allowed and name not in ctes:
             raise QueryDenied("G4", f"access to table '{name}' is denied")
     if kind == "Join" and plan.condition().isEmpty() and _kind(plan.joinType()) != "UsingJoin":
         raise QueryDenied("G5", "a join needs ON or USING")
-    _check_functions(plan)
+    if kind == "Join" and plan.condition().isDefined() and not rules.theta_joins:
+        if not _has_equality(plan.condition().get()):
+            raise QueryDenied("G5", "a join needs an equality between its sides")
+    _check_functions(plan, rules.functions)
     for below in (plan.children(), plan.subqueries()):
         for child in _each(below):
-            _check_nodes(child, allowed, ctes)
+            _check_nodes(child, rules, ctes)
+
+
+def _has_equality(condition) -> bool:
+    """Whether one of the conditions joined by AND equates columns of two relations.
+
+    The names are not resolved yet, so the sides must be named: `a.x = b.y`.
+    """
+    if _kind(condition) == "And":
+        return any(_has_equality(side) for side in _each(condition.children()))
+    if _kind(condition) not in _EQUALITIES:
+        return False
+    left, right = (_relations(side) for side in _each(condition.children()))
+    return bool(left and right and not left & right)
+
+
+def _relations(expression) -> set[str]:
+    """The relations whose columns an expression names."""
+    found, pending = set(), [expression]
+    while pending:
+        expression = pending.pop()
+        if _kind(expression) == "UnresolvedAttribute":
+            parts = [part.lower() for part in _each(expression.nameParts())]
+            found.add(parts[-2] if len(parts) > 1 else "")
+        pending.extend(_each(expression.children()))
+    return found
 
 
-def _check_functions(plan) -> None:
+def _check_functions(plan, functions: frozenset[str]) -> None:
+    """Built-in functions only: others may read tables or run code that no rule sees."""
     pending = list(_each(plan.expressions()))
     while pending:
         expression = pending.pop()
         if _kind(expression) == "UnresolvedFunction":
-            name = list(_each(expression.nameParts()))[-1].lower()
-            if name in _DENIED_FUNCTIONS:
-                raise QueryDenied("G2", f"function {name} is not permitted")
+            parts = list(_each(expression.nameParts()))
+            if len(parts) > 1 or parts[0].lower() not in functions:
+                raise QueryDenied("G2", f"function {'.'.join(parts)} is not permitted")
         pending.extend(_each(expression.children()))
 
 

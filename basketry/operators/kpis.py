@@ -7,6 +7,7 @@ customers or invoices cannot be added up across groups.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -114,17 +115,31 @@ def fact_lines(
     month: str | None = None,
     country: str | None = None,
     stock_code: str | None = None,
+    customer_id: int | None = None,
+    description: str | None = None,
+    from_date: date | None = None,
+    to_date: date | None = None,
 ) -> DataFrame:
-    """Fact lines by business rule; every given condition is a plain, pushable filter."""
+    """Fact lines by business rule; every given condition is a plain, pushable filter.
+
+    Dates count whole days, both ends included; lines without a readable date meet none.
+    """
     wanted = {
         "is_cancelled": None if cancelled is None else int(cancelled),
         "invoice_no": invoice_no,
         "invoice_year_month": month,
         "country": country,
         "stock_code": stock_code,
+        "customer_id": customer_id,
+        "product_description": description,
     }
     lines = tables[FACT]
     for column, value in wanted.items():
         if value is not None:
             lines = lines.where(F.col(column) == value)
+    if from_date is not None:
+        lines = lines.where(F.col("invoice_date") >= F.lit(from_date).cast("timestamp_ntz"))
+    if to_date is not None:
+        after = F.lit(to_date + timedelta(days=1)).cast("timestamp_ntz")
+        lines = lines.where(F.col("invoice_date") < after)
     return lines

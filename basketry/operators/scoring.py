@@ -25,6 +25,14 @@ TOLERANCE = 0.01
 NO_QUERY_LINE = " MODEL HALLUCINATED! (No DB queries executed)"
 RULE_LINE = "\n======================="
 EMPTY_ROW_ERROR = "list index out of range"
+FAILED_PREFIX = "CRITICAL FAIL | "
+NO_RUN_ERROR = "no run logged"
+QUESTION_PREFIX, QUESTION_END = "Q", ": "
+ANSWER_PREFIX = "Final Output: "
+QUERY_PREFIX, QUERY_END = "--- Query ", " ---"
+SQL_PREFIX = "SQL: "
+RESULT_PREFIX = "DB Result: "
+NO_TEXT = "None"
 
 
 def first_items(golden: DataFrame, count: int | None) -> DataFrame:
@@ -82,8 +90,7 @@ def scored_questions(
 ) -> DataFrame:
     """One row per golden question: success, correctness, latency, retries.
 
-    `parts` are the observations cut at `width`.  They are read several times, so
-    pass written ones.  A question without a logged run counts as failed; a failed one is not
+    `parts` are the observations cut at `width`.  A question without a logged run counts as failed; a failed one is not
     correct and adds no latency and no retries.
     """
     asked = golden.select("id", "has_expected", "expected_num", "expected_str")
@@ -164,30 +171,30 @@ def report_lines(golden: DataFrame, runs: DataFrame, queries: DataFrame) -> Data
         line = F.struct(number.cast("bigint").alias("line_no"), text.alias("line"))
         return line if when is None else F.when(when, line)
 
-    crash = F.concat(F.lit("CRITICAL FAIL | "), F.coalesce("error", F.lit("no run logged")))
+    crash = F.concat(F.lit(FAILED_PREFIX), F.coalesce("error", F.lit(NO_RUN_ERROR)))
     framing = F.when(failed, F.array(numbered(1, crash))).otherwise(
         F.array_compact(
             F.array(
                 numbered(1, F.lit(RULE_LINE)),
                 numbered(
-                    2, F.concat(F.lit("Q"), F.col("id").cast("string"), F.lit(": "), "question")
+                    2, F.concat(F.lit(QUESTION_PREFIX), F.col("id").cast("string"), F.lit(QUESTION_END), "question")
                 ),
                 numbered(3, F.lit(NO_QUERY_LINE), F.col("queries") == 0),
                 numbered(
                     closing,
-                    F.concat(F.lit("Final Output: "), F.coalesce("final_output", F.lit(""))),
+                    F.concat(F.lit(ANSWER_PREFIX), F.coalesce("final_output", F.lit(""))),
                 ),
                 numbered(
-                    closing + 1, F.lit(f"CRITICAL FAIL | {EMPTY_ROW_ERROR}"), no_first_value
+                    closing + 1, F.lit(FAILED_PREFIX + EMPTY_ROW_ERROR), no_first_value
                 ),
             )
         )
     )
     at = F.col("query_no") * 3
     steps = F.array(
-        numbered(at, F.concat(F.lit("--- Query "), F.col("query_no").cast("string"), F.lit(" ---"))),
-        numbered(at + 1, F.concat(F.lit("SQL: "), F.coalesce("query", F.lit("None")))),
-        numbered(at + 2, F.concat(F.lit("DB Result: "), F.coalesce("result", F.lit("None")))),
+        numbered(at, F.concat(F.lit(QUERY_PREFIX), F.col("query_no").cast("string"), F.lit(QUERY_END))),
+        numbered(at + 1, F.concat(F.lit(SQL_PREFIX), F.coalesce("query", F.lit(NO_TEXT)))),
+        numbered(at + 2, F.concat(F.lit(RESULT_PREFIX), F.coalesce("result", F.lit(NO_TEXT)))),
     )
     succeeded = answers.where(~failed).select("id", "position")
     return (

@@ -56,6 +56,8 @@ def retries(queries: DataFrame) -> DataFrame:
     )
 
 
-def without_queries(golden: DataFrame, queries: DataFrame) -> DataFrame:
-    """Questions answered without a single logged query."""
-    return golden.join(queries.select("id").distinct(), "id", "left_anti")
+def without_queries(golden: DataFrame, runs: DataFrame, queries: DataFrame) -> DataFrame:
+    """Questions whose run succeeded without a single logged query."""
+    succeeded = runs.where("NOT failed").select("id")
+    answered = golden.join(succeeded, "id", "left_semi")
+    return answered.join(queries.select("id").distinct(), "id", "left_anti")

@@ -12,16 +12,18 @@ TOKENS = ("prompt_tokens", "completion_tokens", "total_tokens")
 
 
 def call_tokens(calls: DataFrame) -> DataFrame:
-    """Tokens per call, each call id once.
+    """Tokens per call, each call id once; calls without an id each count.
 
-    A call reports usage in one of two layouts.  The first, when present, counts
-    whole; fields it lacks are 0 and are not looked up in the second.
+    A call reports usage in one of two layouts.  The first, when it has any field,
+    counts whole; fields it lacks are 0 and are not looked up in the second.
     """
     current, older = F.col("usage_metadata"), F.col("token_usage")
+    fields = ("input_tokens", "output_tokens", "total_tokens")
+    reported = F.coalesce(*[current[name] for name in fields]).isNotNull()
 
     def pick(name: str, older_name: str) -> Column:
         return F.coalesce(
-            F.when(current.isNotNull(), current[name]).otherwise(older[older_name]), F.lit(0)
+            F.when(reported, current[name]).otherwise(older[older_name]), F.lit(0)
         ).cast("bigint")
 
     layouts = {
@@ -30,13 +32,18 @@ def call_tokens(calls: DataFrame) -> DataFrame:
         "total_tokens": pick("total_tokens", "total_tokens"),
     }
     # A call logged twice carries the same numbers; max combines before the shuffle.
-    return (
-        calls.select("call_id", *[value.alias(name) for name, value in layouts.items()])
-        .groupBy("call_id")
-        .agg(*[F.max(name).alias(name) for name in TOKENS])
+    rows = calls.select("call_id", *[value.alias(name) for name, value in layouts.items()])
+    known = rows.where("call_id IS NOT NULL").groupBy("call_id")
+    return known.agg(*[F.max(name).alias(name) for name in TOKENS]).unionByName(
+        rows.where("call_id IS NULL")
     )
 
 
+def calls_of(calls: DataFrame, questions: DataFrame) -> DataFrame:
+    """The calls made for the given questions."""
+    return calls.join(questions.select("id").distinct(), "id", "left_semi")
+
+
 def token_totals(calls: DataFrame) -> DataFrame:
     """One row: tokens of the whole run."""
     return call_tokens(calls).agg(

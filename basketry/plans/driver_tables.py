@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.operators import gold, silver
 from basketry.sources.golden import normalise_golden
 from basketry.sources.raw_csv import normalise
-from basketry.sources.tables import spread
 
 # Columns read from each table; a given schema saves the job that infers it.
 SCHEMAS = {
@@ -74,7 +73,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = _keyed(spark, sf_dir, "orders", o_orderkey="l_orderkey").join(customers, "o_custkey")
     return (
-        spread(table(spark, sf_dir, "lineitem"))
+        table(spark, sf_dir, "lineitem")
         .join(orders, "l_orderkey")
         .join(_keyed(spark, sf_dir, "part", p_partkey="l_partkey"), "l_partkey")
         .selectExpr(*[f"{text} AS `{name}`" for name, text in _RAW_TEXT.items()])
@@ -116,7 +115,8 @@ def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model calls with their usage in one of two layouts, or in neither."""
+    """Model calls with their usage in one of two layouts, in neither, or behind an empty first
+    one; some without an id."""
     return (
         table(spark, sf_dir, "events")
         .where("event_type = 'signup'")
@@ -124,10 +124,12 @@ def llm_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
             "event_id AS call_id", "user_id AS id", "bigint(get_json_object(props, '$.k')) AS k"
         )
         .selectExpr(
-            "call_id",
+            "IF(call_id % 7 = 3, NULL, call_id) AS call_id",
             "id",
             """CASE WHEN call_id % 3 <> 0 THEN named_struct(
                 'input_tokens', k, 'output_tokens', k % 7, 'total_tokens', k + k % 7)
+                 WHEN call_id % 2 = 0 THEN named_struct('input_tokens', CAST(NULL AS BIGINT),
+                'output_tokens', CAST(NULL AS BIGINT), 'total_tokens', CAST(NULL AS BIGINT))
                END AS usage_metadata""",
             """CASE WHEN call_id % 3 = 0 AND call_id % 15 <> 0 THEN named_struct(
                 'prompt_tokens', k, 'completion_tokens', k % 7, 'total_tokens', k + k % 7)

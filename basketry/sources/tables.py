@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -11,40 +9,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from basketry.schema import GOLD_TABLES
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out an input that arrives in fewer splits than there are task slots.
-
-    One small file is one task, however many cores wait.  Inputs with enough
-    splits, which is any large one, pass through without a shuffle.
-    """
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(slots) if rows.rdd.getNumPartitions() < slots else rows
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, named by spark.checkpoint.dir.
-
-    Only a local session, whose executors are this machine, may do without it.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="basketry-")
-
-
-def written(rows: DataFrame) -> DataFrame:
-    """The rows, computed once into the shared folder and read back.
-
-    For a costly result that several branches of a plan read: none of them
-    computes it again, nor does a lost executor.
-    """
-    path = f"{shared_folder(rows.sparkSession)}/basketry/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 @dataclass(frozen=True)
 class Lake:
     """Parquet tables of one database."""

@@ -64,32 +64,56 @@ product AS (
 )"""
 
 _COUNTRY = """
-by_country AS (
-  SELECT country,
-         COUNT(DISTINCT customer_id) FILTER (WHERE customer_id >= 0)
-           AS total_registered_customers,
-         COUNT(DISTINCT invoice_no) AS total_invoices,
-         CAST(SUM(total_line_price) AS DOUBLE) AS net_revenue
+country_customers AS (
+  SELECT country, COUNT(*) AS total_registered_customers
+  FROM (SELECT DISTINCT country, customer_id FROM silver WHERE customer_id <> -1)
+  GROUP BY country
+),
+country_invoices AS (
+  SELECT country, COUNT(*) AS total_invoices
+  FROM (SELECT DISTINCT country, invoice_no FROM silver WHERE invoice_no IS NOT NULL)
+  GROUP BY country
+),
+country_amounts AS (
+  SELECT country, CAST(SUM(total_line_price) AS DOUBLE) AS net_revenue
   FROM silver GROUP BY country
+),
+by_country AS (
+  SELECT a.country, COALESCE(total_registered_customers, 0) AS total_registered_customers,
+         COALESCE(total_invoices, 0) AS total_invoices, net_revenue
+  FROM country_amounts a
+  LEFT JOIN country_customers c ON a.country IS NOT DISTINCT FROM c.country
+  LEFT JOIN country_invoices i ON a.country IS NOT DISTINCT FROM i.country
 )"""
 
 _MONTHLY = """
-month_sums AS (
-  SELECT invoice_year_month, invoice_year, invoice_month,
-         SUM(total_line_price) AS net,
-         SUM(total_line_price * (1 - is_cancelled)) AS gross,
-         SUM(ABS(total_line_price) * is_cancelled) AS refunded,
-         COUNT(DISTINCT invoice_no) AS invoices
-  FROM silver GROUP BY ALL
+months AS (
+  SELECT DISTINCT invoice_year_month, invoice_year, invoice_month FROM silver
+),
+sold AS (
+  SELECT invoice_year_month AS m, SUM(total_line_price) AS gross
+  FROM silver WHERE is_cancelled = 0 GROUP BY invoice_year_month
+),
+given_back AS (
+  SELECT invoice_year_month AS m, SUM(total_line_price) AS net, SUM(ABS(total_line_price)) AS refunded
+  FROM silver WHERE is_cancelled = 1 GROUP BY invoice_year_month
+),
+month_invoices AS (
+  SELECT invoice_year_month AS m, COUNT(*) AS invoices
+  FROM (SELECT DISTINCT invoice_year_month, invoice_no FROM silver) GROUP BY invoice_year_month
 ),
 monthly AS (
   SELECT invoice_year_month, invoice_year, invoice_month,
-         CAST(net AS DOUBLE) AS net_monthly_revenue,
-         CAST(gross AS DOUBLE) AS gross_monthly_revenue,
-         CAST(refunded AS DOUBLE) AS total_refunded_amount,
-         CAST(refunded AS DOUBLE) / NULLIF(CAST(gross AS DOUBLE), 0) AS return_rate,
+         CAST(COALESCE(gross, 0) + COALESCE(net, 0) AS DOUBLE) AS net_monthly_revenue,
+         CAST(COALESCE(gross, 0) AS DOUBLE) AS gross_monthly_revenue,
+         CAST(COALESCE(refunded, 0) AS DOUBLE) AS total_refunded_amount,
+         CAST(COALESCE(refunded, 0) AS DOUBLE) / NULLIF(CAST(COALESCE(gross, 0) AS DOUBLE), 0)
+           AS return_rate,
          invoices AS monthly_transactions
-  FROM month_sums
+  FROM months
+  LEFT JOIN sold ON sold.m IS NOT DISTINCT FROM invoice_year_month
+  LEFT JOIN given_back ON given_back.m IS NOT DISTINCT FROM invoice_year_month
+  LEFT JOIN month_invoices ON month_invoices.m IS NOT DISTINCT FROM invoice_year_month
 )"""
 
 _RFM = """
@@ -303,7 +327,9 @@ SELECT id, COUNT(*) FILTER (WHERE contains(result, 'Error') OR contains(result,
 FROM pairs GROUP BY id""",
     "eval_no_query": _with(_GOLDEN, _STEPS)
     + """
-SELECT id, question FROM golden WHERE id NOT IN (SELECT id FROM pairs)""",
+SELECT g.id, g.question FROM golden g
+JOIN runs r ON g.id = r.id AND NOT r.failed
+LEFT JOIN (SELECT DISTINCT id FROM pairs) p ON g.id = p.id WHERE p.id IS NULL""",
     "eval_run_metrics": _with(_GOLDEN, _STEPS, _VERIFIED, _TOKENS)
     + """
 SELECT n AS batch_size, ok AS successful_executions, right_ones AS correct_results,

@@ -11,7 +11,7 @@ from basketry.operators import scoring, tool_log, usage
 from basketry.operators.observation import observation_parts
 from basketry.plans.evaluate import RUNS_TABLE, LoggedRun, evaluate
 from basketry.sources.golden import normalise_golden, read_golden
-from basketry.sources.tables import Lake, write_report, written
+from basketry.sources.tables import Lake, write_report
 
 EVENTS = "id bigint, seq bigint, kind string, tool string, payload string"
 RUNS = "id bigint, final_output string, latency_sec double, failed boolean, error string"
@@ -230,6 +230,27 @@ def test_metrics_of_an_empty_batch_are_zero(spark, small_run):
     assert all(value == 0 for value in row)
 
 
+def test_empty_first_layout_and_calls_without_id(spark):
+    rows = [
+        (1, 0, (None, None, None), (10, 5, 15)),
+        (None, 0, (1, 1, 2), None),
+        (None, 0, (3, 3, 6), None),
+        (2, 0, (4, None, 4), (100, 100, 200)),
+        (2, 0, (4, None, 4), None),
+    ]
+    assert tuple(usage.token_totals(spark.createDataFrame(rows, CALLS)).first()) == (18, 9, 27)
+
+
+def test_planning_a_run_starts_no_job(spark, small_run):
+    golden, runs, _ = small_run
+    events = spark.createDataFrame([(0, 1, "tool_start", "sql_db_query", "q")], EVENTS)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    logged = LoggedRun(golden, runs, events, spark.createDataFrame([], CALLS))
+    logged.scored(), logged.metrics(), logged.report()
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+
+
 def test_tokens_without_calls(spark):
     assert tuple(usage.token_totals(spark.createDataFrame([], CALLS)).first()) == (0, 0, 0)
 
@@ -269,8 +290,8 @@ def test_report(spark, small_run, tmp_path):
 
 
 def test_questions_without_queries(spark, small_run):
-    golden, _, queries = small_run
-    assert {r["id"] for r in tool_log.without_queries(golden, queries).collect()} == {1, 4}
+    golden, runs, queries = small_run
+    assert {r["id"] for r in tool_log.without_queries(golden, runs, queries).collect()} == {1}
 
 
 def test_a_logged_run_end_to_end(spark, small_run, tmp_path):
@@ -287,20 +308,17 @@ def test_a_logged_run_end_to_end(spark, small_run, tmp_path):
         EVENTS,
     )
     lake = Lake(spark)
-    logged = LoggedRun(golden, runs, events, spark.createDataFrame([], CALLS))
+    calls = spark.createDataFrame([(1, 0, (1, 2, 3), None), (2, 4, (10, 20, 30), None)], CALLS)
+    logged = LoggedRun(golden, runs, events, calls)
     first_two = replace(logged, batch_size=2)
     evaluate(lake, logged, str(tmp_path / "all"), {"model_name": "m"})
     evaluate(lake, first_two, str(tmp_path / "two"), {"model_name": "m"})
     rows = lake.table(RUNS_TABLE).orderBy("batch_size").collect()
+    assert len({r["run_id"] for r in rows}) == 2 and all(r["started_at"] for r in rows)
     assert [r["batch_size"] for r in rows] == [2, 5]
     assert [r["execution_accuracy"] for r in rows] == [100.0, 60.0]
+    assert [r["total_tokens"] for r in rows] == [3, 33]  # of the batch's questions only
     text = "".join(f.read_text() for f in sorted((tmp_path / "all").glob("part-*")))
     assert text == REPORT + "\n"
     short = "".join(f.read_text() for f in sorted((tmp_path / "two").glob("part-*")))
     assert "Q1" in short and "Q2" not in short
-
-
-def test_written_rows_go_to_the_shared_folder(spark):
-    copy = written(spark.range(5))
-    assert copy.count() == 5
-    assert spark.conf.get("spark.checkpoint.dir") in copy.inputFiles()[0]
