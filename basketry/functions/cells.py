@@ -14,9 +14,27 @@ def missing_to_null(name: str) -> str:
 
 
 def whole_number(text: str, type_name: str) -> Column:
-    """`6` and `6.0` as an integer; under ANSI casts a fraction is an error, not 6."""
+    """`6` and `6.0` as an integer; any other text is an error that names it, in every mode."""
     without_zeros = rf"regexp_replace({text}, r'\.0+$', '')"
-    return F.expr(f"CAST(IF({text} LIKE '%.%', {without_zeros}, {text}) AS {type_name})")
+    number = f"TRY_CAST(IF({text} LIKE '%.%', {without_zeros}, {text}) AS {type_name})"
+    # A try_cast to an integer cuts fractions off in some notations; compare as decimals.
+    fits = f"coalesce({number} = TRY_CAST({text} AS DECIMAL(38,10)), false)"
+    wrong = f"raise_error(concat('{text} is not a whole number: ', {text}))"
+    return F.expr(f"CASE WHEN {text} IS NULL OR {fits} THEN {number} ELSE {wrong} END")
+
+
+def exact_amount(text: str, scale: int) -> Column:
+    """The text as decimal(18, scale), never rounded.
+
+    Text that is no number, or has more decimals than the scale holds, is an error that
+    names it, in every mode.  Decimals beyond the 20th are not looked at.
+    """
+    wide = f"TRY_CAST({text} AS DECIMAL(38,20))"
+    amount = f"TRY_CAST({wide} AS DECIMAL(18,{int(scale)}))"
+    wrong = f"raise_error(concat('{text} does not fit decimal(18,{int(scale)}): ', {text}))"
+    return F.expr(
+        f"CASE WHEN {text} IS NULL OR coalesce({amount} = {wide}, false) THEN {amount} ELSE {wrong} END"
+    )
 
 
 # The default date format, and its shape for the fast path below.

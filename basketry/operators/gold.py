@@ -3,7 +3,8 @@
 Every aggregate is a plain grouped aggregation.  Sums combine before the
 shuffle, and a distinct count is shuffled on (group, value), so a group holding
 a large share of all lines (one country, one product, one month) is spread over
-all tasks and only its partial results meet.
+all tasks and only its partial results meet.  Amounts stay exact decimals, so that
+they can be added up further; they become DOUBLE where they are read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ def product_metrics(silver: DataFrame) -> DataFrame:
     """Per (description, code): units, revenue, cancelled lines, invoices."""
     return silver.groupBy("product_description", "stock_code").agg(
         F.sum("quantity").alias("net_units_sold"),
-        money(F.sum("total_line_price")).alias("net_revenue"),
+        F.sum("total_line_price").alias("net_revenue"),
         F.sum("is_cancelled").alias("total_cancellations"),
         F.count_distinct("invoice_no").alias("distinct_transactions"),
     )
@@ -42,7 +43,7 @@ def country_metrics(silver: DataFrame) -> DataFrame:
     return invoices.groupBy("country").agg(
         F.count_distinct(known_customer).alias("total_registered_customers"),
         F.count_distinct("invoice_no").alias("total_invoices"),
-        money(F.sum("invoice_total")).alias("net_revenue"),
+        F.sum("invoice_total").alias("net_revenue"),
     )
 
 
@@ -56,13 +57,13 @@ def monthly_trends(silver: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("is_cancelled") == cancelled, amount).otherwise(0))
 
     amount = F.col("total_line_price")
-    gross = money(total_where(0, amount))
-    refunded = money(total_where(1, F.abs(amount)))
+    gross = total_where(0, amount)
+    refunded = total_where(1, F.abs(amount))
     return silver.groupBy("invoice_year_month", "invoice_year", "invoice_month").agg(
-        money(F.sum(amount)).alias("net_monthly_revenue"),
+        F.sum(amount).alias("net_monthly_revenue"),
         gross.alias("gross_monthly_revenue"),
         refunded.alias("total_refunded_amount"),
-        (refunded / F.nullif(gross, F.lit(0.0))).alias("return_rate"),
+        (money(refunded) / F.nullif(money(gross), F.lit(0.0))).alias("return_rate"),
         F.count_distinct("invoice_no").alias("monthly_transactions"),
     )
 
@@ -76,7 +77,7 @@ def customer_rfm(silver: DataFrame) -> DataFrame:
         .agg(
             F.max("invoice_date").alias("last_purchase_date"),
             F.count_distinct("invoice_no").alias("frequency_of_purchase"),
-            money(F.sum(amount)).alias("monetary_value"),
+            F.sum(amount).alias("monetary_value"),
             (money(F.sum(amount)) / F.nullif(F.count(amount), F.lit(0))).alias(
                 "average_order_value"
             ),

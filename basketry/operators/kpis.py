@@ -76,11 +76,11 @@ def metric(tables: Tables, name: str, **filters: object) -> DataFrame:
     source = source_of(name, filters)
     rows = _where(tables[source], filters)
     if name in BREAKDOWNS:
-        return rows.select(*BREAKDOWNS[name][1])
+        amounts = {c: money(F.col(c)) for c in BREAKDOWNS[name][1] if c.endswith("revenue")}
+        return rows.select(*BREAKDOWNS[name][1]).withColumns(amounts)
     rollups, line_amount = TOTALS[name]
     amount = F.expr(line_amount if source == FACT else rollups[source])
-    # Rollups publish DOUBLE; decimals make the sum independent of the row order.
-    return rows.agg(money(F.sum(amount.cast("decimal(38,4)"))).alias(name))
+    return rows.agg(money(F.sum(amount)).alias(name))
 
 
 def country_count(tables: Tables) -> DataFrame:
@@ -92,7 +92,7 @@ def top_customers(tables: Tables, k: int = 10) -> DataFrame:
     """Customers by spend; a heap of k rows per task, never a full sort."""
     return (
         tables[RFM]
-        .select("customer_id", "country", "monetary_value")
+        .select("customer_id", "country", money(F.col("monetary_value")).alias("monetary_value"))
         .orderBy(F.col("monetary_value").desc(), "customer_id", "country")
         .limit(k)
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.cells import ISO_FORMAT, timestamp_or_null, whole_number
+from basketry.functions.cells import ISO_FORMAT, exact_amount, timestamp_or_null, whole_number
 from basketry.schema import COLUMN_NAMES, GUEST_ID, SILVER_COLUMNS
 
 DATE_FORMAT = ISO_FORMAT
@@ -21,7 +21,7 @@ def typed(raw: DataFrame, price_scale: int = PRICE_SCALE) -> DataFrame:
         {
             "quantity": whole_number("quantity", "INT"),
             # Decimal prices make every later sum exact and order-independent.
-            "unit_price": F.col("unit_price").cast(f"decimal(18,{price_scale})"),
+            "unit_price": exact_amount("unit_price", price_scale),
             "customer_id": customer,
         }
     )

@@ -15,11 +15,10 @@ from basketry.sources.raw_csv import read_raw
 from basketry.sources.tables import Lake
 
 
-def published(lines: DataFrame) -> DataFrame:
-    """Silver or fact lines with their exact decimal amounts as DOUBLE."""
-    return lines.withColumns(
-        {name: money(F.col(name)) for name in ("unit_price", "total_line_price")}
-    )
+def published(rows: DataFrame) -> DataFrame:
+    """Rows for reading: exact decimal amounts, as the tables keep them, as DOUBLE."""
+    amounts = [name for name, kind in rows.dtypes if kind.startswith("decimal")]
+    return rows.withColumns({name: money(F.col(name)) for name in amounts})
 
 
 def row_counts(raw: DataFrame, price_scale: int = silver.PRICE_SCALE) -> DataFrame:
@@ -45,9 +44,12 @@ def ingest(lake: Lake, csv_path: str, multi_line: bool | None = None) -> int:
     return lake.replace_counted(BRONZE, read_raw(lake.spark, csv_path, multi_line))
 
 
-def cleanse(lake: Lake, date_format: str = silver.DATE_FORMAT) -> int:
+def cleanse(
+    lake: Lake, date_format: str = silver.DATE_FORMAT, price_scale: int = silver.PRICE_SCALE
+) -> int:
     """Bronze into silver; returns its row count."""
-    return lake.replace_counted(SILVER, silver.cleanse(lake.table(BRONZE), date_format))
+    lines = silver.cleanse(lake.table(BRONZE), date_format, price_scale)
+    return lake.replace_counted(SILVER, lines)
 
 
 def publish(lake: Lake, copy_fact: bool = False) -> None:
@@ -72,6 +74,7 @@ def refresh(
     multi_line: bool | None = None,
     keep_bronze: bool = True,
     copy_fact: bool = False,
+    price_scale: int = silver.PRICE_SCALE,
 ) -> dict[str, int]:
     """All layers in one go; returns the row counts of bronze and silver.
 
@@ -79,11 +82,12 @@ def refresh(
     """
     lake = Lake(spark, database)
     if keep_bronze:
-        counts = {BRONZE: ingest(lake, csv_path, multi_line), SILVER: cleanse(lake, date_format)}
+        raw_rows = ingest(lake, csv_path, multi_line)
+        counts = {BRONZE: raw_rows, SILVER: cleanse(lake, date_format, price_scale)}
     else:
         seen = Observation()
         raw = read_raw(spark, csv_path, multi_line).observe(seen, F.count(F.lit(1)).alias("rows"))
-        valid = lake.replace_counted(SILVER, silver.cleanse(raw, date_format))
+        valid = lake.replace_counted(SILVER, silver.cleanse(raw, date_format, price_scale))
         counts = {BRONZE: seen.get["rows"], SILVER: valid}
     publish(lake, copy_fact)
     return counts

@@ -182,7 +182,33 @@ def test_fact_filters(tables):
 def test_top_customers_are_ranked(tables):
     top = [r["monetary_value"] for r in kpis.top_customers(tables, 5).collect()]
     everyone = sorted(
-        (r[0] for r in tables[RFM].select("monetary_value").collect() if r[0] is not None),
+        (float(r[0]) for r in tables[RFM].select("monetary_value").collect() if r[0] is not None),
         reverse=True,
     )
     assert top == everyone[:5]
+
+
+def test_stored_amounts_stay_exact(spark):
+    """Two amounts that differ from each other beyond what a DOUBLE holds."""
+    lines = spark.sql(
+        "SELECT 'C' AS country, 1 AS is_cancelled, CAST(9999999999999.0001 AS DECIMAL(38,4)) AS net_revenue "
+        "UNION ALL SELECT 'D', 0, CAST(-9999999999999 AS DECIMAL(38,4))"
+    )
+    total = kpis.metric({"gold_agg_country_metrics": lines}, "total_net_revenue").first()[0]
+    assert total == 0.0001
+
+
+def test_fact_lines_by_customer_description_and_dates(tables):
+    from datetime import date, datetime, timedelta
+
+    one = tables[FACT].where("customer_id > 0 AND invoice_date IS NOT NULL AND product_description IS NOT NULL").first()
+    day = one.invoice_date.date()
+    found = kpis.fact_lines(
+        tables, customer_id=one.customer_id, description=one.product_description, from_date=day, to_date=day
+    ).collect()
+    expected = tables[FACT].where(
+        (F.col("customer_id") == one.customer_id) & (F.col("product_description") == one.product_description)
+    ).collect()
+    start = datetime.combine(day, datetime.min.time())
+    wanted = [r for r in expected if r.invoice_date and start <= r.invoice_date < start + timedelta(days=1)]
+    assert sorted(map(str, found)) == sorted(map(str, wanted)) and found

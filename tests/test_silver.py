@@ -114,3 +114,31 @@ def test_a_fractional_quantity_is_an_error(spark):
 def test_price_scale_is_a_parameter(spark):
     row = cleansed(spark, {"Price": "0.123456"}, price_scale=6)[0]
     assert row["unit_price"] == Decimal("0.123456")
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_small_prices_are_kept_exactly(spark, ansi):
+    changes = [{"Price": "0.000004"}, {"Price": "0.123456", "Quantity": "2"}, {"Price": "1e-6"}]
+    rows = cleansed(spark, *changes, price_scale=6)
+    assert [r.unit_price for r in rows] == [Decimal(p) for p in ("0.000004", "0.123456", "0.000001")]
+    assert rows[1].total_line_price == Decimal("0.246912")
+
+
+@pytest.mark.parametrize(
+    "change",
+    [{"Price": "0.00004"}, {"Price": "abc"}, {"Price": "123456789012345678"}, {"Quantity": "1.5"}, {"Quantity": "x"}],
+)
+def test_cells_that_do_not_fit_are_errors(spark, ansi, change):
+    with pytest.raises(PySparkException, match=next(iter(change.values()))):
+        cleansed(spark, change)
+
+
+def test_whole_quantities_in_other_notations(spark, ansi):
+    assert [r.quantity for r in cleansed(spark, {"Quantity": "6.0"}, {"Quantity": "-3"}, {"Quantity": "12.00"})] == [6, -3, 12]
