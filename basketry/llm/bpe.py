@@ -19,13 +19,13 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import ROW, pack, text_batches, unpack, unpack_words, with_row_id
-from .word_blocks import by_word, gathered, join_by_block, spans, with_ids, word_blocks
+from .word_blocks import by_word, gathered, join_by_block, spans, word_blocks
 
 # Fixed value: how the byte-level tokenizer cuts a text into words.
 WORDS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 
 
 class Vocabulary:
@@ -145,7 +145,7 @@ def _encode_words(shipped):
     return run
 
 
-def _assemble(ids, counts, numbers, values: pa.Table):
+def _assemble(counts, numbers, values: pa.Table):
     words = int(numbers.max()) + 1 if len(numbers) else 0
     start, length = np.zeros(words, np.int64), np.zeros(words, np.int64)
     flats, total = [], 0
@@ -164,9 +164,7 @@ def _assemble(ids, counts, numbers, values: pa.Table):
         cuts = before[np.concatenate([[0], np.cumsum(counts[first:last], dtype=np.int64)])]
         offsets = pa.py_buffer((cuts * 4).astype(np.int32))
         own = pa.Array.from_buffers(pa.binary(), last - first, [None, offsets, pa.py_buffer(coded)])
-        yield pa.record_batch(
-            [pa.array(ids[first:last]), pa.array(np.diff(cuts)), own], names=[ROW, "n_tokens", "ids"]
-        )
+        yield pa.record_batch([pa.array(np.diff(cuts)), own], names=["n_tokens", "ids"])
 
 
 def encode(
@@ -180,13 +178,15 @@ def encode(
     table gives an empty result; other columns are ignored.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary.text)
-    texts = with_row_id(docs).select(ROW, F.col(text_column).cast("string").alias("_text"))
+    texts = with_row_id(docs).select(
+        ROW, F.col(text_column).cast("string").alias("_text"), F.col(id_column).cast("bigint").alias("doc_id")
+    )
     blocks = word_blocks(texts, splitter(list(vocabulary.specials), shipped))
     coded = by_word(blocks.words.select("block", "bucket", "words", "at")).mapInArrow(
         _encode_words(shipped), "block bigint, at binary, sizes binary, flat binary"
     )
-    schema = f"{ROW} bigint, n_tokens bigint, ids binary"
-    return with_ids(join_by_block(blocks, coded, _assemble, schema), docs, id_column)
+    schema = f"{ROW} bigint, doc_id bigint, n_tokens bigint, ids binary"
+    return join_by_block(blocks, coded, _assemble, schema)
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> DataFrame:

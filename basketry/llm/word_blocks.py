@@ -13,6 +13,7 @@ once.  A frequent word stands in a block's row once, so it is no hot key.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
@@ -22,19 +23,20 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, pack, pack_words, stored, text_batches, unpack
+from .common import ROW, pack, pack_words, shared_folder, text_batches, unpack
 
 BLOCK_BYTES = 16 << 20
-BUCKETS = 1024
+BUCKETS = 128
 
 _BLOCK = (
     "block bigint, bucket int, words binary, weights binary, at binary, "
-    "ids binary, counts binary, numbers binary"
+    "ids array<bigint>, doc_ids array<bigint>, counts binary, numbers binary"
 )
+_KINDS = [pa.int64(), pa.int32(), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 2]
 
 
 class WordBlocks(NamedTuple):
-    documents: DataFrame  # block, ids (row ids), counts (words per document), numbers
+    documents: DataFrame  # block, ids (row ids), doc_ids, counts (words per document), numbers
     words: DataFrame  # block, bucket, words, weights, at (their numbers)
 
 
@@ -64,37 +66,47 @@ def word_blocks(
     split: Callable[[str | None], list[bytes]],
     block_bytes: int = BLOCK_BYTES,
 ) -> WordBlocks:
-    """Blocks of `docs` (row id, text, optional weight), stored.
+    """Blocks of `docs` (row id, text, document id, optional weight), stored.
 
-    `weights` of a word add up the weights of the documents' occurrences (1 where
-    `docs` has no third column).
+    `weights` of a word add up the weights of the documents it occurs in, once per
+    occurrence; without a weight column they are NULL.  Document ids are integers.
     """
-    weighted = len(docs.columns) > 2
+    weighted = len(docs.columns) > 3
+    spark = docs.sparkSession
 
     def run(batches):
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(text_batches(batches, 1, block_bytes)):
             block = (part << 32) | number
-            weights = batch.column(2).to_numpy(zero_copy_only=False) if weighted else None
+            weights = batch.column(3).to_numpy(zero_copy_only=False) if weighted else None
             words, weight, counts, numbers = _numbered(batch.column(1).to_pylist(), weights, split)
             bucket = np.fromiter((xxhash.xxh32_intdigest(w) % BUCKETS for w in words), np.int64, len(words))
             order = np.argsort(bucket, kind="stable")
             found, first = np.unique(bucket[order], return_index=True)
             rows = [
-                (block, int(b), pack_words([words[i] for i in own.tolist()]), pack(weight[own]), pack(np.diff(own, prepend=0)), None, None, None)
+                (
+                    block, int(b), pack_words([words[i] for i in own.tolist()]),
+                    pack(weight[own]) if weighted else None, pack(np.diff(own, prepend=0)), *[None] * 4,
+                )
                 for b, own in zip(found, np.split(order, first[1:]))
             ] if words else []
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-            rows.append((block, None, None, None, None, ids, pack(counts), pack(numbers)))
+            ids = [batch.column(k).to_pylist() for k in (0, 2)]
+            rows.append((block, *[None] * 4, *ids, pack(counts), pack(numbers)))
             names = [c.split()[0] for c in _BLOCK.split(", ")]
-            kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
             for at in range(0, len(rows), 256):
                 columns = zip(*rows[at : at + 256])
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    table = stored(docs.mapInArrow(run, _BLOCK))
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, _KINDS)], names=names)
+
+    # Laid out by block, so that the position side is read where its values are sent and
+    # is not shuffled.  Only the files matter: the table's name goes once they are resolved.
+    name = f"word_blocks_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = docs.mapInArrow(run, _BLOCK).write.option("compression", "zstd")
+    writer.bucketBy(parts, "block").option("path", shared_folder(spark)).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
     return WordBlocks(
-        table.where("bucket IS NULL").select("block", "ids", "counts", "numbers"),
+        table.where("bucket IS NULL").select("block", "ids", "doc_ids", "counts", "numbers"),
         table.where("bucket IS NOT NULL").select("block", "bucket", "words", "weights", "at"),
     )
 
@@ -109,14 +121,21 @@ def by_word(words: DataFrame) -> DataFrame:
 def join_by_block(blocks: WordBlocks, values: DataFrame, assemble, schema: str) -> DataFrame:
     """Bring looked-up `values` (block, ...) back to their block's documents.
 
-    `assemble(ids, counts, numbers, values)` gets one block: the row ids, words per
-    document and word numbers, and an Arrow table of values; it yields record batches.
+    `assemble(counts, numbers, values)` gets one block: words per document, word numbers,
+    and an Arrow table of values.  It yields record batches with a row per document, in
+    order; row and document ids come first in `schema` and are added here.
     """
 
     def run(key, left: pa.Table, right: pa.Table):
-        row = left.to_pylist()[0]
-        ids = np.frombuffer(row["ids"], "<i8")
-        return pa.Table.from_batches(assemble(ids, unpack(row["counts"]), unpack(row["numbers"]), right))
+        row = left.select(["ids", "doc_ids"]).combine_chunks()
+        ids = [row.column(k)[0].values for k in range(2)]
+        counts, numbers = (unpack(left.column(k)[0].as_py()) for k in ("counts", "numbers"))
+        at, out = 0, []
+        for batch in assemble(counts, numbers, right):
+            own = [column.slice(at, batch.num_rows) for column in ids]
+            out.append(pa.record_batch([*own, *batch.columns], names=[ROW, "doc_id", *batch.schema.names]))
+            at += batch.num_rows
+        return pa.Table.from_batches(out)
 
     return (
         blocks.documents.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(run, schema)
@@ -138,9 +157,3 @@ def gathered(start: np.ndarray, length: np.ndarray, picks: np.ndarray) -> np.nda
     sizes = length[picks]
     ends = np.cumsum(sizes)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[picks] - (ends - sizes), sizes)
-
-
-def with_ids(result: DataFrame, docs: DataFrame, id_column: str) -> DataFrame:
-    """`result` by row id, with the documents' ids."""
-    ids = docs.select(F.col(id_column).alias("doc_id"), F.monotonically_increasing_id().alias(ROW))
-    return ids.join(result, ROW)
