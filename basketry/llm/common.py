@@ -121,3 +121,4 @@ def text_batches(batches, column: int = -1, max_bytes: int = 16 << 20):
         for start, stop in zip(cuts, cuts[1:]):
             if stop > start:
                 yield batch.slice(start, stop - start)
+                pa.default_memory_pool().release_unused()

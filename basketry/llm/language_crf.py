@@ -21,7 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, text_batches, with_row_id
+from .common import ROW, stored, text_batches, with_row_id
+from .graph import join_few
 
 DOCS_PER_LANGUAGE = 500
 WORDS_PER_DOC = 60
@@ -32,8 +33,8 @@ SWITCH = 0.5  # chance that the next run is in another language
 EPOCHS = 4
 RATE = 0.3
 BATCH_SEQUENCES = 32
-CACHED_WORDS = 400_000
-BATCH_BYTES = 4 << 20
+CACHED_WORDS = 100_000
+BATCH_BYTES = 2 << 20
 CELLS = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -229,7 +230,7 @@ def fitted(
         (F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(17)), F.lit(1 << 40)) / float(1 << 40)).alias("_draw"),
     )
     counts = labelled.groupBy("_lang").count()
-    share = counts.select("_lang", (2.0 * docs_per_language / F.col("count")).alias("_share"))
+    share = stored(counts.select("_lang", (2.0 * docs_per_language / F.col("count")).alias("_share")))
 
     def sample(batches):
         for batch in batches:
@@ -244,7 +245,7 @@ def fitted(
             )
 
     rows = (
-        labelled.join(share, "_lang").where("_draw < _share").select("_lang", "_text", "_draw")
+        join_few(labelled, share, "_lang").where("_draw < _share").select("_lang", "_text", "_draw")
         .mapInArrow(sample, "lang string, draw double, words array<string>")
         .where("size(words) > 0").collect()
     )

@@ -41,7 +41,7 @@ THRESHOLD = 85  # per cent of the union
 SLACK = 0.20  # how far below the threshold an estimate may lie
 BLOCK_ROWS = 1024
 BLOCK_BYTES = 4 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _DRAW = np.random.default_rng(20240501)
 _A = _DRAW.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,10 +58,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
-    """Hashes of words met so far; starts anew when it holds a million."""
+    """Hashes of words met so far; starts anew when it is full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
