@@ -16,16 +16,15 @@ SLICE_WIDTH = 65_536
 
 
 def sliced(log: DataFrame, key: str, seq: str, width: int = SLICE_WIDTH) -> DataFrame:
-    """Add `slice`; rows without a key or number have no place in the order.
+    """Add `slice`.  A row without a key or number has no place in the order: an error.
 
     The rows are brought together by (key, slice) here, once: later steps with
     different needs would each shuffle the log in a shape of their own.
     """
-    return (
-        log.withColumn("slice", F.expr(f"`{seq}` div {int(width)}"))
-        .where(F.col(key).isNotNull() & F.col("slice").isNotNull())
-        .repartition(key, "slice")
-    )
+    placed = F.expr(f"`{seq}` div {int(width)}")
+    known = F.col(key).isNotNull() & placed.isNotNull()
+    unplaced = F.raise_error(F.lit(f"a log row lacks {key} or {seq}")).cast("bigint")
+    return log.withColumn("slice", F.when(known, placed).otherwise(unplaced)).repartition(key, "slice")
 
 
 def with_previous(log: DataFrame, key: str, seq: str, columns: list[str]) -> DataFrame:

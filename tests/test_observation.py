@@ -76,7 +76,7 @@ def test_parts_hold_the_text_in_order(spark):
 def test_previous_and_position_do_not_depend_on_slices(spark, width):
     rng = random.Random(width)
     rows = [(k, s, f"{k}/{s}") for k in (1, 2, 3) for s in rng.sample(range(60), 25)]
-    log = spark.createDataFrame([*rows, (None, 1, "x")], "k bigint, s bigint, v string")
+    log = spark.createDataFrame(rows, "k bigint, s bigint, v string")
     cut = sliced(log.repartition(4), "k", "s", width)
     counters = {"n": "true", "even": "s % 2 = 0"}
     before = {(r["k"], r["s"]): r["previous"] for r in with_previous(cut, "k", "s", ["v"]).collect()}
@@ -91,3 +91,10 @@ def test_previous_and_position_do_not_depend_on_slices(spark, width):
             assert (row["even"], row["even_total"]) == (sum(e <= s for e in evens), len(evens))
             previous = before[key, s]
             assert (previous and previous["v"]) == (steps[n - 1][1] if n else None)
+
+
+@pytest.mark.parametrize("row", [(None, 1, "x"), (1, None, "x")])
+def test_log_rows_without_a_place_are_errors(spark, row):
+    log = spark.createDataFrame([(1, 1, "a"), row], "k bigint, s bigint, v string")
+    with pytest.raises(Exception, match="lacks k or s"):
+        sliced(log, "k", "s").collect()

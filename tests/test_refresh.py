@@ -9,7 +9,7 @@ from basketry.operators import gold, silver
 from basketry.plans import driver_tables as given
 from basketry.plans.refresh import refresh, row_counts
 from basketry.schema import BRONZE, FACT, GOLD_TABLES, RAW_COLUMNS, SILVER
-from basketry.sources.raw_csv import has_quoted_newlines, read_raw
+from basketry.sources.raw_csv import files_with_quoted_newlines, read_raw
 from basketry.sources.tables import Lake
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -23,7 +23,7 @@ def write(path, *lines):
 
 def test_quotes_and_commas(spark, tmp_path):
     path = write(tmp_path / "a.csv", '1,2,"A ""B"", C",3,2010-01-01 00:00:00,1.5,9,UK', "1,2,,,,,,")
-    assert not has_quoted_newlines(spark, path)
+    assert not files_with_quoted_newlines(spark, path)
     rows = read_raw(spark, path).collect()
     assert rows[0]["Description"] == 'A "B", C'
     assert list(rows[1])[2:] == [None] * 6
@@ -31,11 +31,30 @@ def test_quotes_and_commas(spark, tmp_path):
 
 def test_line_breaks_inside_fields_are_noticed(spark, tmp_path):
     path = write(tmp_path / "a.csv", '1,2,"two\nlines",3,x,1.5,9,UK', "2,2,plain,3,x,1.5,9,UK")
-    assert has_quoted_newlines(spark, path)
+    assert files_with_quoted_newlines(spark, path)
     rows = read_raw(spark, path).collect()
     assert [r["Description"] for r in rows] == ["two\nlines", "plain"]
 
 
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    write(folder / "a b.csv", '1,2,"two\nlines",3,x,1.5,9,UK')
+    write(folder / "c.csv", "2,2,plain,3,x,1.5,9,UK")
+    assert len(files_with_quoted_newlines(spark, str(folder))) == 1
+    rows = read_raw(spark, str(folder)).collect()
+    assert sorted(r["Description"] for r in rows) == ["plain", "two\nlines"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False, None])
+def test_cells_beyond_the_header_are_an_error(spark, tmp_path, multi_line):
+    path = write(tmp_path / "a.csv", "1,2,d,3,x,1.5,9,UK", "2,2,short")
+    assert [r["Price"] for r in read_raw(spark, path, multi_line).collect()] == ["1.5", None]
+    path = write(tmp_path / "b.csv", "1,2,d,3,x,1.5,9,UK", "1,2,d,3,x,1.5,9,UK,beyond")
+    with pytest.raises(Exception, match="beyond the header"):
+        read_raw(spark, path, multi_line).collect()
+
+
 def test_columns_are_found_by_name(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("Country,Extra,Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID\n"
