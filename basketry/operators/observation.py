@@ -2,10 +2,9 @@
 
 The results of a question are joined without a separator, in order, so digits at
 the end of one result fuse with digits at the start of the next.  A question may
-hold any share of all results; its text is therefore kept in parts of at most
-`width` results, and questions are asked of the parts so that the answer is that
-of the whole text.  A usual question has one part; the functions below that look
-across parts are for the others.
+hold any share of all results, and a result may have any length; the text is
+therefore kept in parts of exactly `width` characters, but for a question's last,
+and questions are asked of the parts so that the answer is that of the whole text.
 """
 
 from __future__ import annotations
@@ -14,30 +13,43 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.text import NUMBER, marks_failure
 
-PART_WIDTH = 65_536
+PART_WIDTH = 1 << 20
 
 _BY_PART = "PARTITION BY id ORDER BY part"
 
 
 def observation_parts(queries: DataFrame, width: int = PART_WIDTH) -> DataFrame:
-    """id, part, observation, is_whole, retries, queries.
+    """id, part, observation, is_whole, retries.
 
-    `observation` joins at most `width` results.  Empty results add no text and
-    are not counted as results here, so every part but a question's last has at
-    least `width` characters.  `is_whole` marks the only part of a question.
+    `is_whole` marks the only part of a question; `retries` counts the refused or failed
+    queries whose result starts in the part.  A question without any text has no part.
     """
-    text = F.expr("CASE WHEN length(result) > 0 THEN struct(text_no, result) END")
+    width = int(width)
     return (
-        queries.groupBy("id", F.expr(f"greatest(text_no - 1, 0) div {int(width)}").alias("part"))
+        queries.where("length(result) > 0")
+        .withColumn("failed", marks_failure(F.col("result")))
+        .withColumn("text_start", F.expr("text_end - length(result)"))
+        .selectExpr(
+            "*",
+            f"explode(sequence(text_start div {width}, (text_end - 1) div {width})) AS part",
+        )
+        .selectExpr(
+            "id",
+            "part",
+            "texts",
+            f"failed AND part = text_start div {width} AS counted",
+            f"struct(text_end, substr(result, int(greatest(part * {width} - text_start, 0)) + 1,"
+            f" int(least(text_end, (part + 1) * {width}) - greatest(text_start, part * {width})))"
+            " AS piece) AS piece",
+        )
+        .groupBy("id", "part")
         .agg(
-            F.sort_array(F.collect_list(text)).alias("results"),
+            F.sort_array(F.collect_list("piece")).alias("pieces"),
             (F.max("texts") <= width).alias("is_whole"),
-            F.count_if(marks_failure(F.col("result"))).alias("retries"),
-            F.count(F.lit(1)).alias("queries"),
+            F.count_if("counted").alias("retries"),
         )
         .selectExpr(
-            "id", "part", "array_join(results.result, '') AS observation", "is_whole", "retries",
-            "queries",
+            "id", "part", "array_join(pieces.piece, '') AS observation", "is_whole", "retries"
         )
     )
 
@@ -88,11 +100,18 @@ def asked_of_parts(parts: DataFrame, asked: DataFrame) -> DataFrame:
     return parts.join(expected, ["id", "part"])
 
 
+# A piece of a number without what cannot matter: 400 digits make it exceed any double,
+# zeros among them keep it so, and decimals beyond the 400th are below any tolerance.
+_CLIPPED = r"""regexp_replace(regexp_replace(regexp_replace(piece,
+    r'^(-?0{400})0+', '$1'), r'^(-?0*[1-9][0-9]{400})[0-9]+', '$1'), r'([.][0-9]{400})[0-9]+', '$1')"""
+
+
 def numbers_across(parts: DataFrame) -> DataFrame:
     """id, expected_num, values: all numbers of each question's whole text, in several rows.
 
     A number that crosses from part to part is put together from its pieces: the
-    `tail` one part ends with and the `head` the next begins with.
+    `tail` one part ends with and the `head` the next begins with, at most some 1,200
+    characters of each.
     """
     cut = (
         parts.select("id", "part", "expected_num", "observation")
@@ -132,6 +151,7 @@ def numbers_across(parts: DataFrame) -> DataFrame:
             " struct(run + ends_in AS run, part * 2 + 1 AS at, tail AS piece)))",
         )
         .where("piece <> ''")
+        .withColumn("piece", F.expr(_CLIPPED))
         .groupBy("id", "expected_num", "run")
         .agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("ordered"))
         .selectExpr(
@@ -147,22 +167,29 @@ def numbers_across(parts: DataFrame) -> DataFrame:
 def mentions_across(parts: DataFrame, width: int = PART_WIDTH) -> DataFrame:
     """id, mentioned: whether a question's whole text contains `expected_str`, ignoring case.
 
-    Hits inside a part and hits across a seam are looked for separately; for the
-    seam only the edges of the parts travel.
+    Hits inside a part and hits across seams are looked for separately.  For a seam only
+    edges travel, as long as the text looked for fits a part; a longer one is looked for in
+    as many parts, put together, as it spans.
     """
-    return parts.selectExpr(
+    asked = parts.selectExpr(
         "id",
         "part",
         "lower(expected_str) AS wanted",
-        "length(wanted) - 1 AS reach",
         "lower(observation) AS text",
-        "contains(text, wanted) AS inside",
-        "CASE WHEN reach < 1 THEN '' "
-        f"WHEN reach > {int(width)} THEN raise_error('expected text is longer than a part') "
-        "ELSE right(text, reach) END AS right_edge",
-        "IF(reach < 1, '', left(text, reach)) AS left_edge",
-    ).selectExpr(
+        "length(wanted) - 1 AS reach",
+        f"int(ceil(reach / {int(width)})) AS spanned",
+    )
+    inside = asked.selectExpr("id", "contains(text, wanted) AS mentioned")
+    edges = asked.where("reach > 0").selectExpr(
         "id",
-        f"inside OR coalesce(contains(concat(lag(right_edge) OVER ({_BY_PART}), left_edge),"
-        " wanted), false) AS mentioned",
+        "wanted",
+        "inline(transform(sequence(0, spanned), back -> struct(part + back AS seam, -back AS at,"
+        " CASE WHEN back = 0 THEN left(text, reach) WHEN spanned = 1 THEN right(text, reach)"
+        " ELSE text END AS edge)))",
+    )
+    across = (
+        edges.groupBy("id", "seam")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "edge"))).alias("edges"), F.first("wanted").alias("wanted"))
+        .selectExpr("id", "contains(array_join(edges.edge, ''), wanted) AS mentioned")
     )
+    return inside.unionByName(across)

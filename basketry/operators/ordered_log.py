@@ -47,7 +47,8 @@ def with_previous(log: DataFrame, key: str, seq: str, columns: list[str]) -> Dat
 def with_positions(log: DataFrame, key: str, seq: str, counters: Mapping[str, str]) -> DataFrame:
     """Number each key's rows from 1: per counter the rows so far that meet its condition.
 
-    Also adds `<counter>_total`, the count over the whole key.
+    A condition may also be a number, which is added up.  Also adds `<counter>_total`,
+    the count over the whole key.
     """
     flags = {name: f"bigint({condition})" for name, condition in counters.items()}
     in_slice = f"PARTITION BY {key}, slice ORDER BY {seq} ROWS UNBOUNDED PRECEDING"

@@ -32,14 +32,14 @@ def executed_queries(events: DataFrame, width: int = SLICE_WIDTH) -> DataFrame:
 
 
 def numbered(executed: DataFrame) -> DataFrame:
-    """Executed queries as id, query_no, seq, query, result, text_no, texts.
+    """Executed queries as id, query_no, seq, query, result, text_end, texts.
 
-    `text_no` counts the question's results so far that are not empty, `texts`
-    all of them.
+    `text_end` counts the characters of the question's results so far, this one
+    included, `texts` those of all of them.
     """
-    counters = {"query_no": "true", "text_no": "coalesce(length(result), 0) > 0"}
+    counters = {"query_no": "true", "text_end": "coalesce(length(result), 0)"}
     return with_positions(executed, "id", "seq", counters).select(
-        "id", "query_no", "seq", "query", "result", "text_no", F.col("text_no_total").alias("texts")
+        "id", "query_no", "seq", "query", "result", "text_end", F.col("text_end_total").alias("texts")
     )
 
 

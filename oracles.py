@@ -317,8 +317,9 @@ FROM (SELECT page_id, source, nums, unnest(range(1, len(nums) + 1)) AS idx
             SELECT page_id, 'html', regexp_extract_all(html, '-?\\d+\\.?\\d*') FROM pages))""",
     "eval_observation": _with(_STEPS)
     + """
-SELECT id, (query_no - 1) // 65536 AS part, string_agg(result, '' ORDER BY seq) AS observation
-FROM pairs GROUP BY id, (query_no - 1) // 65536""",
+SELECT id, part, substr(text, CAST(40 * part + 1 AS BIGINT), 40) AS observation
+FROM (SELECT id, text, unnest(range(0, (length(text) + 39) // 40)) AS part
+      FROM (SELECT id, string_agg(result, '' ORDER BY seq) AS text FROM pairs GROUP BY id))""",
     "eval_verify": _with(_GOLDEN, _STEPS, _VERIFIED) + " SELECT id, is_correct FROM verified",
     "eval_retries": _with(_STEPS)
     + """

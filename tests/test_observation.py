@@ -49,7 +49,7 @@ def test_numbers_of_the_whole_text(spark, width, alphabet):
         assert sorted(found[i]) == sorted(expected), (width, results)
 
 
-@pytest.mark.parametrize("width", [3, 4, 100])
+@pytest.mark.parametrize("width", [1, 2, 3, 100])
 def test_mentions_in_the_whole_text(spark, width):
     questions = random_questions(5, "abA")
     rng = random.Random(6)
@@ -65,13 +65,23 @@ def test_mentions_in_the_whole_text(spark, width):
 
 
 def test_parts_hold_the_text_in_order(spark):
-    questions = [["a", "", "b", "c", "d", "e"], [""], []]
-    parts = observation_parts(as_log(spark, questions), 2).orderBy("id", "part").collect()
-    assert [r["observation"] for r in parts] == ["ab", "cd", "e", ""]
-    assert [r["queries"] for r in parts] == [3, 2, 1, 1]
+    questions = [["a", "", "Error b", "c", "dddd"], [""], [], ["é"]]
+    parts = observation_parts(as_log(spark, questions), 5).orderBy("id", "part").collect()
+    assert [r["observation"] for r in parts] == ["aErro", "r bcd", "ddd", "é"]
+    assert [r["retries"] for r in parts] == [1, 0, 0, 0]
     assert [r["is_whole"] for r in parts] == [False] * 3 + [True]
 
 
+def test_numbers_of_many_digits(spark):
+    questions = [["0" * 3000 + "7.5"], ["9" * 3000], ["3." + "1" * 3000], ["1" + "0" * 2000 + " 4"]]
+    parts = observation_parts(as_log(spark, questions), 1000)
+    found = {i: [] for i in range(4)}
+    for row in numbers_across(parts.withColumn("expected_num", F.lit(1.0))).collect():
+        found[row["id"]] += row["values"]
+    assert found[0] == [7.5] and found[1] == [float("inf")]
+    assert found[2] == [pytest.approx(3.1111111111)] and sorted(found[3]) == [4.0, float("inf")]
+
+
 @pytest.mark.parametrize("width", [1, 2, 7, 1000])
 def test_previous_and_position_do_not_depend_on_slices(spark, width):
     rng = random.Random(width)

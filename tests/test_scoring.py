@@ -16,7 +16,7 @@ from basketry.sources.tables import Lake, write_report
 EVENTS = "id bigint, seq bigint, kind string, tool string, payload string"
 RUNS = "id bigint, final_output string, latency_sec double, failed boolean, error string"
 QUERIES = """id bigint, query_no bigint, seq bigint, query string, result string,
-  text_no bigint, texts bigint"""
+  text_end bigint, texts bigint"""
 GOLDEN = "id bigint, position bigint, question string, result_preview string"
 CALLS = """call_id bigint, id bigint,
   usage_metadata struct<input_tokens: bigint, output_tokens: bigint, total_tokens: bigint>,
@@ -156,7 +156,7 @@ def test_verification(spark, width):
     golden = golden_of(spark, *[case[0] for case in CHECKS])
     queries = spark.createDataFrame(
         [
-            (i, n, n, "q", result, n, len(case[1]))
+            (i, n, n, "q", result, len("".join(case[1][:n])), len("".join(case[1])))
             for i, case in enumerate(CHECKS)
             for n, result in enumerate(case[1], 1)
         ],
@@ -184,10 +184,10 @@ def small_run(spark):
     )
     queries = spark.createDataFrame(
         [
-            (0, 1, 4, "SELECT a", "Error: no column", 1, 2),
-            (0, 2, 8, "SELECT b", "[(1,)]", 2, 2),
-            (2, 1, 3, "SELECT c", "BLOCKED", 1, 1),
-            (3, 1, 2, "SELECT d", "Error: late", 1, 1),
+            (0, 1, 4, "SELECT a", "Error: no column", 16, 22),
+            (0, 2, 8, "SELECT b", "[(1,)]", 22, 22),
+            (2, 1, 3, "SELECT c", "BLOCKED", 7, 7),
+            (3, 1, 2, "SELECT d", "Error: late", 11, 11),
         ],
         QUERIES,
     )
