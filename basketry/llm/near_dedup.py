@@ -327,6 +327,7 @@ def near_duplicates(
     )
     links = (
         _in_blocks(sets.join(sizes, "cluster"), "cluster", "_parts")
+        .repartition("cluster", "_i", "_j")  # else all block pairs of a cluster may stay together
         .groupBy("cluster", "_i", "_j")
         .applyInPandas(_confirmed(threshold, most), "u bigint, v bigint")
     )
