@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ROW, pack, pack_words, shared_folder, text_batches, unpack
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 BUCKETS = 128
 
 _BLOCK = (
