@@ -83,9 +83,23 @@ def _iban(country: str, body: str) -> str:
     return f"{country}{98 - rest:02d}{body}"
 
 
+# Lengths by country; others may have any from 15 to 34.
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
 class Kind(NamedTuple):
     name: str
     pattern: str
+    end: str  # what must hold where the value ends
     change: Callable[[Feistel, re.Match | str, bool], str | None]  # None: not valid, leave it
 
 
@@ -111,7 +125,7 @@ def _card(f: Feistel, text: str, back: bool) -> str | None:
 
 def _iban_kind(f: Feistel, text: str, back: bool) -> str | None:
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or not _iban_ok(plain):
+    if not 15 <= len(plain) <= 34 or len(plain) != _IBAN_LENGTHS.get(plain[:2], len(plain)) or not _iban_ok(plain):
         return None
     body, alphabets = plain[4:], []
     value, size = 0, 1
@@ -152,10 +166,14 @@ def _phone(f: Feistel, text: str, back: bool) -> str | None:
     return _filled(text, digits[:keep] + f"{value:0{len(rest)}d}")
 
 
+def _ip_ok(text: str) -> bool:
+    return all(int(p) <= 255 and (len(p) == 1 or p[0] != "0") for p in text.split("."))
+
+
 def _ip(f: Feistel, text: str, back: bool) -> str | None:
-    parts = text.split(".")
-    if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts):
+    if not _ip_ok(text):
         return None
+    parts = text.split(".")
     value = functools.reduce(lambda a, p: a * 256 + int(p), parts, 0)
 
     def same(n: int) -> bool:
@@ -173,14 +191,24 @@ _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 def _date(f: Feistel, text: str, back: bool) -> str | None:
     parts = re.split(r"[-/.]", text)
     numbers = [int(p) for p in parts]
-    order = (0, 1, 2) if len(parts[0]) == 4 else (2, 1, 0) if "/" not in text else (2, 0, 1)
-    try:
-        day = datetime.date(*(numbers[i] for i in order)).toordinal() - _FIRST_DAY
-    except ValueError:
+    # Slash dates that end in the year are month-first where both readings are dates.
+    orders = [(0, 1, 2)] if len(parts[0]) == 4 else [(2, 1, 0)] if "/" not in text else [(2, 0, 1), (2, 1, 0)]
+    for order in orders:
+        try:
+            day = datetime.date(*(numbers[i] for i in order)).toordinal() - _FIRST_DAY
+            break
+        except ValueError:
+            continue
+    else:
         return None
     if not 0 <= day < _DAYS:
         return None
-    new = datetime.date.fromordinal(_FIRST_DAY + f.permuted("date", day, _DAYS, back))
+
+    def same(n: int) -> bool:
+        """A day-first slash date stays one that cannot be read month-first."""
+        return order == orders[0] or datetime.date.fromordinal(_FIRST_DAY + n).day > 12
+
+    new = datetime.date.fromordinal(_FIRST_DAY + f.permuted("date", day, _DAYS, back, same))
     values = dict(zip(order, (new.year, new.month, new.day)))
     fresh = iter(f"{values[i]:0{4 if i == order[0] else 2}d}" for i in range(3))
     return re.sub(r"\d+", lambda _: next(fresh), text)
@@ -213,18 +241,61 @@ def _mail(f: Feistel, text: str, back: bool) -> str | None:
 
 # Formats of personal data, the more specific first.
 KINDS = [
-    Kind("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b", _mail),
-    Kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban_kind),
-    Kind("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-])", _date),
-    Kind("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)", _ip),
-    Kind("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
-    Kind("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
-    Kind("phone", r"(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.])\(\d{3}\) ?\d{3}[ .-]?\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", _phone),
+    Kind("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", r"\b", _mail),
+    Kind("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", r"\b", _iban_kind),
+    Kind("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4}|\d{2}/\d{2}/\d{4})", r"(?:(?=T\d)|(?![\w/-]))", _date),
+    Kind("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}", r"(?!\.?\w)", _ip),
+    Kind("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}", r"(?![\w-])", _ssn),
+    Kind("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}", r"(?![\w-])", _card),
+    Kind("phone", r"(?:(?<![\w.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|(?<![\w.])\(\d{3}\) ?\d{3}[ .-]?\d{4}|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?!-))", r"(?!\w)", _phone),
 ]
 
-_ANY = re.compile("|".join(f"(?P<{k.name}>{k.pattern})" for k in KINDS), re.ASCII)
+_ANY = re.compile("|".join(f"{k.pattern}{k.end}" for k in KINDS), re.ASCII)
 _MARK = re.compile("[0-9@]")  # no kind does without
-_BY_NAME = {k.name: k for k in KINDS}
+_WHOLE = {k.name: re.compile(k.pattern + k.end, re.ASCII) for k in KINDS}
+_BODY = {k.name: re.compile(k.pattern, re.ASCII) for k in KINDS}
+_END = {k.name: re.compile(k.end, re.ASCII) for k in KINDS}
+_BORDER = re.compile(r"(?<=[A-Z0-9])[ .-]", re.ASCII)
+_NEAR = re.compile("[A-Z0-9+(]")
+_REACH = 48  # no number is longer
+
+
+def _ends(kind: Kind, text: str, start: int, feistel: Feistel) -> Iterator[int]:
+    """Where a value of the kind may end that begins at `start`, the longest first."""
+    found = _WHOLE[kind.name].match(text, start)
+    if not found:
+        return
+    if kind.name not in ("iban", "card", "phone"):
+        yield found.end()
+        return
+    borders = [m.start() for m in _BORDER.finditer(text, start, found.end())]
+    ends = [found.end()] + [
+        e for e in reversed(borders) if _BODY[kind.name].fullmatch(text, start, e) and _END[kind.name].match(text, e)
+    ]
+    if kind.name != "iban":
+        # It ends before a date or address that follows.
+        for border in borders:
+            if text[border] == " ":
+                day, address = (_WHOLE[name].match(text, border + 1) for name in ("date", "ip"))
+                if address and _ip_ok(address[0]) or day and _date(feistel, day[0], False):
+                    ends = [e for e in ends if e <= border]
+    if kind.name == "phone" and text[start : start + 2] in ("+1", "+7"):
+        # Numbers of these countries have eleven digits.
+        ends.sort(key=lambda e: len(_digits_of(text[start:e])) != 11)
+    yield from ends
+
+
+def _next(text: str, at: int, feistel: Feistel, back: bool) -> tuple[Kind, int, int, str] | None:
+    """The next value from `at` on: (kind, start, end, replacement)."""
+    while found := _ANY.search(text, at):
+        start = found.start()
+        for kind in KINDS:
+            for end in _ends(kind, text, start, feistel):
+                new = kind.change(feistel, text[start:end], back)
+                if new is not None:
+                    return kind, start, end, new
+        at = start + 1
+    return None
 
 
 def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
@@ -232,25 +303,23 @@ def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple
     if not _MARK.search(text):
         return text, []
     feistel, spans, out, done = Feistel(key), [], [], 0
-    at = 0
-    while found := _ANY.search(text, at):
-        name = found.lastgroup
-        new = _BY_NAME[name].change(feistel, found[0], back)
-        if new is None:
-            # Not valid in this format: another may begin at the same place, or later.
-            others = (re.compile(k.pattern, re.ASCII).match(text, found.start()) for k in KINDS if k.name != name)
-            tries = ((k, m) for k, m in zip([k for k in KINDS if k.name != name], others) if m)
-            for kind, other in tries:
-                new = kind.change(feistel, other[0], back)
-                if new is not None:
-                    name, found = kind.name, other
-                    break
-        if new is None:
-            at = found.start() + 1
-            continue
-        out += [text[done : found.start()], new]
-        spans.append((name, found.start(), found.end()))
-        at = done = found.end()
+    while found := _next(text, done, feistel, back):
+        kind, start, end, new = found
+        if _NEAR.search(text[max(start - 2, done) : start] + text[end : end + 2]):
+            # A number stands beside it: go on until the pseudonym is read as the value was.
+            low = max(done, start - _REACH)
+            lead, tail = text[max(low - 1, 0) : start], text[end : end + _REACH]
+
+            def fits(value: str) -> bool:
+                again = _next(lead + value + tail, low - max(low - 1, 0), feistel, back)
+                return again is not None and (again[0], again[1], again[2]) == (kind, len(lead), len(lead) + len(value))
+
+            if fits(text[start:end]):
+                while not fits(new):
+                    new = kind.change(feistel, new, back)
+        out += [text[done:start], new]
+        spans.append((kind.name, start, end))
+        done = end
     return "".join([*out, text[done:]]), spans
 
 
