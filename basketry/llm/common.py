@@ -1,13 +1,14 @@
 """What the operators share: stored intermediate tables, row ids, byte packing.
 
-Row ids are positions in the scan (`monotonically_increasing_id`): stable for a
-frame that reads files, as all inputs here do.  A frame whose row order can
-change between two evaluations should be written first.
+Row ids are a file's number among the frame's files, by path, and the row's place in
+that file: the same in every scan, however Spark splits the files.  A frame that does
+not read Parquet files row by row is written first, and its rows are numbered as written.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROW = "_row_id"
@@ -71,9 +73,45 @@ def stored(frame: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def with_row_id(frame: DataFrame) -> DataFrame:
+_SLASHES = "(?<=:)/+"
+_ROW_BY_ROW = {"LogicalRelation", "Project", "Filter", "SubqueryAlias", "View"}
+
+
+def pinned(frame: DataFrame) -> DataFrame:
+    """The frame itself if its rows have a place in a Parquet file, else as stored."""
+    try:
+        frame.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return stored(frame)
+    # A join or an exploded array has such columns too, but may repeat a row.
+    plans = [frame._jdf.queryExecution().analyzed()]
+    for plan in plans:
+        below = plan.children()
+        plans += [below.apply(k) for k in range(below.size())]
+    return frame if {p.nodeName() for p in plans} <= _ROW_BY_ROW else stored(frame)
+
+
+def with_row_id(frame: DataFrame, name: str = ROW) -> DataFrame:
+    """The frame with row ids; to number the same rows again, give what `pinned` gave."""
     ship(frame.sparkSession)
-    return frame.withColumn(ROW, F.monotonically_increasing_id())
+    frame = pinned(frame)
+    # Slashes after a scheme are counted differently by the two.
+    files = sorted(re.sub(_SLASHES, "/", f) for f in frame.inputFiles())
+    place = F.col("_metadata.row_index")
+    if len(files) < 2:
+        return frame.withColumn(name, place)
+    # Ids are file << 32 | row; the list of paths is as small as the scan's own.
+    path = name + "file"
+    while path in frame.columns:
+        path += "_"
+    unknown = F.raise_error(F.concat(F.lit("a row of an unlisted file: "), path)).cast("bigint")
+    numbers = frame.sparkSession.createDataFrame([(f, k) for k, f in enumerate(files)], f"{path} string, {name}no bigint")
+    return (
+        frame.withColumns({path: F.regexp_replace("_metadata.file_path", _SLASHES, "/"), name: place})
+        .join(F.broadcast(numbers), path, "left")
+        .withColumn(name, F.shiftleft(F.coalesce(f"{name}no", unknown), 32).bitwiseOR(F.col(name)))
+        .drop(path, f"{name}no")
+    )
 
 
 def pack(array: np.ndarray) -> bytes:

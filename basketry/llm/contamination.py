@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, WORD_BYTES, pack, stored, text_batches, unpack, with_row_id
+from .common import ROW, WORD_BYTES, pack, pinned, stored, text_batches, unpack, with_row_id
 from .graph import only_rows
 
 WINDOW = 10
@@ -263,6 +263,7 @@ def benchmark_hits(
     """
     if window > GAP:
         raise ValueError(f"a window may have at most {GAP} words")
+    docs = pinned(docs)
     parts = [
         index.groupBy("segment").applyInArrow(_search(block, plans), _HITS)
         for block, plans, index in _passes(
@@ -313,6 +314,7 @@ def proximity_matches(
     """
     if window + slop > GAP:
         raise ValueError(f"window and slop may have at most {GAP} words")
+    docs = pinned(docs)
     found = docs.sparkSession.createDataFrame([], _SPANS)
     for block, plans, index in _passes(
         docs, benchmark, text_column, item_column, benchmark_text, window, block_phrases
@@ -325,5 +327,6 @@ def proximity_matches(
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """`docs` without the documents that hold a window of the benchmark, all columns kept."""
+    docs = pinned(docs)
     hits = benchmark_hits(docs, benchmark, **settings)
     return only_rows(docs, hits.where("NOT contaminated"))

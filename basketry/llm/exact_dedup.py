@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ROW, stored, with_row_id
+from .common import ROW, pinned, stored, with_row_id
 from .graph import join_few, only_rows
 
 FIRST_DIGIT = 64
@@ -73,7 +73,7 @@ def duplicate_groups(
     scan order) stays.  `keep_id` is NULL only if all ids of the group are.  An
     empty table gives an empty result; other columns of `docs` are ignored.
     """
-    data = _bytes(text_column)
+    docs, data = pinned(docs), _bytes(text_column)
     whole = with_row_id(docs).select(ROW, data.alias("_rest"))
     cut = with_row_id(docs).select(
         ROW,
@@ -106,4 +106,5 @@ def duplicate_groups(
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs` with one row of each group of equal texts, all columns kept."""
+    docs = pinned(docs)
     return only_rows(docs, duplicate_groups(docs, id_column, text_column).where("kept"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, stored
+from .common import ROW, stored, with_row_id
 
 BROADCAST_ROWS = 500_000
 ONE_TASK_LINKS = 200_000
@@ -26,7 +26,7 @@ def only_rows(frame: DataFrame, kept: DataFrame) -> DataFrame:
     name = ROW
     while name in frame.columns:
         name += "_"
-    rows = frame.withColumn(name, F.monotonically_increasing_id())
+    rows = with_row_id(frame, name)
     few = stored(kept.select(F.col(ROW).alias(name)))
     return join_few(rows, few, name, "left_semi").select(*frame.columns)
 

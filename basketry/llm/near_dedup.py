@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, stored, text_batches, with_row_id
+from .common import ROW, pinned, stored, text_batches, with_row_id
 from .graph import components, join_few, only_rows
 
 BANDS, DEPTH = 24, 5
@@ -354,4 +354,5 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """`docs` with one row of each component of near-duplicates, all columns kept."""
+    docs = pinned(docs)
     return only_rows(docs, near_duplicates(docs, id_column, text_column, **settings).where("kept"))

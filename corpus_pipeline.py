@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.llm import bpe, contamination, exact_dedup, language_crf, near_dedup
-from basketry.llm.common import ROW, ship, stored, table
+from basketry.llm.common import ROW, pinned, ship, stored, table, with_row_id
 from basketry.llm.graph import only_rows
 
 LEAST_SCORE = 0.5  # mean probability of the text's language
@@ -18,6 +18,7 @@ LEAST_SCORE = 0.5  # mean probability of the text's language
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and texts of no prevailing language."""
+    docs = pinned(docs)
     found = language_crf.identified(docs, language_crf.fitted(docs))
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return only_rows(docs, kept)
@@ -43,10 +44,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
     vocabulary = bpe.Vocabulary(path("byte_bpe_50k.json"))
+    docs = pinned(docs)
     coded = bpe.encode(docs, vocabulary)
     decoded = bpe.decode(coded, vocabulary).withColumn("_sha", F.sha2(F.encode("text", "UTF-8"), 256))
     source = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
-    texts = docs.select(F.monotonically_increasing_id().alias(ROW), source.alias("_source"))
+    texts = with_row_id(docs).select(ROW, source.alias("_source"))
     return decoded.join(texts, ROW).select(
         "doc_id", "n_tokens", "ids", (F.col("_sha") == F.col("_source")).alias("round_trip")
     )

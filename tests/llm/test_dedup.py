@@ -8,10 +8,44 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from basketry.llm import exact_dedup, near_dedup, sharding
+from pyspark.sql import functions as F
+
+from basketry.llm import common, exact_dedup, near_dedup, sharding
 from basketry.llm.graph import components
 
 
+@pytest.mark.parametrize("changed", [False, True])
+def test_row_ids_do_not_depend_on_the_splits(spark, tmp_path, changed):
+    path, sizes = str(tmp_path / "d"), (1, 900, 40, 3000, 7)
+    for k, n in enumerate(sizes):
+        part = spark.range(n).select((F.col("id") + 10_000 * k).alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        part.coalesce(1).write.mode("append").parquet(path)
+    frame = spark.read.parquet(path)
+    if changed:
+        frame = frame.where("doc_id % 3 > 0").withColumn("text", F.upper("text"))
+    assert common.pinned(frame) is frame
+    found = []
+    try:
+        for size in ("128m", "20k", "1k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            found.append({r.doc_id: r._row_id for r in common.with_row_id(frame).collect()})
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] == found[2]
+    assert len(set(found[0].values())) == len(found[0]) == frame.count()
+
+
+def test_row_ids_of_frames_that_repeat_rows(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.range(5).write.parquet(path)
+    one = spark.read.parquet(path)
+    for frame in (one.crossJoin(spark.range(3).withColumnRenamed("id", "k")), one.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))):
+        ids = [r._row_id for r in common.with_row_id(frame).collect()]
+        assert len(set(ids)) == len(ids) == frame.count()
+
+
 def test_exact_groups(odd_docs):
     rows = exact_dedup.duplicate_groups(odd_docs, first_digit=4, growth=2).collect()
     texts = {r._1: r._2 for r in odd_docs.selectExpr("monotonically_increasing_id() _1", "coalesce(text, '') _2").collect()}
