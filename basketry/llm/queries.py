@@ -13,6 +13,7 @@ from . import (
     near_dedup,
     pseudonyms,
     sharding,
+    source_divergence,
     token_counts,
     warc,
 )
@@ -121,6 +122,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -132,6 +137,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES = {
@@ -197,4 +203,31 @@ ORACLES = {
           CASE WHEN page_id <> best THEN best END AS refers_to
         FROM s
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            unnest([''] || coalesce(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), [])) AS term FROM documents),
+        kept AS (SELECT lang, term FROM d WHERE term <> '' GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+        grp AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS c FROM d JOIN kept USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+        n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+        p AS (SELECT lang, source, term, coalesce(c, 0) AS c,
+            1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (coalesce(n, 0) + 5 * v) AS p
+            FROM grp JOIN kept USING (lang) JOIN v USING (lang)
+            LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+        q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 5)) // (any_value(n) + 5 * any_value(v)) AS q
+            FROM c JOIN (SELECT lang, sum(n) AS n FROM n GROUP BY ALL) USING (lang) JOIN v USING (lang) GROUP BY ALL),
+        pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL),
+        part AS (SELECT lang, source, 'pair' AS part, item, value FROM pair
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM part)
+        WHERE part = 'pair' OR r <= 50
+    """,
 }
