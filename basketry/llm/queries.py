@@ -14,6 +14,7 @@ from . import (
     pseudonyms,
     sharding,
     source_divergence,
+    token_alignment,
     token_counts,
     warc,
 )
@@ -122,6 +123,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    pieces = token_alignment.Pieces.read(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    found = token_alignment.aligned(table(spark, sf_dir, "documents"), pieces, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -137,6 +146,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op11_token_alignment": op11_token_alignment,
     "op12_source_divergence": op12_source_divergence,
 }
 

@@ -159,7 +159,7 @@ def shares(counts: np.ndarray, total: int, terms: int, weight: int, scale_digits
 
 
 def _compare(weight: int, ranks: int):
-    def run(key, header: pa.Table, terms: pa.Table) -> pa.Table:
+    def run(key, header, terms):
         head = header.slice(0, 1).to_pylist()[0]
         groups = sorted(head["groups"], key=lambda g: g["source"])
         names = [g["source"] for g in groups]

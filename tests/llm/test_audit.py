@@ -4,9 +4,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from basketry.llm import source_divergence
+from basketry.llm import source_divergence, token_alignment
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, term string, block int, total string"
 
@@ -93,3 +94,91 @@ def test_shares_are_exact():
         counts = np.array([-1, 0, 1, 999, total // 3, total], np.int64)
         expected = [0 if c < 0 else 1 + 10**9 * (c + 5) // (total + 5 * 17) for c in counts.tolist()]
         assert source_divergence.shares(counts, total, 17, 5, 9).tolist() == expected
+
+
+# Cross-tokenizer alignment
+
+
+def brute_alignment(texts, pieces):
+    import hashlib
+
+    own = token_alignment.aligner(pieces)
+    links, groups, sizes = [], [], []
+    for text in texts:
+        data = (" " + (text or "")).encode()
+        a = own.a.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
+        b = own.b.encode(text) if text else []
+        if b"".join(own.bytes_a[i] for i in a) != data or b"".join(own.bytes_b[i] for i in b) != data:
+            a, b = [], []
+        ends = [np.cumsum([len(of[i]) for i in ids]).tolist() for of, ids in ((own.bytes_a, a), (own.bytes_b, b))]
+        common = sorted(set(ends[0]) & set(ends[1]))
+        at = [np.searchsorted(end, common).tolist() for end in ends]
+        links.append([(a[i], b[j]) for i, j in zip(*at)])
+        cuts = zip([0] + [i + 1 for i in at[0]], [i + 1 for i in at[0]], [0] + [j + 1 for j in at[1]], [j + 1 for j in at[1]])
+        groups.append(";".join(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:n])) for i, j, k, n in cuts))
+        sizes.append((len(a), len(b)))
+    count = Counter(pair for own in links for pair in own)
+    best = Counter()
+    for (_, b), n in count.items():
+        best[b] = max(best[b], n)
+    return [
+        (*size, len(own), len(own), sum(count[p] == best[p[1]] for p in own), sum(count[p] for p in own),
+         hashlib.sha256(group.encode()).hexdigest() if size[0] else "")
+        for size, own, group in zip(sizes, links, groups)
+    ]
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return token_alignment.Pieces.read(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def test_alignment_against_brute_force(spark, pieces, odd_docs):
+    odd = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    more = [
+        "  two  spaces  ", "tabs\t and\n lines \n\n end\n", "a▁b", "<s> <0x41> <|endoftext|> </s>", "　 x  y",
+        "it's 12345 o'clock  z", "\x00 \x1c \x85 q", "\U0001f600 \U0001f468‍\U0001f469 é e", " ", "\n", "﻿ bom",
+    ]
+    sample = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    rows = odd + [(100 + k, t) for k, t in enumerate(more)] + sample
+    docs = some_docs(spark, [(i, t, None, None) for i, t in rows]).repartition(5)
+    found = token_alignment.aligned(docs, pieces, digest=True).collect()
+    expected = [(i, *own) for (i, _), own in zip(rows, brute_alignment([t for _, t in rows], pieces))]
+    assert Counter(map(tuple, found)) == Counter(expected)
+    spelt = token_alignment.aligned(docs.where("doc_id = 102"), pieces).first()
+    assert spelt.groups == "" and spelt.n_a == 0
+
+
+def test_chunks_spell_the_text_and_forgetting_changes_nothing(spark, pieces):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    own = token_alignment.aligner(pieces)
+    assert own.chunked
+    for row in docs.limit(50).collect():
+        assert "".join(own.chunks(row.text or "")) == " " + (row.text or "")
+    forgetful = token_alignment.aligned(docs.repartition(40), pieces, known_chunks=1)
+    assert Counter(forgetful.collect()) == Counter(token_alignment.aligned(docs, pieces).collect())
+
+
+def test_alignment_of_no_documents(spark, pieces, no_docs):
+    assert token_alignment.aligned(no_docs, pieces).count() == 0
+
+
+def test_perfect_hash_numbers_keys_without_gaps():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 47, 20_000))
+    made = token_alignment.PerfectHash.of(keys)
+    assert sorted(made.numbers(keys).tolist()) == list(range(len(keys)))
+    assert len(made.bits) < len(keys)  # fewer than eight bits a key
+    hashes, parts = [], []
+    for s in range(token_alignment.SHARDS):
+        some = keys[token_alignment.shard_of(keys) == s]
+        made = token_alignment.PerfectHash.of(some)
+        placed = np.empty_like(some)
+        placed[made.numbers(some)] = some
+        hashes.append((made.sizes, made.bits))
+        parts.append(placed.tobytes())
+    table = token_alignment.PairTable(hashes, parts)
+    assert (table.keys[table.numbers(keys)] == keys).all()
+    with pytest.raises(ValueError):
+        table.numbers(np.array([keys[0] + 1, 3], np.int64))
