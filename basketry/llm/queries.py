@@ -12,6 +12,7 @@ from . import (
     language_crf,
     near_dedup,
     pseudonyms,
+    quality_divergence,
     sharding,
     source_divergence,
     token_alignment,
@@ -135,6 +136,13 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_divergence.judged(docs, quality_divergence.references(docs)).drop(
+        "class_distance", "word_distance"
+    )
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
@@ -148,6 +156,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_token_alignment": op11_token_alignment,
     "op12_source_divergence": op12_source_divergence,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES = {
@@ -240,4 +249,51 @@ ORACLES = {
             SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM part)
         WHERE part = 'pair' OR r <= 50
     """,
+    "op13_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+        b AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+            regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms,
+            length(t) AS chars,
+            [length(regexp_replace(t, c, '', 'g')) FOR c IN ['[^a-z]', '[^A-Z]', '[^0-9]', '[^\x20\x09-\x0D]',
+              '[^.,;:!?''"()-]', '[a-zA-Z0-9\x20\x09-\x0D.,;:!?''"()-]|[^\x00-\x7F]', '[\x00-\x7F]']] AS cls FROM d),
+        win AS (SELECT id, unnest(range(1, len(w) - 1)) AS i, unnest([w[k:k + 2] FOR k IN range(1, len(w) - 1)]) AS g
+            FROM b WHERE len(w) >= 3),
+        rep AS (SELECT id, count(DISTINCT j) AS n FROM (
+            SELECT id, unnest([i, i + 1, i + 2]) AS j FROM win SEMI JOIN
+              (SELECT id, g FROM win GROUP BY ALL HAVING count(*) > 1) USING (id, g)) GROUP BY id),
+        tc AS (SELECT id, lang, unnest(terms) AS term FROM b),
+        big AS (SELECT lang FROM d GROUP BY lang HAVING count(*) >= 30),
+        tt AS (SELECT lang, term, count(*) AS n FROM tc SEMI JOIN big USING (lang) GROUP BY lang, term
+            QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(DISTINCT id) DESC, term) <= 100),
+        ref AS (SELECT lang, term, n / sum(n) OVER (PARTITION BY lang) AS q FROM (
+            SELECT lang, term, n FROM tt
+            UNION ALL SELECT lang, NULL, (SELECT count(*) FROM tc WHERE tc.lang = big.lang)
+              - (SELECT coalesce(sum(n), 0) FROM tt WHERE tt.lang = big.lang) FROM big)),
+        own AS (SELECT id, term, count(*) AS n FROM tc GROUP BY ALL),
+        seen AS (SELECT own.id, tt.lang, tt.term, own.n FROM own JOIN tt USING (term)),
+        hist AS (SELECT id, lang, term, n FROM seen
+            UNION ALL SELECT b.id, big.lang, NULL, len(terms) - coalesce(s.n, 0) FROM b CROSS JOIN big
+              LEFT JOIN (SELECT id, lang, sum(n) AS n FROM seen GROUP BY ALL) s ON s.id = b.id AND s.lang = big.lang),
+        wd AS (SELECT id, sqrt(min(greatest(v, 0)) / 2) AS d FROM (
+            SELECT id, lang, 1 + sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+              + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END - q) AS v FROM (
+              SELECT hist.id, hist.lang, hist.n / len(b.terms) AS p, q FROM hist JOIN b USING (id)
+              JOIN ref ON ref.lang = hist.lang AND ref.term IS NOT DISTINCT FROM hist.term WHERE len(b.terms) > 0)
+            GROUP BY id, lang) GROUP BY id),
+        cr AS (SELECT lang, k, sum(cls[k]) / sum(sum(cls[k])) OVER (PARTITION BY lang) AS q
+            FROM b SEMI JOIN big USING (lang), range(1, 8) r(k) GROUP BY lang, k),
+        cd AS (SELECT id, sqrt(min(greatest(v, 0)) / 2) AS d FROM (
+            SELECT id, lang, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+              + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) AS v FROM (
+              SELECT id, cr.lang, cls[k] / chars AS p, q FROM b, cr WHERE chars > 0) GROUP BY id, lang) GROUP BY id),
+        j AS (SELECT doc_id, len(w) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+            len(w) < 50 OR 100 * coalesce(rep.n, 0) > 50 * len(w) AS base_failed,
+            (chars >= 200 AND coalesce(cd.d, 0) > 0.28) OR (len(terms) >= 120 AND coalesce(wd.d, 0) > 0.42) AS far
+            FROM b LEFT JOIN rep USING (id) LEFT JOIN wd USING (id) LEFT JOIN cd USING (id))
+        SELECT * EXCLUDE (far), NOT base_failed AND NOT far AS kept FROM j
+    """,
 }

@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from basketry.llm import source_divergence, token_alignment
+from basketry.llm import quality_divergence, source_divergence, token_alignment
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, term string, block int, total string"
 
@@ -182,3 +182,66 @@ def test_perfect_hash_numbers_keys_without_gaps():
     assert (table.keys[table.numbers(keys)] == keys).all()
     with pytest.raises(ValueError):
         table.numbers(np.array([keys[0] + 1, 3], np.int64))
+
+
+# Quality rules
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    hit = {k + j for k, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for j in range(3)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit),
+    )
+
+
+def test_base_counts_against_brute_force():
+    rng = np.random.default_rng(7)
+    cases = ["", " \n\t", "a", "a a", "a a a", "a a a a", "x\ny\nx\n\n \n x\n", "é b c é b c é", "# * | <b> $5 100%"]
+    cases += [" ".join(rng.choice(list("abc\n"), size=int(rng.integers(1, 60)))) for _ in range(200)]
+    cases += ["one two three " * 5000, "  no break \x1c", "\U0001f600 " * 9]
+    for text in cases:
+        assert quality_divergence.base_counts(text.encode()) == brute_base(text), text[:80]
+
+
+def test_distances():
+    own = np.array([1.0, 1, 0])
+    assert quality_divergence.distances(own, np.array([[5.0, 5, 0], [0, 0, 3], [0, 0, 0]])).tolist() == [0, 1, 0]
+    p, q = np.array([0.5, 0.25, 0.25]), np.array([0.1, 0.1, 0.8])
+    m = (p + q) / 2
+    expected = ((p * np.log2(p / m) + q * np.log2(q / m)).sum() / 2) ** 0.5
+    assert abs(quality_divergence.distances(p * 8, q[None] * 10)[0] - expected) < 1e-9
+
+
+def test_rules_tell_junk_from_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    found = quality_divergence.judged(docs, quality_divergence.references(docs)).where("n_words >= 50")
+    rows = found.join(labels, "doc_id").select("quality", "kept").collect()
+    good = [r.kept for r in rows if r.quality == 1]
+    junk = [r.kept for r in rows if r.quality == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(junk) <= 0.5 * len(junk)
+
+
+def test_rules_on_odd_documents(spark, odd_docs, no_docs):
+    text = "the cat and the dog of a house in the town that is on the hill and it was for all of us to see. "
+    clean = [(k, f"{text * 2}number{k} stays {k} " + " ".join(f"w{j}x{k}" for j in range(70)), "en", None) for k in range(40)]
+    known = quality_divergence.references(some_docs(spark, clean))
+    assert [r.lang for r in known] == ["en"] and known[0].terms[:2] == [b"a", b"all"]
+    found = {r.doc_id: r for r in quality_divergence.judged(some_docs(spark, clean), known).collect()}
+    assert all(r.kept and not r.base_failed for r in found.values())
+    shouted = some_docs(spark, [(k, t.upper().replace(" ", "!! "), n, s) for k, t, n, s in clean])
+    judged = quality_divergence.judged(shouted, known).collect()
+    assert not any(r.kept for r in judged) and not any(r.base_failed for r in judged)
+    rows = quality_divergence.judged(odd_docs, known).collect()
+    texts = Counter((r.doc_id, brute_base(r.text or "")) for r in odd_docs.collect())
+    assert Counter((r.doc_id, tuple(r)[1:6]) for r in rows) == texts
+    assert all(r.base_failed == (r.n_words < 50 or 2 * r.n_repeat_words > r.n_words) for r in rows)
+    assert not any(r.kept and r.base_failed for r in rows)
+    # Too few documents for any reference: the base alone judges.
+    assert quality_divergence.references(odd_docs) == quality_divergence.references(no_docs) == []
+    rows = quality_divergence.judged(odd_docs, []).collect()
+    assert all(r.kept != r.base_failed and r.class_distance is None for r in rows)
+    assert quality_divergence.judged(no_docs, known).count() == 0

@@ -29,7 +29,7 @@ def test_matches_sql(spark, con, name):
 
 
 def test_every_operator_is_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert entry_point.queries()["pipeline"] is corpus_pipeline.run
 
 
