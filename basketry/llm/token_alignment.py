@@ -2,7 +2,7 @@
 
 Both tokenizers cut a text where a space follows a character that is no white space, so a
 text is a sequence of chunks that are encoded and aligned on their own, each distinct one
-once per task.  The first pass collects and counts pairs per task.  The distinct pairs are
+once per batch of texts.  The first pass collects and counts pairs per task.  The distinct pairs are
 dealt into `SHARDS` shards, and each shard is given a minimal perfect hash in a task: bit
 arrays level by level, where a key's rank among the set bits is its number.  The tasks'
 counts become dense vectors indexed by that number, which are summed shard by shard in a
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 from collections import Counter
@@ -29,17 +30,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .bpe import byte_letters
+from .bpe import OTHER, WORDS, byte_letters
 from .common import ship, stored, text_batches
 
 SHARDS = 64
 FAN_IN = 16  # vectors that one task of the tree adds
-KNOWN_CHUNKS = 100_000
-KNOWN_BYTES = 16 << 20  # of chunks and their groups that a task remembers
+BATCH_BYTES = 4 << 20  # of text that a task aligns at once
+RUN_LENGTH = 4_000  # characters of chunks that are encoded in one call
 
 # White space in any version of Unicode, and separators that some count as such.
 _WHITE = "\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
 # Spaces and the run after them; a run that ends in white space takes the next one in.
+_JOINED = re.compile(f"[^{_WHITE}]\\Z")  # a chunk that the next one may follow
 _CHUNK = re.compile(f"(?: [^ ]*+(?<=[{_WHITE}])(?= ))*+ [^ ]*+")
 
 
@@ -63,19 +65,30 @@ class Pieces(NamedTuple):
         )
 
 
-class Chunk(NamedTuple):
-    n_a: int
-    n_b: int
-    groups: bytes  # a1,a2|b1;a3|b2,b3
-    pairs: list[int]  # first id << 32 | second id, one per group
+class Chunks(NamedTuple):
+    """Distinct chunks, encoded and aligned, as flat arrays in the order of the chunks."""
+
+    valid: np.ndarray  # per chunk: do the tokens of both spell it?
+    n_a: np.ndarray  # tokens per chunk; none where not valid
+    n_b: np.ndarray
+    n_links: np.ndarray
+    a: np.ndarray  # token ids
+    b: np.ndarray
+    cut_a: np.ndarray  # does a token of the other end where this one does?
+    cut_b: np.ndarray
+
+    def codes(self) -> np.ndarray:
+        """The linked pairs, first id << 32 | second id."""
+        return self.a[self.cut_a] << 32 | self.b[self.cut_b]
 
 
 class Aligner:
-    """Encodes with both tokenizers and aligns; remembers chunks."""
+    """Encodes chunks with both tokenizers and aligns them."""
 
     def __init__(self, pieces: Pieces):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(pieces.byte_level)
@@ -84,8 +97,9 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces.piece_model)
         letter = {c: b for b, c in byte_letters().items()}
+        entries = self.a.get_vocab(with_added_tokens=False)
         self.bytes_a = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for entry, number in self.a.get_vocab(with_added_tokens=False).items():
+        for entry, number in entries.items():
             self.bytes_a[number] = bytes(letter[c] for c in entry if c in letter)
         self.bytes_b = []
         for number in range(self.b.get_piece_size()):
@@ -96,40 +110,91 @@ class Aligner:
                 self.bytes_b.append(b"")
             else:
                 self.bytes_b.append(piece.replace("▁", " ").encode())
+        self.size_a, self.size_b = (np.array(list(map(len, of))) for of in (self.bytes_a, self.bytes_b))
+        # Where ids rise as merges are applied, ids are ranks and a faster encoder gives the same.
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in json.loads(pieces.byte_level)["model"]["merges"]]
+        ranked = [entries.get(x + y) for x, y in merges]
+        special = {t["content"] for t in json.loads(pieces.byte_level)["added_tokens"]}
+        self.fast = None
+        if ranked == list(range(256, 256 + len(merges))):
+            ranks = {self.bytes_a[i]: i for entry, i in entries.items() if entry not in special}
+            self.fast = tiktoken.Encoding("ranks", pat_str=WORDS.pattern, mergeable_ranks=ranks, special_tokens={})
         self.space = self.b.piece_to_id("▁")
         # A piece with a space after another character would join chunks.
         self.chunked = self.bytes_b[self.space] == b" " and not any(re.search(rb"[^ ] ", piece) for piece in self.bytes_b)
         # The model must leave white space as it is, or chunks would lose theirs.
         self.chunked &= b"".join(self.bytes_b[i] for i in self.b.encode("a  b \t c ")) == b" a  b \t c "
+        self._digits: list[bytes] | None = None
 
     def chunks(self, text: str) -> list[str]:
         spaced = " " + text
         return _CHUNK.findall(spaced) if self.chunked else [spaced]
 
-    def align(self, chunks: list[str]) -> list[Chunk | None]:
-        """None where the tokens of either do not spell the chunk."""
-        first = self.a.encode_batch(chunks, add_special_tokens=False)
-        second = self.b.encode([c[1:] for c in chunks], num_threads=1)
+    def _runs(self, chunks: list[str]):
+        """Chunks in runs that are encoded as one string, since each is cut off from the next."""
+        run, size, kind = [], 0, None
+        for chunk in chunks:
+            other = bool(OTHER.search(chunk))
+            if run and (size > RUN_LENGTH or other != kind or not _JOINED.search(run[-1]) or not self.chunked):
+                yield run
+                run, size = [], 0
+            run.append(chunk)
+            size, kind = size + len(chunk), other
+        if run:
+            yield run
+
+    def _encode(self, run: list[str]) -> tuple[list[int], list[int]] | None:
+        """Both tokenizers' ids of the run; None where they do not spell it."""
+        joined = "".join(run)
+        if self.fast and not OTHER.search(joined):
+            a = self.fast.encode_ordinary(joined)
+        else:
+            a = self.a.encode(joined, add_special_tokens=False).ids
         # An empty text has no tokens, where a text's last space has its own.
-        second = [[self.space] if c == " " else b for c, b in zip(chunks, second)]
-        return [self._aligned(c.encode(), a.ids, b) for c, a, b in zip(chunks, first, second)]
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> Chunk | None:
-        spelt_a, spelt_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(spelt_a) != data or b"".join(spelt_b) != data:
-            return None
-        groups, pairs = [], []
-        k = from_a = from_b = end_a = end_b = 0
-        for n, piece in enumerate(spelt_b, 1):
-            end_b += len(piece)
-            while end_a < end_b:
-                end_a += len(spelt_a[k])
-                k += 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[from_a:k])) + "|" + ",".join(map(str, b[from_b:n])))
-                pairs.append(a[k - 1] << 32 | b[n - 1])
-                from_a, from_b = k, n
-        return Chunk(len(a), len(b), ";".join(groups).encode(), pairs)
+        b = self.b.encode(joined[1:]) if len(joined) > 1 else [self.space]
+        data = joined.encode()
+        spelt = all(b"".join(map(of.__getitem__, ids)) == data for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        return (a, b) if spelt else None
+
+    def align(self, chunks: list[str]) -> Chunks:
+        valid = np.ones(len(chunks), bool)
+        flat_a, flat_b, at = [], [], 0
+        for run in self._runs(chunks):
+            both = self._encode(run)
+            if both:
+                flat_a += both[0]
+                flat_b += both[1]
+            else:
+                for k, chunk in enumerate(run, at):
+                    both = self._encode([chunk])
+                    valid[k] = both is not None
+                    flat_a += both[0] if both else []
+                    flat_b += both[1] if both else []
+            at += len(run)
+        a, b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        sizes = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)) * valid
+        ends_a, ends_b, ends = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), np.cumsum(sizes)
+        mark = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.uint8)
+        mark[ends_a] += 1
+        mark[ends_b] += 1
+        cut_a, cut_b = mark[ends_a] == 2, mark[ends_b] == 2
+        per_chunk = (np.diff(np.searchsorted(e, ends, "right"), prepend=0) for e in (ends_a, ends_b, ends_a[cut_a]))
+        return Chunks(valid, *per_chunk, a, b, cut_a, cut_b)
+
+    def groups(self, made: Chunks) -> list[bytes]:
+        """Of each chunk `a1,a2|b1;a3|b2,b3;`, with a semicolon after each group."""
+        if self._digits is None:
+            ids = [str(i).encode() for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+            self._digits = [i + mark for mark in (b",", b"|", b";") for i in ids]
+            self._lengths = np.array(list(map(len, self._digits)))
+        span = len(self._digits) // 3
+        group_a, group_b = (np.cumsum(cut) - cut for cut in (made.cut_a, made.cut_b))
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = np.concatenate([made.a + span * made.cut_a, made.b + 2 * span * made.cut_b])[order]
+        joined = b"".join(map(self._digits.__getitem__, shown.tolist()))
+        before = np.concatenate([[0], np.cumsum(self._lengths[shown])])
+        cuts = before[np.concatenate([[0], np.cumsum(made.n_a + made.n_b)])].tolist()
+        return [joined[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 @functools.lru_cache(maxsize=1)
@@ -137,16 +202,35 @@ def aligner(pieces: Pieces) -> Aligner:
     return Aligner(pieces)
 
 
-def _known(own: Aligner, texts: list[str], known: dict, size: int, kept=lambda chunk: chunk):
-    """The chunks of each text, all of them in `known`; returns (chunks, bytes remembered)."""
-    chunks = [own.chunks(t) if t else [] for t in texts]
-    new = list({c for some in chunks for c in some if c not in known})
-    for at in range(0, len(new), 10_000):
-        some = new[at : at + 10_000]
-        for chunk, aligned in zip(some, own.align(some)):
-            known[chunk] = None if aligned is None else kept(aligned)
-            size += len(chunk) + (len(aligned.groups) if aligned else 0)
-    return chunks, size
+class Batch(NamedTuple):
+    """The texts of a batch as sequences of its distinct chunks."""
+
+    counts: np.ndarray  # chunks per text
+    numbers: np.ndarray  # of all texts' chunks
+    made: Chunks
+    spelt: np.ndarray  # per text: has it chunks, all of them valid?
+
+    @classmethod
+    def of(cls, own: Aligner, texts: list[str | None]) -> Batch:
+        seen: dict[str, int] = {}
+        parts = []
+        for text in texts:
+            some = own.chunks(text) if text else []
+            parts.append(np.fromiter((seen.setdefault(c, len(seen)) for c in some), np.int64, len(some)))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        numbers = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        made = own.align(list(seen))
+        return cls(counts, numbers, made, (counts > 0) & (cls._sums(counts, numbers, ~made.valid) == 0))
+
+    @staticmethod
+    def _sums(counts: np.ndarray, numbers: np.ndarray, of_chunks: np.ndarray) -> np.ndarray:
+        before = np.concatenate([[0], np.cumsum(of_chunks[numbers], dtype=np.int64)])
+        ends = np.cumsum(counts)
+        return before[ends] - before[ends - counts]
+
+    def sums(self, of_chunks: np.ndarray) -> np.ndarray:
+        """Per text, the sum of a number of its chunks; 0 where the text is not spelt."""
+        return self._sums(self.counts, self.numbers, of_chunks) * self.spelt
 
 
 def _merged(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,34 +240,20 @@ def _merged(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return found, total
 
 
-def pair_counts(texts: DataFrame, pieces: Pieces, known_chunks: int = KNOWN_CHUNKS) -> DataFrame:
+def pair_counts(texts: DataFrame, pieces: Pieces, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """First pass over a frame of one text column: (codes, counts), one row per task, sorted by code."""
     shipped = texts.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
         own = aligner(shipped.value)
-        known: dict[str, Chunk | None] = {}
-        held, size = Counter(), 0
         codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def counted():
-            each = [known[c].pairs for c in held]
-            lengths = [len(p) for p in each]
-            fresh = np.fromiter((c for p in each for c in p), np.int64, sum(lengths))
-            times = np.repeat(np.fromiter(held.values(), np.int64, len(held)), lengths)
-            return _merged(np.concatenate([codes, fresh]), np.concatenate([counts, times]))
-
-        for batch in text_batches(batches, 0, 4 << 20):
-            chunks, size = _known(own, batch.column(0).to_pylist(), known, size)
-            for some in chunks:
-                if all(map(known.__getitem__, some)):
-                    held.update(some)
-            if len(known) > known_chunks or size > KNOWN_BYTES:
-                codes, counts = counted()
-                known.clear()
-                held.clear()
-                size = 0
-        codes, counts = counted()
+        for batch in text_batches(batches, 0, batch_bytes):
+            found = Batch.of(own, batch.column(0).to_pylist())
+            used = found.numbers[np.repeat(found.spelt, found.counts)]
+            times = np.repeat(np.bincount(used, minlength=len(found.made.valid)), found.made.n_links)
+            codes, counts = _merged(
+                np.concatenate([codes, found.made.codes()[times > 0]]), np.concatenate([counts, times[times > 0]])
+            )
         yield pa.record_batch(
             [pa.array([codes.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
             names=["codes", "counts"],
@@ -340,15 +410,6 @@ def counted_pairs(counts: DataFrame, pieces: Pieces) -> tuple[PairTable, np.ndar
     return table, np.concatenate([np.frombuffer(sums.get(s, b""), np.int64) for s in range(SHARDS)])
 
 
-class _Scored(NamedTuple):
-    n_a: int
-    n_b: int
-    n_links: int
-    n_best: int
-    count_sum: int
-    groups: bytes
-
-
 _RESULT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups {}"
 
 
@@ -358,7 +419,7 @@ def aligned(
     id_column: str = "doc_id",
     text_column: str = "text",
     digest: bool = False,
-    known_chunks: int = KNOWN_CHUNKS,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """One row per document: (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups).
 
@@ -369,14 +430,14 @@ def aligned(
     `n_best` counts the links whose pair is the most frequent one of its second token,
     ties included.  NULL and empty texts, and texts that the tokens of either tokenizer
     do not spell, have zeros and empty groups.  With `digest`, `groups` is the lowercase
-    SHA-256 of the groups, or '' without tokens.  Tasks remember about `known_chunks`
-    chunks, whose number changes no result.  Repeated rows count each time; other
+    SHA-256 of the groups, or '' without tokens.  `batch_bytes` of
+    text are aligned at once, which changes no result.  Repeated rows count each time; other
     columns are ignored; an empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
     ship(spark)
     text = F.col(text_column).cast("string").alias("_text")
-    table, counts = counted_pairs(stored(pair_counts(docs.select(text), pieces, known_chunks)), pieces)
+    table, counts = counted_pairs(stored(pair_counts(docs.select(text), pieces, batch_bytes)), pieces)
     best = np.zeros(len(aligner(pieces).bytes_b), np.int64)
     second = table.keys & 0xFFFFFFFF
     np.maximum.at(best, second, counts)
@@ -385,44 +446,32 @@ def aligned(
     def run(batches):
         pieces, table, counts, is_best = shipped.value
         own = aligner(pieces)
-        known: dict[str, _Scored | None] = {}
-        size = 0
-
-        def scored(chunk: Chunk) -> _Scored:
-            at = slice(len(fresh), len(fresh) + len(chunk.pairs))
-            fresh.extend(chunk.pairs)
-            return _Scored(chunk.n_a, chunk.n_b, at, 0, 0, chunk.groups)
-
-        for batch in text_batches(batches, 1, 4 << 20):
-            fresh: list[int] = []
-            before = set(known)
-            chunks, size = _known(own, batch.column(1).to_pylist(), known, size, scored)
-            number = table.numbers(np.array(fresh, np.int64))
-            sums = np.concatenate([[0], np.cumsum(counts[number])]).tolist()
-            bests = np.concatenate([[0], np.cumsum(is_best[number])]).tolist()
-            for chunk in known.keys() - before:
-                if known[chunk] is not None:
-                    n_a, n_b, at, _, _, groups = known[chunk]
-                    known[chunk] = _Scored(
-                        n_a, n_b, at.stop - at.start, bests[at.stop] - bests[at.start], sums[at.stop] - sums[at.start], groups
-                    )
-            out = []
-            for some in chunks:
-                parts = [known[c] for c in some]
-                if parts and None not in parts:
-                    *numbers, groups = zip(*parts)
-                    n_a, n_b, n_links, n_best, count_sum = map(sum, numbers)
-                    joined = b";".join(groups)
-                    shown = hashlib.sha256(joined).hexdigest() if digest else joined.decode()
-                    out.append((n_a, n_b, n_links, n_links, n_best, count_sum, shown))
-                else:
-                    out.append((0, 0, 0, 0, 0, 0, ""))
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 6 + [pa.string()])]
+        for batch in text_batches(batches, 1, batch_bytes):
+            found = Batch.of(own, batch.column(1).to_pylist())
+            made = found.made
+            linked = np.flatnonzero(np.repeat(np.bincount(found.numbers[np.repeat(found.spelt, found.counts)], minlength=len(made.valid)) > 0, made.n_links))
+            each, best = np.zeros((2, int(made.n_links.sum())), np.int64)
+            number = table.numbers(made.codes()[linked])
+            each[linked], best[linked] = counts[number], is_best[number]
+            ends = np.cumsum(made.n_links)
+
+            def per_chunk(of_links):
+                before = np.concatenate([[0], np.cumsum(of_links)])
+                return before[ends] - before[ends - made.n_links]
+
+            links = found.sums(made.n_links)
+            numbers = [
+                found.sums(made.n_a), found.sums(made.n_b), links, links, found.sums(per_chunk(best)), found.sums(per_chunk(each)),
+            ]
+            shown, groups, at = [], own.groups(made), 0
+            places = found.numbers.tolist()
+            for count, spelt in zip(found.counts.tolist(), found.spelt.tolist()):
+                joined = b"".join([groups[k] for k in places[at : at + count]])[:-1] if spelt else b""
+                shown.append((hashlib.sha256(joined).hexdigest() if digest and spelt else joined.decode()))
+                at += count
+            columns = [*(pa.array(c) for c in numbers), pa.array(shown, pa.string())]
             names = ["doc_id", *(c.split()[0] for c in _RESULT.split(", "))]
             yield pa.record_batch([batch.column(0), *columns], names=names)
-            if len(known) > known_chunks or size > KNOWN_BYTES:
-                known.clear()
-                size = 0
 
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text)
     return rows.mapInArrow(run, "doc_id bigint, " + _RESULT.format("string"))

@@ -151,14 +151,14 @@ def test_alignment_against_brute_force(spark, pieces, odd_docs):
     assert spelt.groups == "" and spelt.n_a == 0
 
 
-def test_chunks_spell_the_text_and_forgetting_changes_nothing(spark, pieces):
+def test_chunks_spell_the_text_and_batches_change_nothing(spark, pieces):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     own = token_alignment.aligner(pieces)
     assert own.chunked
     for row in docs.limit(50).collect():
         assert "".join(own.chunks(row.text or "")) == " " + (row.text or "")
-    forgetful = token_alignment.aligned(docs.repartition(40), pieces, known_chunks=1)
-    assert Counter(forgetful.collect()) == Counter(token_alignment.aligned(docs, pieces).collect())
+    narrow = token_alignment.aligned(docs.repartition(40), pieces, batch_bytes=5_000)
+    assert Counter(narrow.collect()) == Counter(token_alignment.aligned(docs, pieces).collect())
 
 
 def test_alignment_of_no_documents(spark, pieces, no_docs):
