@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import ROW, pack, text_batches, unpack, unpack_words, with_row_id
+from .common import ROW, lean, pack, text_batches, unpack, unpack_words, with_row_id
 from .word_blocks import by_word, gathered, join_by_block, spans, word_blocks
 
 # Fixed value: how the byte-level tokenizer cuts a text into words.
@@ -183,7 +183,7 @@ def encode(
     )
     blocks = word_blocks(texts, splitter(list(vocabulary.specials), shipped))
     coded = by_word(blocks.words.select("block", "bucket", "words", "at")).mapInArrow(
-        _encode_words(shipped), "block bigint, at binary, sizes binary, flat binary"
+        lean(_encode_words(shipped)), "block bigint, at binary, sizes binary, flat binary"
     )
     schema = f"{ROW} bigint, doc_id bigint, n_tokens bigint, ids binary"
     return join_by_block(blocks, coded, _assemble, schema)
@@ -209,4 +209,4 @@ def decode(coded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") ->
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*columns, "text"])
 
     source = coded.select(*columns)
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField("text", T.StringType())]))
+    return source.mapInArrow(lean(run), T.StructType([*source.schema.fields, T.StructField("text", T.StringType())]))

@@ -7,6 +7,7 @@ not read Parquet files row by row is written first, and its rows are numbered as
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import shutil
@@ -160,3 +161,20 @@ def text_batches(batches, column: int = -1, max_bytes: int = 16 << 20):
             if stop > start:
                 yield batch.slice(start, stop - start)
                 pa.default_memory_pool().release_unused()
+
+
+def lean(run):
+    """`run`, a function of record batches, giving a task's memory back when it ends.
+
+    Worker processes wait for further tasks, and what they keep is missing in the next stage.
+    """
+
+    def leaving(batches):
+        yield from run(batches)  # its own variables are gone after this
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return leaving

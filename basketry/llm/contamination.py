@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, WORD_BYTES, pack, pinned, stored, text_batches, unpack, with_row_id
+from .common import ROW, WORD_BYTES, lean, pack, pinned, stored, text_batches, unpack, with_row_id
 from .graph import only_rows
 
 WINDOW = 10
@@ -236,7 +236,7 @@ def _passes(docs, benchmark, text_column, item_column, benchmark_text, window, b
     """(block, plans, index) for each block of the test set; the index is stored."""
     texts = with_row_id(docs).select(ROW, F.col(text_column).cast("string").alias("_text"))
     for block in _blocks(benchmark, item_column, benchmark_text, window, block_phrases):
-        index = stored(texts.mapInArrow(_indexer(block.terms), _INDEX))
+        index = stored(texts.mapInArrow(lean(_indexer(block.terms)), _INDEX))
         counts = {  # at most as many rows as the block has terms
             r["term"]: r["n"]
             for r in index.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, stored, text_batches, with_row_id
+from .common import ROW, lean, stored, text_batches, with_row_id
 from .graph import join_few
 
 DOCS_PER_LANGUAGE = 500
@@ -380,4 +380,4 @@ def identified(
         f"{ROW} bigint, doc_id {ids}, lang_pred string, score double, n_words bigint, "
         f"n_switches bigint, runs {_RUNS}"
     )
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, pinned, stored, text_batches, with_row_id
+from .common import ROW, lean, pinned, stored, text_batches, with_row_id
 from .graph import components, join_few, only_rows
 
 BANDS, DEPTH = 24, 5
@@ -175,6 +175,7 @@ def _describe(width: int):
                 ],
                 schema=schema,
             )
+        _HASHES.clear()
 
     return run
 
@@ -235,6 +236,7 @@ def _sets(width: int):
                 ],
                 names=["rep", "cluster", "_set", "_sketch"],
             )
+        _HASHES.clear()
 
     return run
 
@@ -291,7 +293,7 @@ def near_duplicates(
     rows = with_row_id(docs).select(
         ROW, F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("_text")
     )
-    described = stored(rows.mapInArrow(_describe(width), _DESCRIBED))
+    described = stored(rows.mapInArrow(lean(_describe(width)), _DESCRIBED))
     reps = stored(
         described.where("n_shingles > 0")
         .groupBy("_key")
@@ -318,7 +320,7 @@ def near_duplicates(
     sets = stored(
         join_few(rows, clusters, ROW)
         .select(ROW, "cluster", "_text")
-        .mapInArrow(_sets(width), "rep bigint, cluster bigint, _set binary, _sketch binary")
+        .mapInArrow(lean(_sets(width)), "rep bigint, cluster bigint, _set binary, _sketch binary")
     )
     sizes = sets.groupBy("cluster").agg(
         F.greatest(

@@ -23,7 +23,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, pack, pack_words, shared_folder, text_batches, unpack
+from .common import ROW, lean, pack, pack_words, shared_folder, text_batches, unpack
 
 BLOCK_BYTES = 12 << 20
 BUCKETS = 128
@@ -101,7 +101,7 @@ def word_blocks(
     # is not shuffled.  Only the files matter: the table's name goes once they are resolved.
     name = f"word_blocks_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = docs.mapInArrow(run, _BLOCK).write.option("compression", "zstd")
+    writer = docs.mapInArrow(lean(run), _BLOCK).write.option("compression", "zstd")
     writer.bucketBy(parts, "block").option("path", shared_folder(spark)).saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
