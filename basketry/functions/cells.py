@@ -13,28 +13,53 @@ def missing_to_null(name: str) -> str:
     return f"IF(`{name}` IN ({tokens}), NULL, `{name}`)"
 
 
-def whole_number(text: str, type_name: str) -> Column:
+def _apart(name: str, expression: str) -> str:
+    """SQL: `expression` of `cell` for the column `name`, kept out of the generated code.
+
+    A lambda is interpreted where it is reached.  Rare notations thus cost the common ones
+    nothing; inlined, they make the generated method too large to be compiled.
+    """
+    return f"get(transform(array({name}), cell -> {expression}), 0)"
+
+
+# Digits that every type of the name holds.
+_SAFE_DIGITS = {"INT": 9, "BIGINT": 18}
+
+
+def whole_number(name: str, type_name: str) -> Column:
     """`6` and `6.0` as an integer; any other text is an error that names it, in every mode."""
+    plain = rf"{name} RLIKE r'^-?[0-9]{{1,{_SAFE_DIGITS[type_name]}}}(\.0+)?\z'"
+    other = _apart(name, _any_whole_number("cell", name, type_name))
+    return F.expr(f"CASE WHEN {plain} THEN CAST(substring_index({name}, '.', 1) AS {type_name}) ELSE {other} END")
+
+
+def _any_whole_number(text: str, name: str, type_name: str) -> str:
     without_zeros = rf"regexp_replace({text}, r'\.0+$', '')"
     number = f"TRY_CAST(IF({text} LIKE '%.%', {without_zeros}, {text}) AS {type_name})"
     # A try_cast to an integer cuts fractions off in some notations; compare as decimals.
     fits = f"coalesce({number} = TRY_CAST({text} AS DECIMAL(38,10)), false)"
-    wrong = f"raise_error(concat('{text} is not a whole number: ', {text}))"
-    return F.expr(f"CASE WHEN {text} IS NULL OR {fits} THEN {number} ELSE {wrong} END")
+    wrong = f"raise_error(concat('{name} is not a whole number: ', {text}))"
+    return f"CASE WHEN {text} IS NULL OR {fits} THEN {number} ELSE {wrong} END"
 
 
-def exact_amount(text: str, scale: int) -> Column:
+def exact_amount(name: str, scale: int) -> Column:
     """The text as decimal(18, scale), never rounded.
 
     Text that is no number, or has more decimals than the scale holds, is an error that
     names it, in every mode.  Decimals beyond the 20th are not looked at.
     """
+    scale = int(scale)
+    decimals = rf"(\.[0-9]{{1,{scale}}})?" if scale else ""
+    plain = rf"{name} RLIKE r'^-?[0-9]{{1,{18 - scale}}}{decimals}\z'"
+    other = _apart(name, _any_amount("cell", name, scale))
+    return F.expr(f"CASE WHEN {plain} THEN CAST({name} AS DECIMAL(18,{scale})) ELSE {other} END")
+
+
+def _any_amount(text: str, name: str, scale: int) -> str:
     wide = f"TRY_CAST({text} AS DECIMAL(38,20))"
-    amount = f"TRY_CAST({wide} AS DECIMAL(18,{int(scale)}))"
-    wrong = f"raise_error(concat('{text} does not fit decimal(18,{int(scale)}): ', {text}))"
-    return F.expr(
-        f"CASE WHEN {text} IS NULL OR coalesce({amount} = {wide}, false) THEN {amount} ELSE {wrong} END"
-    )
+    amount = f"TRY_CAST({wide} AS DECIMAL(18,{scale}))"
+    wrong = f"raise_error(concat('{name} does not fit decimal(18,{scale}): ', {text}))"
+    return f"CASE WHEN {text} IS NULL OR coalesce({amount} = {wide}, false) THEN {amount} ELSE {wrong} END"
 
 
 # The default date format, and its shape for the fast path below.

@@ -17,14 +17,16 @@ PRICE_SCALE = 4
 def typed(raw: DataFrame, price_scale: int = PRICE_SCALE) -> DataFrame:
     """Rename the raw columns and cast the numeric ones."""
     customer = F.coalesce(whole_number("customer_id", "BIGINT"), F.lit(GUEST_ID).cast("bigint"))
-    return raw.withColumnsRenamed(COLUMN_NAMES).withColumns(
-        {
-            "quantity": whole_number("quantity", "INT"),
-            # Decimal prices make every later sum exact and order-independent.
-            "unit_price": exact_amount("unit_price", price_scale),
-            "customer_id": customer,
-        }
+    numbers = F.struct(
+        whole_number("quantity", "INT").alias("quantity"),
+        # Decimal prices make every later sum exact and order-independent.
+        exact_amount("unit_price", price_scale).alias("unit_price"),
     )
+    named = raw.withColumnsRenamed(COLUMN_NAMES)
+    rest = [c for c in named.columns if c not in ("quantity", "unit_price")]
+    # Through a generator, so that the filter and the line total read the parsed numbers
+    # instead of parsing the cells again.
+    return named.select(*rest, F.inline(F.array(numbers))).withColumn("customer_id", customer)
 
 
 def is_valid_line() -> Column:

@@ -142,3 +142,13 @@ def test_cells_that_do_not_fit_are_errors(spark, ansi, change):
 
 def test_whole_quantities_in_other_notations(spark, ansi):
     assert [r.quantity for r in cleansed(spark, {"Quantity": "6.0"}, {"Quantity": "-3"}, {"Quantity": "12.00"})] == [6, -3, 12]
+
+
+def test_each_cell_is_parsed_once(spark):
+    from basketry.plans import driver_tables as given
+
+    lines = given.silver_lines(spark, "/root/testdata/sf0.001")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("quantity is not a whole number") == 1
+    assert plan.count("unit_price does not fit") == 1
+    assert plan.count("customer_id is not a whole number") == 1
