@@ -6,12 +6,13 @@ customers or invoices cannot be added up across groups.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.cells import money
+from basketry.operators.partials import SET_GROUPS, members, united_count
 from basketry.schema import COUNTRY, FACT, MONTHLY, PRODUCT, RFM
 
 Tables = Mapping[str, DataFrame]
@@ -83,6 +84,37 @@ def metric(tables: Tables, name: str, **filters: object) -> DataFrame:
     return rows.agg(money(F.sum(amount)).alias(name))
 
 
+# Distinct counts: the kind of member they count.
+UNIONS = {"distinct_invoices": "invoices", "distinct_customers": "customers"}
+
+
+def sets_source(filters: Mapping[str, object]) -> str:
+    """The table of sets whose groups have all filters."""
+    return next((name for name, keys in SET_GROUPS.items() if set(filters) <= set(keys)), FACT)
+
+
+def distinct_members(tables: Tables, name: str, **filters: Sequence[object]) -> DataFrame:
+    """Distinct invoices or known customers of any union of countries, months or products.
+
+    Each filter takes a list of values, a None for lines without one.  Groups are united
+    from their sets; where no table of sets has all filters, the fact is counted.
+    """
+    kind = UNIONS[name]
+    source = sets_source(filters)
+    rows = tables[source]
+    for column, values in filters.items():
+        wanted = F.lit(False)
+        for value in values:
+            wanted |= F.col(column).eqNullSafe(F.lit(value))
+        rows = rows.where(wanted)
+    if source == FACT:
+        counted = members(rows, kind).agg(F.count("value").alias(name))
+    else:
+        united = united_count(rows.where(F.col("kind") == kind))
+        counted = united.agg(F.coalesce(F.sum("members"), F.lit(0)).alias(name))
+    return counted
+
+
 def country_count(tables: Tables) -> DataFrame:
     """How many countries are sold to."""
     return tables[COUNTRY].agg(F.count("country").alias("country_count"))

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from basketry.functions.cells import money
-from basketry.operators import gold, silver
-from basketry.schema import BRONZE, FACT, SILVER
+from basketry.operators import gold, partials, silver
+from basketry.schema import BRONZE, FACT, NUMBERS, PARTIALS, SILVER, SILVER_COLUMNS
 from basketry.sources.raw_csv import read_raw
-from basketry.sources.tables import Lake
+from basketry.sources.tables import Lake, Snapshot
+
+MONTH = "invoice_year_month"
 
 
 def published(rows: DataFrame) -> DataFrame:
@@ -45,25 +47,90 @@ def ingest(lake: Lake, csv_path: str, multi_line: bool | None = None) -> int:
 
 
 def cleanse(
-    lake: Lake, date_format: str = silver.DATE_FORMAT, price_scale: int = silver.PRICE_SCALE
+    lake: Lake,
+    date_format: str = silver.DATE_FORMAT,
+    price_scale: int = silver.PRICE_SCALE,
+    by_month: bool = False,
 ) -> int:
     """Bronze into silver; returns its row count."""
     lines = silver.cleanse(lake.table(BRONZE), date_format, price_scale)
-    return lake.replace_counted(SILVER, lines)
+    return lake.replace_counted(SILVER, lines, MONTH if by_month else None)
 
 
-def publish(lake: Lake, copy_fact: bool = False) -> None:
+def publish(lake: Lake, copy_fact: bool = False, by_month: bool = False) -> None:
     """Silver into the gold tables.
 
     The fact equals silver line by line.  It is published as a view unless a
     copy is asked for, which rewrites all lines to keep them when silver changes.
+    The lines are scanned once, for the partials that all aggregates derive from.
+    """
+    lines = lake.table(SILVER).select(SILVER_COLUMNS)
+    if copy_fact:
+        lake.replace(FACT, gold.sales_fact(lines))
+    else:
+        lake.view(FACT, SILVER, ", ".join(SILVER_COLUMNS))
+    lake.replace(PARTIALS, partials.partials(lines), MONTH if by_month else None)
+    parts = lake.table(PARTIALS)
+    for name, build in partials.BUILDERS.items():
+        lake.replace(name, build(parts))
+
+
+def publish_sets(lake: Lake) -> None:
+    """Partials into sets of invoices and customers that can be united, and their numbers."""
+    parts = lake.table(PARTIALS)
+    numbers = {}
+    for kind, name in NUMBERS.items():
+        lake.replace(f"{name}_placed", partials.placed(partials.members(parts, kind)))
+        lake.replace(name, partials.numbered(lake.table(f"{name}_placed")))
+        lake.drop(f"{name}_placed")
+        numbers[kind] = lake.table(name)
+    for name, keys in partials.SET_GROUPS.items():
+        lake.replace(name, partials.sets_of(parts, keys, numbers))
+
+
+def refresh_month(
+    lake: Lake,
+    month: str,
+    csv_path: str,
+    date_format: str = silver.DATE_FORMAT,
+    multi_line: bool | None = None,
+    price_scale: int = silver.PRICE_SCALE,
+) -> int:
+    """Replace one month (`yyyy-MM`) of a lake refreshed `by_month`; returns its valid lines.
+
+    `csv_path` names the month's raw files, the only ones that are read.  They hold all its
+    lines and none of other months or without a readable date, which would be an error.
+    The tables become those of a full refresh: groups that lost or gained lines are built
+    anew from the partials, all others stay.  Everything is computed before the first
+    table changes, and the state last, so that a month interrupted there can be repeated.
+    Sets are built anew by `publish_sets`.  Not for lakes with bronze or a copied fact,
+    which would keep the old lines.
     """
-    lines = lake.table(SILVER)
-    for name, build in gold.BUILDERS.items():
-        if name == FACT and not copy_fact:
-            lake.view(FACT, SILVER)
-        else:
-            lake.replace(name, build(lines))
+    if lake.exists(BRONZE) or not lake._is_view(FACT):
+        raise ValueError("a month can be refreshed without bronze and with the fact as a view only")
+    seen = Observation()
+    outside = F.count_if(~F.col(MONTH).eqNullSafe(month))
+    lines = silver.cleanse(read_raw(lake.spark, csv_path, multi_line), date_format, price_scale)
+    lake.replace(f"{SILVER}_staged", lines.observe(seen, F.count(F.lit(1)).alias("rows"), outside.alias("outside")))
+    if seen.get["outside"]:
+        lake.drop(f"{SILVER}_staged")
+        raise ValueError(f"{seen.get['outside']} lines are not of {month}")
+    came = lake.table(f"{SILVER}_staged")
+    lake.replace(f"{PARTIALS}_staged", partials.partials(came))
+    new = lake.table(f"{PARTIALS}_staged")
+    parts = lake.table(PARTIALS).select(new.columns)
+    gone = parts.where(F.col(MONTH) == month)
+    now = parts.where(~F.col(MONTH).eqNullSafe(month)).unionByName(new)
+    for name in partials.BUILDERS:
+        changed = gone.unionByName(new)
+        lake.replace(f"{name}_staged", partials.refreshed(name, lake.table(name), now, changed))
+    for name in partials.BUILDERS:
+        lake.replace(name, lake.table(f"{name}_staged"))
+    lake.replace_partition(PARTIALS, MONTH, month, new)
+    lake.replace_partition(SILVER, MONTH, month, came)
+    for name in [SILVER, PARTIALS, *partials.BUILDERS]:
+        lake.drop(f"{name}_staged")
+    return seen.get["rows"]
 
 
 def refresh(
@@ -75,19 +142,30 @@ def refresh(
     keep_bronze: bool = True,
     copy_fact: bool = False,
     price_scale: int = silver.PRICE_SCALE,
+    by_month: bool = False,
+    sets: bool = False,
+    snapshot: bool = False,
 ) -> dict[str, int]:
     """All layers in one go; returns the row counts of bronze and silver.
 
-    Without bronze the raw files are cleansed as they are read.
+    Without bronze the raw files are cleansed as they are read.  `by_month` partitions
+    silver and the partials by month, for `refresh_month`.  `sets` keeps sets of invoices
+    and customers, for distinct counts of unions.  With `snapshot` the tables are a new
+    version, which is published when all of them are written (`Snapshot.current`).
     """
-    lake = Lake(spark, database)
+    lake = Snapshot.new(spark, database) if snapshot else Lake(spark, database)
     if keep_bronze:
         raw_rows = ingest(lake, csv_path, multi_line)
-        counts = {BRONZE: raw_rows, SILVER: cleanse(lake, date_format, price_scale)}
+        counts = {BRONZE: raw_rows, SILVER: cleanse(lake, date_format, price_scale, by_month)}
     else:
         seen = Observation()
         raw = read_raw(spark, csv_path, multi_line).observe(seen, F.count(F.lit(1)).alias("rows"))
-        valid = lake.replace_counted(SILVER, silver.cleanse(raw, date_format, price_scale))
+        lines = silver.cleanse(raw, date_format, price_scale)
+        valid = lake.replace_counted(SILVER, lines, MONTH if by_month else None)
         counts = {BRONZE: seen.get["rows"], SILVER: valid}
-    publish(lake, copy_fact)
+    publish(lake, copy_fact, by_month)
+    if sets:
+        publish_sets(lake)
+    if snapshot:
+        lake.publish()
     return counts

@@ -48,6 +48,10 @@ COUNTRY = "gold_agg_country_metrics"
 MONTHLY = "gold_agg_monthly_trends"
 RFM = "gold_agg_customer_rfm"
 
+# State beside the gold tables: what they are built from, and sets that can be united.
+PARTIALS = "gold_state_partials"
+NUMBERS = {"invoices": "gold_state_invoice_numbers", "customers": "gold_state_customer_numbers"}
+
 # The only tables an ad-hoc query may read.
 GOLD_TABLES = (FACT, PRODUCT, COUNTRY, MONTHLY, RFM)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -26,24 +27,37 @@ class Lake:
         """The published gold tables by name."""
         return {name: self.table(name) for name in GOLD_TABLES}
 
-    def replace(self, name: str, rows: DataFrame) -> None:
+    def replace(self, name: str, rows: DataFrame, partition_by: str | None = None) -> None:
         """Write the whole table anew."""
         if self._is_view(name):
             self.spark.sql(f"DROP VIEW {self._name(name)}")
-        rows.write.mode("overwrite").format("parquet").saveAsTable(self._name(name))
+        writer = rows.write.mode("overwrite").format("parquet")
+        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(self._name(name))
 
-    def replace_counted(self, name: str, rows: DataFrame) -> int:
+    def replace_partition(self, name: str, column: str, value: str, rows: DataFrame) -> None:
+        """Write one partition of a partitioned table anew; without rows it is gone."""
+        cell = value.replace("'", "''")
+        self.spark.sql(f"ALTER TABLE {self._name(name)} DROP IF EXISTS PARTITION ({column} = '{cell}')")
+        rows.select(self.table(name).columns).write.mode("append").insertInto(self._name(name))
+
+    def exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(self._name(name))
+
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+
+    def replace_counted(self, name: str, rows: DataFrame, partition_by: str | None = None) -> int:
         """As `replace`; the rows are counted while they are written."""
         written = Observation()
-        self.replace(name, rows.observe(written, F.count(F.lit(1)).alias("rows")))
+        self.replace(name, rows.observe(written, F.count(F.lit(1)).alias("rows")), partition_by)
         return written.get["rows"]
 
-    def view(self, name: str, source: str) -> None:
+    def view(self, name: str, source: str, columns: str = "*") -> None:
         """Publish a table under a second name without copying it."""
         if self.spark.catalog.tableExists(self._name(name)) and not self._is_view(name):
             self.spark.sql(f"DROP TABLE {self._name(name)}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT * FROM {self._name(source)}"
+            f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {columns} FROM {self._name(source)}"
         )
 
     def append(self, name: str, rows: DataFrame) -> None:
@@ -57,6 +71,76 @@ class Lake:
         )
 
 
+_VERSION, _BEFORE = "basketry.version", "basketry.version.before"
+
+
+@dataclass(frozen=True)
+class Snapshot(Lake):
+    """One version of all tables of a database, under names of its own.
+
+    A refresh fills a new version; `publish` makes it the current one by a single change of
+    the database's properties.  Until then, and after a failure between any two tables,
+    readers of `current` have the whole set of before.  The version before stays, for
+    readers that have not finished; older and abandoned ones go with the next publication.
+    """
+
+    version: int = 0
+
+    def _name(self, name: str) -> str:
+        return f"`{self.database}`.`{name}__v{self.version}`"
+
+    @staticmethod
+    def _properties(spark: SparkSession, database: str) -> dict[str, str]:
+        rows = spark.sql(f"DESCRIBE DATABASE EXTENDED `{database}`").collect()
+        text = next((r[1] for r in rows if r[0] == "Properties"), "")
+        return dict(re.findall(r"\(([\w.]+),\s*([^()]*)\)", text))
+
+    @classmethod
+    def current(cls, spark: SparkSession, database: str) -> Snapshot:
+        """The published version; all its tables belong together."""
+        version = cls._properties(spark, database).get(_VERSION)
+        if version is None:
+            raise ValueError(f"{database} has no published version")
+        return cls(spark, database, int(version))
+
+    @classmethod
+    def new(cls, spark: SparkSession, database: str) -> Snapshot:
+        """An empty version above every other one, abandoned ones included."""
+        known = {0, int(cls._properties(spark, database).get(_VERSION, 0))}
+        return cls(spark, database, max(known | set(cls._versions(spark, database).values())) + 1)
+
+    @staticmethod
+    def _versions(spark: SparkSession, database: str) -> dict[str, int]:
+        found = {t.name: re.search(r"__v(\d+)$", t.name) for t in spark.catalog.listTables(database) if not t.isTemporary}
+        return {name: int(match[1]) for name, match in found.items() if match}
+
+    def publish(self) -> None:
+        """Make this the current version, then point the plain names to it and tidy up."""
+        before = self._properties(self.spark, self.database).get(_VERSION, "0")
+        if before != str(self.version):
+            self.spark.sql(
+                f"ALTER DATABASE `{self.database}` SET DBPROPERTIES "
+                f"('{_VERSION}' = '{self.version}', '{_BEFORE}' = '{before}')"
+            )
+        self.point()
+
+    def point(self) -> None:
+        """Plain names, for SQL, as views of this version; repeated after a failure it does no harm."""
+        versions = self._versions(self.spark, self.database)
+        plain = Lake(self.spark, self.database)
+        for name, version in versions.items():
+            if version == self.version:
+                short = name.removesuffix(f"__v{version}")
+                if plain.exists(short) and not plain._is_view(short):
+                    raise ValueError(f"{short} is a table of its own, not a view of a version")
+                plain.view(short, name)
+        kept = {self.version, int(self._properties(self.spark, self.database).get(_BEFORE, 0))}
+        for name, version in versions.items():
+            if version not in kept:
+                kind = "VIEW" if plain._is_view(name) else "TABLE"
+                self.spark.sql(f"DROP {kind} IF EXISTS {plain._name(name)}")
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """Report lines as text files; their names sort in report order."""
     lines.orderBy("position", "id", "line_no").select("line").write.mode("overwrite").text(path)
