@@ -29,7 +29,7 @@ from .graph import join_few
 
 LEAST_DOCS = 30
 TERM_RANKS = 50
-ENTRIES = 1 << 18  # counts of one block: its terms times the sources and the language
+ENTRIES = 1 << 15  # counts of one block: its terms times the sources and the language
 PAIRS = 4096  # pairs of sources, in both directions, that one task compares
 PENDING = 400_000  # distinct (group, term) a task holds before it hands them on
 
