@@ -26,39 +26,51 @@ def _apart(name: str, expression: str) -> str:
 _SAFE_DIGITS = {"INT": 9, "BIGINT": 18}
 
 
-def whole_number(name: str, type_name: str) -> Column:
-    """`6` and `6.0` as an integer; any other text is an error that names it, in every mode."""
+def whole_number(name: str, type_name: str, strict: bool = True) -> Column:
+    """`6` and `6.0` as an integer; any other text is an error that names it, in every mode.
+
+    Not `strict`, such text is NULL (`not_whole` words the error).
+    """
     plain = rf"{name} RLIKE r'^-?[0-9]{{1,{_SAFE_DIGITS[type_name]}}}(\.0+)?\z'"
-    other = _apart(name, _any_whole_number("cell", name, type_name))
+    other = _apart(name, _any_whole_number("cell", name, type_name, strict))
     return F.expr(f"CASE WHEN {plain} THEN CAST(substring_index({name}, '.', 1) AS {type_name}) ELSE {other} END")
 
 
-def _any_whole_number(text: str, name: str, type_name: str) -> str:
+def not_whole(name: str, text: str) -> str:
+    return f"concat('{name} is not a whole number: ', {text})"
+
+
+def _any_whole_number(text: str, name: str, type_name: str, strict: bool) -> str:
     without_zeros = rf"regexp_replace({text}, r'\.0+$', '')"
     number = f"TRY_CAST(IF({text} LIKE '%.%', {without_zeros}, {text}) AS {type_name})"
     # A try_cast to an integer cuts fractions off in some notations; compare as decimals.
     fits = f"coalesce({number} = TRY_CAST({text} AS DECIMAL(38,10)), false)"
-    wrong = f"raise_error(concat('{name} is not a whole number: ', {text}))"
+    wrong = f"raise_error({not_whole(name, text)})" if strict else "NULL"
     return f"CASE WHEN {text} IS NULL OR {fits} THEN {number} ELSE {wrong} END"
 
 
-def exact_amount(name: str, scale: int) -> Column:
+def exact_amount(name: str, scale: int, strict: bool = True) -> Column:
     """The text as decimal(18, scale), never rounded.
 
     Text that is no number, or has more decimals than the scale holds, is an error that
-    names it, in every mode.  Decimals beyond the 20th are not looked at.
+    names it, in every mode.  Decimals beyond the 20th are not looked at.  Not `strict`,
+    such text is NULL (`not_fitting` words the error).
     """
     scale = int(scale)
     decimals = rf"(\.[0-9]{{1,{scale}}})?" if scale else ""
     plain = rf"{name} RLIKE r'^-?[0-9]{{1,{18 - scale}}}{decimals}\z'"
-    other = _apart(name, _any_amount("cell", name, scale))
+    other = _apart(name, _any_amount("cell", name, scale, strict))
     return F.expr(f"CASE WHEN {plain} THEN CAST({name} AS DECIMAL(18,{scale})) ELSE {other} END")
 
 
-def _any_amount(text: str, name: str, scale: int) -> str:
+def not_fitting(name: str, text: str, scale: int) -> str:
+    return f"concat('{name} does not fit decimal(18,{scale}): ', {text})"
+
+
+def _any_amount(text: str, name: str, scale: int, strict: bool) -> str:
     wide = f"TRY_CAST({text} AS DECIMAL(38,20))"
     amount = f"TRY_CAST({wide} AS DECIMAL(18,{scale}))"
-    wrong = f"raise_error(concat('{name} does not fit decimal(18,{scale}): ', {text}))"
+    wrong = f"raise_error({not_fitting(name, text, scale)})" if strict else "NULL"
     return f"CASE WHEN {text} IS NULL OR coalesce({amount} = {wide}, false) THEN {amount} ELSE {wrong} END"
 
 

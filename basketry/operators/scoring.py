@@ -34,6 +34,9 @@ SQL_PREFIX = "SQL: "
 RESULT_PREFIX = "DB Result: "
 NO_TEXT = "None"
 
+# Queries of one question that meet its answer in one task.
+SLICE_QUERIES = 10_000
+
 
 def first_items(golden: DataFrame, count: int | None) -> DataFrame:
     """The first `count` golden questions in file order; all of them for None."""
@@ -147,11 +150,15 @@ def run_metrics(
     )
 
 
-def report_lines(golden: DataFrame, runs: DataFrame, queries: DataFrame) -> DataFrame:
+def report_lines(
+    golden: DataFrame, runs: DataFrame, queries: DataFrame, slice_queries: int = SLICE_QUERIES
+) -> DataFrame:
     """id, position, line_no, line: what each question asked, ran and answered.
 
-    Line numbers follow from the query numbers, so no question is gathered
-    anywhere; sorting by (position, line_no) gives the report.
+    Line numbers follow from the query numbers, so no question's lines are brought
+    together; sorting by (position, line_no) gives the report.  A question's queries meet
+    its answer in slices of `SLICE_QUERIES`, each with a copy of the answer's two numbers,
+    so a question with half of the log is spread like any other.
     """
     asked = golden.select("id", "position", "question", "has_expected", "expected_num", "expected_str")
     counted = queries.groupBy("id").agg(F.count(F.lit(1)).alias("queries"))
@@ -196,8 +203,10 @@ def report_lines(golden: DataFrame, runs: DataFrame, queries: DataFrame) -> Data
         numbered(at + 1, F.concat(F.lit(SQL_PREFIX), F.coalesce("query", F.lit(NO_TEXT)))),
         numbered(at + 2, F.concat(F.lit(RESULT_PREFIX), F.coalesce("result", F.lit(NO_TEXT)))),
     )
-    succeeded = answers.where(~failed).select("id", "position")
+    last = F.expr(f"greatest(queries - 1, 0) div {slice_queries}")
+    succeeded = answers.where(~failed).select("id", "position", F.explode(F.sequence(F.lit(0), last)).alias("slice"))
+    sliced = queries.withColumn("slice", F.expr(f"(query_no - 1) div {slice_queries}"))
     return (
         answers.select("id", "position", F.inline(framing))
-        .unionByName(queries.join(succeeded, "id").select("id", "position", F.inline(steps)))
+        .unionByName(sliced.join(succeeded, ["id", "slice"]).select("id", "position", F.inline(steps)))
     )

@@ -7,20 +7,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.cells import ISO_FORMAT, exact_amount, timestamp_or_null, whole_number
+from basketry.functions.cells import (
+    ISO_FORMAT,
+    exact_amount,
+    not_fitting,
+    not_whole,
+    timestamp_or_null,
+    whole_number,
+)
 from basketry.schema import COLUMN_NAMES, GUEST_ID, SILVER_COLUMNS
 
 DATE_FORMAT = ISO_FORMAT
 PRICE_SCALE = 4
 
 
-def typed(raw: DataFrame, price_scale: int = PRICE_SCALE) -> DataFrame:
+def typed(raw: DataFrame, price_scale: int = PRICE_SCALE, strict: bool = True) -> DataFrame:
     """Rename the raw columns and cast the numeric ones."""
-    customer = F.coalesce(whole_number("customer_id", "BIGINT"), F.lit(GUEST_ID).cast("bigint"))
+    customer = F.coalesce(whole_number("customer_id", "BIGINT", strict), F.lit(GUEST_ID).cast("bigint"))
     numbers = F.struct(
-        whole_number("quantity", "INT").alias("quantity"),
+        whole_number("quantity", "INT", strict).alias("quantity"),
         # Decimal prices make every later sum exact and order-independent.
-        exact_amount("unit_price", price_scale).alias("unit_price"),
+        exact_amount("unit_price", price_scale, strict).alias("unit_price"),
     )
     named = raw.withColumnsRenamed(COLUMN_NAMES)
     rest = [c for c in named.columns if c not in ("quantity", "unit_price")]
@@ -47,11 +54,54 @@ def cleanse(
     raw: DataFrame, date_format: str = DATE_FORMAT, price_scale: int = PRICE_SCALE
 ) -> DataFrame:
     """The silver table: one row per valid raw line."""
+    return _derived(typed(raw, price_scale).where(is_valid_line()), date_format).select(SILVER_COLUMNS)
+
+
+def examined(
+    raw: DataFrame, date_format: str = DATE_FORMAT, price_scale: int = PRICE_SCALE
+) -> DataFrame:
+    """Valid lines and rejected ones in one pass, told apart by `reject_reason`.
+
+    `raw` may have a `line_reason` (see `read_raw`) beside the cells; its other columns are
+    carried along.  A line is rejected where a cell cannot be read as its type, however its
+    other cells are; `raw_cells` then holds the line as it was, as JSON.  Missing cells, and
+    lines that are dropped for a zero quantity or a price that is not positive, are no rejects.
+    """
+    cells = raw.withColumnsRenamed(COLUMN_NAMES)
+    if "line_reason" not in cells.columns:
+        cells = cells.withColumn("line_reason", F.lit(None).cast("string"))
+    texts = {"quantity": "_quantity", "unit_price": "_price", "customer_id": "_customer"}
+    kept = cells.withColumns({copy: F.col(name) for name, copy in texts.items()}).withColumn(
+        "_cells", F.to_json(F.struct(*COLUMN_NAMES.values()), {"ignoreNullFields": "false"})
+    )
+    parsed = typed(kept, price_scale, strict=False)
+    # A guest's id is missing; an unreadable one would look like a guest's.
+    unreadable = whole_number("_customer", "BIGINT", strict=False).isNull()
+    reason = F.concat_ws(
+        "; ",
+        "line_reason",
+        F.when(F.col("_quantity").isNotNull() & F.col("quantity").isNull(), F.expr(not_whole("quantity", "_quantity"))),
+        F.when(
+            F.col("_price").isNotNull() & F.col("unit_price").isNull(),
+            F.expr(not_fitting("unit_price", "_price", int(price_scale))),
+        ),
+        F.when(F.col("_customer").isNotNull() & unreadable, F.expr(not_whole("customer_id", "_customer"))),
+    )
+    judged = parsed.withColumn("reject_reason", F.nullif(reason, F.lit("")))
+    judged = judged.where(F.col("reject_reason").isNotNull() | is_valid_line())
+    carried = [c for c in raw.columns if c not in COLUMN_NAMES and c != "line_reason"]
+    return (
+        _derived(judged, date_format)
+        .withColumn("raw_cells", F.when(F.col("reject_reason").isNotNull(), F.col("_cells")))
+        .select(*SILVER_COLUMNS, "reject_reason", "raw_cells", *carried)
+    )
+
+
+def _derived(lines: DataFrame, date_format: str) -> DataFrame:
+    """Lines with parsed numbers, and the columns that follow from their cells."""
     invoice_date = F.col("invoice_date")
     return (
-        typed(raw, price_scale)
-        .where(is_valid_line())
-        .withColumns(
+        lines.withColumns(
             {
                 "is_cancelled": is_cancelled(F.col("invoice_no")),
                 "total_line_price": F.col("quantity") * F.col("unit_price"),
@@ -65,5 +115,4 @@ def cleanse(
                 "invoice_month": F.month(invoice_date),
             }
         )
-        .select(SILVER_COLUMNS)
     )

@@ -10,7 +10,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from basketry.functions.cells import money
 from basketry.operators import gold, partials, silver
-from basketry.schema import BRONZE, FACT, NUMBERS, PARTIALS, SILVER, SILVER_COLUMNS
+from basketry.schema import (
+    BRONZE,
+    EXAMINED,
+    FACT,
+    NUMBERS,
+    PARTIALS,
+    REJECTS,
+    SILVER,
+    SILVER_COLUMNS,
+)
 from basketry.sources.raw_csv import read_raw
 from basketry.sources.tables import Lake, Snapshot
 
@@ -57,6 +66,32 @@ def cleanse(
     return lake.replace_counted(SILVER, lines, MONTH if by_month else None)
 
 
+def cleanse_with_rejects(
+    lake: Lake,
+    csv_path: str,
+    date_format: str = silver.DATE_FORMAT,
+    multi_line: bool | None = None,
+    price_scale: int = silver.PRICE_SCALE,
+) -> dict[str, int]:
+    """Raw files into silver and rejects, in one pass and one write; returns the row counts.
+
+    Silver and the rejects are views of the two partitions of one table, so either reads
+    its own files only.  No line is lost or changed: what cannot be read is a reject with
+    its reason, file, block and cells.
+    """
+    seen = Observation()
+    raw = read_raw(lake.spark, csv_path, multi_line, places=True).observe(
+        seen, F.count(F.lit(1)).alias("raw")
+    )
+    judged, kept = F.col("reject_reason").isNotNull(), Observation()
+    rows = silver.examined(raw, date_format, price_scale).withColumn("rejected", judged)
+    counted = rows.observe(kept, F.count_if(judged).alias("rejected"), F.count_if(~judged).alias("valid"))
+    lake.replace(EXAMINED, counted, "rejected")
+    lake.view(SILVER, EXAMINED, ", ".join(SILVER_COLUMNS), "NOT rejected")
+    lake.view(REJECTS, EXAMINED, "reject_reason, source_file, source_block, raw_cells", "rejected")
+    return {BRONZE: seen.get["raw"], SILVER: kept.get["valid"], REJECTS: kept.get["rejected"]}
+
+
 def publish(lake: Lake, copy_fact: bool = False, by_month: bool = False) -> None:
     """Silver into the gold tables.
 
@@ -145,6 +180,7 @@ def refresh(
     by_month: bool = False,
     sets: bool = False,
     snapshot: bool = False,
+    quarantine: bool = False,
 ) -> dict[str, int]:
     """All layers in one go; returns the row counts of bronze and silver.
 
@@ -152,9 +188,15 @@ def refresh(
     silver and the partials by month, for `refresh_month`.  `sets` keeps sets of invoices
     and customers, for distinct counts of unions.  With `snapshot` the tables are a new
     version, which is published when all of them are written (`Snapshot.current`).
+    With `quarantine` lines that cannot be read are kept as rejects and counted, where they
+    are errors otherwise; it needs neither bronze nor `by_month`.
     """
+    if quarantine and (keep_bronze or by_month):
+        raise ValueError("quarantine cleanses the raw files as they are read: no bronze, no months")
     lake = Snapshot.new(spark, database) if snapshot else Lake(spark, database)
-    if keep_bronze:
+    if quarantine:
+        counts = cleanse_with_rejects(lake, csv_path, date_format, multi_line, price_scale)
+    elif keep_bronze:
         raw_rows = ingest(lake, csv_path, multi_line)
         counts = {BRONZE: raw_rows, SILVER: cleanse(lake, date_format, price_scale, by_month)}
     else:

@@ -52,6 +52,9 @@ RFM = "gold_agg_customer_rfm"
 PARTIALS = "gold_state_partials"
 NUMBERS = {"invoices": "gold_state_invoice_numbers", "customers": "gold_state_customer_numbers"}
 
+# Lines that could not be read, beside silver.
+EXAMINED, REJECTS = "silver_sales_examined", "silver_sales_rejects"
+
 # The only tables an ad-hoc query may read.
 GOLD_TABLES = (FACT, PRODUCT, COUNTRY, MONTHLY, RFM)
 

@@ -25,8 +25,16 @@ def files_with_quoted_newlines(spark: SparkSession, path: str) -> list[str]:
     return sorted(r[0] for r in odd.select(F.input_file_name()).distinct().collect())
 
 
-def _scan(spark: SparkSession, paths: str | list[str], multi_line: bool) -> DataFrame:
-    """One scan.  A line with more cells than the header is an error; missing cells are NULL."""
+# What is known of a line besides its cells.
+PLACES = ["line_reason", "source_file", "source_block"]
+
+
+def _scan(spark: SparkSession, paths: str | list[str], multi_line: bool, places: bool = False) -> DataFrame:
+    """One scan.  A line with more cells than the header is an error; missing cells are NULL.
+
+    With `places` such a line has a `line_reason` instead, and every line its file and the
+    first byte of the block it was read in.
+    """
     options = {"header": True, "enforceSchema": False, "quote": '"', "escape": '"', "multiLine": multi_line}
     names = spark.read.csv(paths, inferSchema=False, **options).columns
     cells = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
@@ -35,32 +43,43 @@ def _scan(spark: SparkSession, paths: str | list[str], multi_line: bool) -> Data
     rows = reader.csv(paths, columnNameOfCorruptRecord=_ODD_LINE, **options)
     wider = ", ".join(f"c{k} string" for k in range(len(names) + 1))
     beyond = F.from_csv(F.col(_ODD_LINE), wider, {"quote": '"', "escape": '"'})[f"c{len(names)}"]
-    error = F.raise_error(F.concat(F.lit("a line has cells beyond the header: "), F.col(_ODD_LINE)))
+    wider_line = F.concat(F.lit("a line has cells beyond the header: "), F.col(_ODD_LINE))
+    if places:
+        return rows.select(
+            *[F.col(f"`{name}`") for name in names],
+            F.when(beyond.isNotNull(), wider_line).alias("line_reason"),
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("source_block"),
+        )
+    error = F.raise_error(wider_line)
     first = F.when(beyond.isNotNull(), error.cast("string")).otherwise(F.col(f"`{names[0]}`"))
     return rows.select(first.alias(names[0]), *[F.col(f"`{name}`") for name in names[1:]])
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, multi_line: bool | None = None, places: bool = False
+) -> DataFrame:
     """Scan raw files; every cell is text, missing-value tokens are NULL.
 
     Columns are found by header name and every file must have the same header.
     `multi_line=True` reads fields that contain line breaks, at the price of one
     task per file; `False` lets Spark split large files.  `None` looks first and
     decides per file: those that may hold such fields are read whole, the others split.
+    `places` adds `line_reason`, `source_file` and `source_block`, for `silver.examined`.
     """
     if multi_line is None:
         odd = files_with_quoted_newlines(spark, path)
         every = sorted(map(unquote, spark.read.text(path).inputFiles()))
         whole = [f for f in every if _plain(f) in {_plain(o) for o in odd}]
         split = [f for f in every if f not in whole]
-        scans = [_scan(spark, files, flag) for files, flag in ((whole, True), (split, False)) if files]
+        scans = [_scan(spark, files, flag, places) for files, flag in ((whole, True), (split, False)) if files]
         raw = scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
     else:
-        raw = _scan(spark, path, multi_line)
+        raw = _scan(spark, path, multi_line, places)
     absent = [name for name in RAW_COLUMNS if name not in raw.columns]
     if absent:
         raise ValueError(f"raw file lacks columns {absent}; it has {raw.columns}")
-    return normalise(raw)
+    return normalise(raw, PLACES if places else [])
 
 
 def _plain(path: str) -> str:
@@ -68,6 +87,6 @@ def _plain(path: str) -> str:
     return re.sub("^([a-z]+):/+", r"\1:/", unquote(path))
 
 
-def normalise(raw: DataFrame) -> DataFrame:
+def normalise(raw: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """The eight raw columns with every missing-value token turned into NULL."""
-    return raw.selectExpr([f"{missing_to_null(name)} AS `{name}`" for name in RAW_COLUMNS])
+    return raw.selectExpr([f"{missing_to_null(name)} AS `{name}`" for name in RAW_COLUMNS] + (carried or []))

@@ -52,12 +52,12 @@ class Lake:
         self.replace(name, rows.observe(written, F.count(F.lit(1)).alias("rows")), partition_by)
         return written.get["rows"]
 
-    def view(self, name: str, source: str, columns: str = "*") -> None:
+    def view(self, name: str, source: str, columns: str = "*", where: str = "true") -> None:
         """Publish a table under a second name without copying it."""
         if self.spark.catalog.tableExists(self._name(name)) and not self._is_view(name):
             self.spark.sql(f"DROP TABLE {self._name(name)}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {columns} FROM {self._name(source)}"
+            f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT {columns} FROM {self._name(source)} WHERE {where}"
         )
 
     def append(self, name: str, rows: DataFrame) -> None:
