@@ -333,11 +333,12 @@ def identified(
     text_column: str = "text",
     runs: bool = False,
 ) -> DataFrame:
-    """One row per document: (_row_id, doc_id, lang_pred, score, n_words, n_switches, runs).
+    """One row per document: (_row_id, doc_id, lang_pred, score, n_words, n_switches, runs, confidence).
 
     `lang_pred` has the largest mean probability over the text's words, which is `score`
     (ties: the first in alphabetical order).  Without a letter, with a NULL text or without
-    a field it is `und` with score 0.  `runs` are the stretches of one language by character
+    a field it is `und` with score 0.  `confidence` is the mean probability of the words'
+    own labels, which is high in a text that switches between known languages.  `runs` are the stretches of one language by character
     positions, NULL unless asked for.  An empty table gives an empty result; other columns
     are ignored.
     """
@@ -353,18 +354,20 @@ def identified(
         for batch in text_batches(batches, 2, BATCH_BYTES):
             texts = batch.column(2).to_pylist()
             words = [words_of(t) for t in texts]
-            label, score, switches, spans = [], [], [], []
+            label, score, switches, spans, sure = [], [], [], [], []
             for text, chance in zip(texts, labeller.label(words) if labeller else [None] * len(texts)):
                 if chance is None:
                     label.append("und")
                     score.append(0.0)
                     switches.append(0)
                     spans.append([] if runs else None)
+                    sure.append(0.0)
                     continue
                 mean = chance.mean(axis=0, dtype=np.float64)
                 best = chance.argmax(axis=1)
                 label.append(field.languages[int(mean.argmax())])
                 score.append(min(1.0, float(mean.max())))
+                sure.append(min(1.0, float(chance.max(axis=1).mean(dtype=np.float64))))
                 switches.append(int(np.count_nonzero(np.diff(best))))
                 spans.append(_runs(text, best, field.languages) if runs else None)
             kind = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -372,12 +375,13 @@ def identified(
                 [
                     batch.column(0), batch.column(1), pa.array(label, pa.string()), pa.array(score, pa.float64()),
                     pa.array([len(w) for w in words], pa.int64()), pa.array(switches, pa.int64()), pa.array(spans, kind),
+                    pa.array(sure, pa.float64()),
                 ],
-                names=[ROW, "doc_id", "lang_pred", "score", "n_words", "n_switches", "runs"],
+                names=[ROW, "doc_id", "lang_pred", "score", "n_words", "n_switches", "runs", "confidence"],
             )
 
     schema = (
         f"{ROW} bigint, doc_id {ids}, lang_pred string, score double, n_words bigint, "
-        f"n_switches bigint, runs {_RUNS}"
+        f"n_switches bigint, runs {_RUNS}, confidence double"
     )
     return rows.mapInArrow(lean(run), schema)

@@ -170,18 +170,24 @@ def _ip_ok(text: str) -> bool:
     return all(int(p) <= 255 and (len(p) == 1 or p[0] != "0") for p in text.split("."))
 
 
+# Smallest number and how many there are, by the number's length.
+_IP_RANGES = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
+
+
 def _ip(f: Feistel, text: str, back: bool) -> str | None:
     if not _ip_ok(text):
         return None
-    parts = text.split(".")
-    value = functools.reduce(lambda a, p: a * 256 + int(p), parts, 0)
-
-    def same(n: int) -> bool:
-        """Lengths of the four numbers stay, and so does the text's length."""
-        return all(len(str(n >> s & 255)) == len(p) for s, p in zip((24, 16, 8, 0), parts))
-
-    value = f.permuted("ip" + ".".join(str(len(p)) for p in parts), value, 1 << 32, back, same)
-    return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
+    # The lengths of the four numbers stay, so the permutation is one of such addresses only.
+    ranges = [_IP_RANGES[len(p)] for p in text.split(".")]
+    rank = size = 0
+    for number, (first, count) in zip(map(int, text.split(".")), ranges):
+        rank, size = rank * count + number - first, max(size, 1) * count
+    rank = f.permuted("ip" + ".".join(str(len(p)) for p in text.split(".")), rank, size, back)
+    numbers = []
+    for first, count in reversed(ranges):
+        rank, number = divmod(rank, count)
+        numbers.append(str(first + number))
+    return ".".join(reversed(numbers))
 
 
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()

@@ -36,7 +36,7 @@ def test_every_operator_is_registered():
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = language_crf.identified(docs, language_crf.fitted(docs)).collect()
-    spoken = {r.doc_id for r in found if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+    spoken = {r.doc_id for r in found if r.lang_pred != "und" and r.confidence >= corpus_pipeline.LEAST_CONFIDENCE}
     texts = {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id in spoken}
     last = {}
     for doc_id in sorted(texts):

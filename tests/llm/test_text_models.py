@@ -340,3 +340,52 @@ def test_no_pages(spark, tmp_path):
     spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(path)
     warc.write_archives(spark.read.parquet(path), out)
     assert warc.captures(warc.read_records(spark, out)).count() == 0
+
+
+def test_addresses_are_permuted_within_their_lengths():
+    import time
+
+    f = pseudonyms.Feistel(KEY)
+    started = time.perf_counter()
+    rng = random.Random(5)
+    cases = ["8.8.8.8", "10.0.0.1", "0.0.0.0", "255.255.255.255", "1.22.255.9"]
+    cases += [".".join(str(rng.randrange(256)) for _ in range(4)) for _ in range(500)]
+    for text in cases:
+        changed = pseudonyms._ip(f, text, False)
+        assert pseudonyms._ip_ok(changed) and list(map(len, changed.split("."))) == list(map(len, text.split(".")))
+        assert pseudonyms._ip(f, changed, True) == text
+    assert time.perf_counter() - started < 2
+    every = {pseudonyms._ip(f, f"{a}.{b}.0.7", False)[:3] for a in range(10) for b in range(10)}
+    assert len({pseudonyms._ip(f, f"{a}.{b}.{c}.7", False) for a in range(10) for b in range(10) for c in range(10)}) == 1000
+    assert len(every) > 20
+
+
+def test_pipeline_keeps_texts_that_switch_languages_and_texts_without_any_label(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.lang: r.text for r in docs.where("length(text) BETWEEN 800 AND 3000").collect()}
+    some = [texts[lang] for lang in sorted(texts)][:4]
+    mixed = "\n".join(text[:800] for text in some)
+    own = spark.createDataFrame([(10**9, mixed, None, "s", len(mixed))], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(own), "")
+    assert kept.where(f"doc_id = {10**9}").count() == 1
+    unlabelled = docs.limit(50).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 50
+    assert corpus_pipeline.identify_language(spark, docs.where("false"), "").count() == 0
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, stage):
+    import corpus_pipeline
+
+    name, run = corpus_pipeline.STAGES[stage]
+    kept = run(spark, odd_docs, "/root/testdata/sf0.001")
+    rows, had = kept.collect(), [tuple(r) for r in odd_docs.collect()]
+    assert kept.columns == odd_docs.columns and run(spark, no_docs, "/root/testdata/sf0.001").count() == 0
+    left = Counter(had) - Counter(map(tuple, rows))
+    assert not Counter(map(tuple, rows)) - Counter(had)
+    if name == "exact_dedup":
+        assert Counter(r.text or "" for r in rows) == Counter({t or "": 1 for _, t, *_ in had})
+    if name == "decontamination":
+        assert not left
