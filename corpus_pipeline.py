@@ -1,8 +1,13 @@
 """The training-data pipeline: STAGES over `documents`, each on all that the one before kept.
 
 A stage takes (spark, docs, sf_dir) and returns a frame; all but the last keep the
-columns of documents.  The last encodes the documents and checks by decoding that every
-text comes back.
+columns of documents, further ones and clashing names included.  The last encodes the
+documents and checks by decoding that every text comes back.
+
+NULL and empty texts are of no language, so the first stage drops them; given to a later
+stage they are equal texts, near to nothing, not contaminated, and have no tokens.  Of
+repeated rows exact dedup keeps one.  NULL ids are ids like others, the least ones.  An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,14 +18,21 @@ from basketry.llm import bpe, contamination, exact_dedup, language_crf, near_ded
 from basketry.llm.common import ROW, pinned, ship, stored, table, with_row_id
 from basketry.llm.graph import only_rows
 
-LEAST_SCORE = 0.5  # mean probability of the text's language
+LEAST_CONFIDENCE = 0.5  # mean probability of the words' own languages
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts of no prevailing language."""
+    """Rejects texts without a letter and texts whose words are of no learned language.
+
+    A text may switch between languages: its words are judged by their own labels.
+    Without a labelled text nothing is learned, and all documents stay.
+    """
     docs = pinned(docs)
-    found = language_crf.identified(docs, language_crf.fitted(docs))
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    field = language_crf.fitted(docs)
+    if field is None:
+        return docs
+    found = language_crf.identified(docs, field)
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("confidence") >= LEAST_CONFIDENCE))
     return only_rows(docs, kept)
 
 
