@@ -13,7 +13,6 @@ Each text is handled by itself: no shuffle, and nothing depends on other rows.
 from __future__ import annotations
 
 import datetime
-import functools
 import hashlib
 import hmac
 import re
