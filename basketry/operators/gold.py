@@ -93,7 +93,7 @@ BUILDERS = {
     RFM: customer_rfm,
 }
 
-# Row order of each aggregate when it is read as a report; key columns break ties.
+# Row order of each aggregate, stored and read as a report; key columns break ties.
 _REPORT_ORDER = {
     PRODUCT: ([("net_revenue", False)], ["product_description", "stock_code"]),
     COUNTRY: ([("net_revenue", False)], ["country"]),
@@ -103,7 +103,7 @@ _REPORT_ORDER = {
 
 
 def in_report_order(name: str, table: DataFrame) -> DataFrame:
-    """Sort an aggregate for reading.  Stored tables carry no order."""
+    """Sort an aggregate; so it is published, and `Lake.report` reads it back without a sort."""
     measures, keys = _REPORT_ORDER[name]
     return table.orderBy(
         *[F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in measures], *keys

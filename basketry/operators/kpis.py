@@ -12,8 +12,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.functions.cells import money
+from basketry.operators.layout import without_other_zones
 from basketry.operators.partials import SET_GROUPS, members, united_count
-from basketry.schema import COUNTRY, FACT, MONTHLY, PRODUCT, RFM
+from basketry.schema import CLUSTERED_BY, COUNTRY, FACT, MONTHLY, PRODUCT, RFM, ZONES
 
 Tables = Mapping[str, DataFrame]
 
@@ -155,6 +156,7 @@ def fact_lines(
     """Fact lines by business rule; every given condition is a plain, pushable filter.
 
     Dates count whole days, both ends included; lines without a readable date meet none.
+    Of a clustered fact only files that may hold such lines are read, if its zones are given.
     """
     wanted = {
         "is_cancelled": None if cancelled is None else int(cancelled),
@@ -166,6 +168,11 @@ def fact_lines(
         "product_description": description,
     }
     lines = tables[FACT]
+    if tables.get(ZONES) is not None:
+        ranges = {c: (wanted[c], wanted[c]) for c in CLUSTERED_BY if wanted[c] is not None}
+        if month is None and (from_date or to_date):
+            ranges["invoice_year_month"] = tuple(d and d.isoformat()[:7] for d in (from_date, to_date))
+        lines = without_other_zones(lines, tables[ZONES], ranges)
     for column, value in wanted.items():
         if value is not None:
             lines = lines.where(F.col(column) == value)

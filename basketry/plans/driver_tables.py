@@ -6,9 +6,12 @@ from one row of the given tables, so all of it grows with them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.operators import gold, silver
+from basketry.operators import gold, layout, silver
+from basketry.schema import FACT, ZONES
 from basketry.sources.golden import normalise_golden
 from basketry.sources.raw_csv import normalise
 
@@ -24,6 +27,9 @@ SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
 }
 
+# Small files, so that the given tables fill many.
+LINES_PER_FILE = 2_000
+
 # Raw column -> its text, with missing-value tokens where a value is absent.
 _RAW_TEXT = {
     "Invoice": """concat(
@@ -95,6 +101,29 @@ def gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return gold.BUILDERS[name](silver_lines(spark, sf_dir))
 
 
+def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows written below the folder that all executors share, and read back."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{top.rstrip('/')}/_tables/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def ordered_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An aggregate as `publish` stores it, in report order."""
+    return _stored(spark, gold.in_report_order(name, gold_table(spark, sf_dir, name)))
+
+
+def clustered_gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The fact clustered by month, country and product, and its zones.
+
+    Silver is written first, as in a lake: laying it out reads it more than once.
+    """
+    lines = _stored(spark, silver_lines(spark, sf_dir))
+    fact = _stored(spark, layout.clustered(lines, rows_per_file=LINES_PER_FILE))
+    return {FACT: fact, ZONES: layout.zones(fact)}
+
+
 def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool events per question: id, seq, kind, tool, payload."""
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from basketry.functions.cells import money
-from basketry.operators import gold, partials, silver
+from basketry.operators import gold, layout, partials, silver
 from basketry.schema import (
     BRONZE,
     EXAMINED,
@@ -19,6 +19,7 @@ from basketry.schema import (
     REJECTS,
     SILVER,
     SILVER_COLUMNS,
+    ZONES,
 )
 from basketry.sources.raw_csv import read_raw
 from basketry.sources.tables import Lake, Snapshot
@@ -92,22 +93,35 @@ def cleanse_with_rejects(
     return {BRONZE: seen.get["raw"], SILVER: kept.get["valid"], REJECTS: kept.get["rejected"]}
 
 
-def publish(lake: Lake, copy_fact: bool = False, by_month: bool = False) -> None:
+def publish_clustered_fact(lake: Lake, rows_per_file: int = layout.ROWS_PER_FILE) -> None:
+    """Silver into a fact clustered by month, country and product, and the zones of its files."""
+    lines = lake.table(SILVER).select(SILVER_COLUMNS)
+    lake.replace(FACT, layout.clustered(lines, rows_per_file=rows_per_file))
+    lake.replace(ZONES, layout.zones(lake.table(FACT)))
+
+
+def publish(lake: Lake, copy_fact: bool = False, by_month: bool = False, cluster: bool = False) -> None:
     """Silver into the gold tables.
 
     The fact equals silver line by line.  It is published as a view unless a
-    copy is asked for, which rewrites all lines to keep them when silver changes.
+    copy is asked for, which rewrites all lines to keep them when silver changes, or a
+    clustered copy, whose files `kpis.fact_lines` can leave out.  The aggregates are stored
+    in report order.
     The lines are scanned once, for the partials that all aggregates derive from.
     """
     lines = lake.table(SILVER).select(SILVER_COLUMNS)
-    if copy_fact:
+    if not cluster:
+        lake.drop(ZONES)
+    if cluster:
+        publish_clustered_fact(lake)
+    elif copy_fact:
         lake.replace(FACT, gold.sales_fact(lines))
     else:
         lake.view(FACT, SILVER, ", ".join(SILVER_COLUMNS))
     lake.replace(PARTIALS, partials.partials(lines), MONTH if by_month else None)
     parts = lake.table(PARTIALS)
     for name, build in partials.BUILDERS.items():
-        lake.replace(name, build(parts))
+        lake.replace_in_order(name, build(parts))
 
 
 def publish_sets(lake: Lake) -> None:
@@ -160,7 +174,7 @@ def refresh_month(
         changed = gone.unionByName(new)
         lake.replace(f"{name}_staged", partials.refreshed(name, lake.table(name), now, changed))
     for name in partials.BUILDERS:
-        lake.replace(name, lake.table(f"{name}_staged"))
+        lake.replace_in_order(name, lake.table(f"{name}_staged"))
     lake.replace_partition(PARTIALS, MONTH, month, new)
     lake.replace_partition(SILVER, MONTH, month, came)
     for name in [SILVER, PARTIALS, *partials.BUILDERS]:
@@ -181,6 +195,7 @@ def refresh(
     sets: bool = False,
     snapshot: bool = False,
     quarantine: bool = False,
+    cluster: bool = False,
 ) -> dict[str, int]:
     """All layers in one go; returns the row counts of bronze and silver.
 
@@ -189,7 +204,8 @@ def refresh(
     and customers, for distinct counts of unions.  With `snapshot` the tables are a new
     version, which is published when all of them are written (`Snapshot.current`).
     With `quarantine` lines that cannot be read are kept as rejects and counted, where they
-    are errors otherwise; it needs neither bronze nor `by_month`.
+    are errors otherwise; it needs neither bronze nor `by_month`.  `cluster` publishes a
+    copy of the fact clustered by month, country and product.
     """
     if quarantine and (keep_bronze or by_month):
         raise ValueError("quarantine cleanses the raw files as they are read: no bronze, no months")
@@ -205,7 +221,7 @@ def refresh(
         lines = silver.cleanse(raw, date_format, price_scale)
         valid = lake.replace_counted(SILVER, lines, MONTH if by_month else None)
         counts = {BRONZE: seen.get["rows"], SILVER: valid}
-    publish(lake, copy_fact, by_month)
+    publish(lake, copy_fact, by_month, cluster)
     if sets:
         publish_sets(lake)
     if snapshot:

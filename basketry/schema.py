@@ -52,6 +52,10 @@ RFM = "gold_agg_customer_rfm"
 PARTIALS = "gold_state_partials"
 NUMBERS = {"invoices": "gold_state_invoice_numbers", "customers": "gold_state_customer_numbers"}
 
+# What a clustered fact is laid out by, and the ranges of these columns in each of its files.
+CLUSTERED_BY = ("invoice_year_month", "country", "stock_code")
+ZONES = "gold_state_fact_zones"
+
 # Lines that could not be read, beside silver.
 EXAMINED, REJECTS = "silver_sales_examined", "silver_sales_rejects"
 

@@ -7,7 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from basketry.schema import GOLD_TABLES
+from basketry.operators.gold import in_report_order
+from basketry.operators.layout import in_stored_order
+from basketry.schema import FACT, GOLD_TABLES, ZONES
+
+
+_ORDERED = "basketry.ordered"
 
 
 @dataclass(frozen=True)
@@ -24,8 +29,11 @@ class Lake:
         return self.spark.table(self._name(name))
 
     def gold(self) -> dict[str, DataFrame]:
-        """The published gold tables by name."""
-        return {name: self.table(name) for name in GOLD_TABLES}
+        """The published gold tables by name, and the zones of a clustered fact."""
+        # A view has no files whose zones could be known.
+        zoned = self.exists(ZONES) and not self._is_view(FACT)
+        names = [*GOLD_TABLES, ZONES] if zoned else GOLD_TABLES
+        return {name: self.table(name) for name in names}
 
     def replace(self, name: str, rows: DataFrame, partition_by: str | None = None) -> None:
         """Write the whole table anew."""
@@ -34,6 +42,18 @@ class Lake:
         writer = rows.write.mode("overwrite").format("parquet")
         (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(self._name(name))
 
+    def replace_in_order(self, name: str, rows: DataFrame) -> None:
+        """As `replace`, for an aggregate: its files, and the rows in them, in report order."""
+        self.replace(name, in_report_order(name, rows))
+        self.spark.sql(f"ALTER TABLE {self._name(name)} SET TBLPROPERTIES ('{_ORDERED}' = 'true')")
+
+    def report(self, name: str) -> DataFrame:
+        """A published aggregate in report order, as it lies in its files; nothing is sorted."""
+        properties = self.spark.sql(f"SHOW TBLPROPERTIES {self._name(name)}").collect()
+        if _ORDERED not in {r["key"] for r in properties}:
+            raise ValueError(f"{name} is not stored in an order")
+        return in_stored_order(self.table(name))
+
     def replace_partition(self, name: str, column: str, value: str, rows: DataFrame) -> None:
         """Write one partition of a partitioned table anew; without rows it is gone."""
         cell = value.replace("'", "''")
@@ -44,7 +64,7 @@ class Lake:
         return self.spark.catalog.tableExists(self._name(name))
 
     def drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
+        self.spark.sql(f"DROP {'VIEW' if self._is_view(name) else 'TABLE'} IF EXISTS {self._name(name)}")
 
     def replace_counted(self, name: str, rows: DataFrame, partition_by: str | None = None) -> int:
         """As `replace`; the rows are counted while they are written."""

@@ -264,6 +264,27 @@ UNION ALL SELECT 'silver_sales_cleansed', COUNT(*) FROM silver""",
     "gold_monthly_trends": _with(_SILVER, _MONTHLY)
     + " SELECT * FROM monthly ORDER BY invoice_year_month",
     "gold_customer_rfm": _with(_SILVER, _RFM) + " SELECT * FROM rfm ORDER BY monetary_value DESC",
+    "gold_product_positions": _with(_SILVER, _PRODUCT)
+    + """
+SELECT *, ROW_NUMBER() OVER (ORDER BY net_revenue DESC NULLS LAST,
+         product_description NULLS FIRST, stock_code NULLS FIRST) AS position FROM product""",
+    "gold_country_positions": _with(_SILVER, _COUNTRY)
+    + """
+SELECT *, ROW_NUMBER() OVER (ORDER BY net_revenue DESC NULLS LAST, country NULLS FIRST) AS position
+FROM by_country""",
+    "gold_monthly_positions": _with(_SILVER, _MONTHLY)
+    + """
+SELECT *, ROW_NUMBER() OVER (ORDER BY invoice_year_month NULLS FIRST) AS position FROM monthly""",
+    "gold_customer_positions": _with(_SILVER, _RFM)
+    + """
+SELECT *, ROW_NUMBER() OVER (ORDER BY monetary_value DESC NULLS LAST, customer_id,
+         country NULLS FIRST) AS position FROM rfm""",
+    "clustered_month_lines": _with(_SILVER)
+    + f" SELECT {_SILVER_COLUMNS} FROM silver WHERE invoice_year_month = '1997-05'",
+    "clustered_country_lines": _with(_SILVER)
+    + f" SELECT {_SILVER_COLUMNS} FROM silver WHERE country = 'NATION_7'",
+    "clustered_product_lines": _with(_SILVER)
+    + f" SELECT {_SILVER_COLUMNS} FROM silver WHERE stock_code = '77'",
     "kpi_total_net_revenue": _with(_SILVER)
     + " SELECT CAST(SUM(total_line_price) AS DOUBLE) AS total_net_revenue FROM silver",
     "kpi_total_gross_revenue": _with(_SILVER)
