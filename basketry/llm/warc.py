@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import pinned, with_row_id
+
 # The format's version line and line end.
 VERSION = "WARC/1.1"
 EOL = "\r\n"
@@ -77,15 +79,18 @@ def write_archives(
     Of equal payloads the page with the largest id is the response and the others
     revisit it; NULL payloads are empty payloads.  Ids should be unique; rows that
     repeat an id are kept as captures of their own, and of those that tie for the
-    response the one with the larger scan position is it.  A NULL id or URL is written
+    response the one with the larger row id is it.  A NULL id or URL is written
     as an empty value.
     """
     payload = F.coalesce(F.col(html_column).cast("string"), F.lit(""))
-    rows = pages.select(
+    pages, row = pinned(pages), "_row"
+    while row in pages.columns:
+        row += "_"
+    rows = with_row_id(pages, row).select(
         F.col(id_column).cast("bigint").alias("_id"),
         F.col(url_column).cast("string").alias("_url"),
         payload.alias("_payload"),
-        F.monotonically_increasing_id().alias("_row"),
+        F.col(row).alias("_row"),
     )
     # Digests and ids alone decide who responds; payloads stay out of that shuffle.
     narrow = rows.select(
@@ -152,15 +157,22 @@ def write_archives(
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of one archive, gzip-compressed or plain."""
+    """(headers, block) of each record of one archive, gzip-compressed or plain.
+
+    An archive that ends within a record is an error, not a shorter record.
+    """
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     at = 0
     while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            raise ValueError(f"the archive ends within the headers of the record at byte {at}")
         lines = data[at:end].decode("utf-8", "replace").split(EOL)[1:]
         headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        at = end + 4 + int(headers.get("content-length") or 0)
+        begun, at = at, end + 4 + int(headers.get("content-length") or 0)
+        if at > len(data):
+            raise ValueError(f"the archive ends {at - len(data)} bytes before the record at byte {begun} does")
         yield headers, data[end + 4 : at]
 
 

@@ -1,5 +1,6 @@
 """PII, language identification, decontamination, tokens, scores and WARC."""
 
+import base64
 import gzip
 import hashlib
 import itertools
@@ -335,6 +336,32 @@ def test_archives_of_several_members():
     assert [b for _, b in found] == [b"abc", b"abc"]
 
 
+def test_truncated_archives_are_errors():
+    record = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    assert [b for _, b in warc.parse_archive(record[:-4])] == [b"abc"]
+    for cut in (5, 20):
+        with pytest.raises(ValueError, match="ends"):
+            list(warc.parse_archive(record + record[:-cut]))
+
+
+def test_pages_with_odd_ids_and_clashing_columns(spark, tmp_path):
+    rows = [(None, None, "x", 1, "a"), (1, "u", "x", 2, "b"), (1, "u", "x", 3, "c"), (2, "v", "y", 4, "d"), (None, "w", "", 5, "e")]
+    path, out = str(tmp_path / "p"), str(tmp_path / "w")
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, _row int, _sha string")
+    frame.repartition(3).write.parquet(path)
+    warc.write_archives(spark.read.parquet(path), out)
+    found = warc.captures(warc.read_records(spark, out)).withColumn("page", warc.metadata_field("page")).collect()
+    assert sorted(r.page or "" for r in found) == ["", "", "1", "1", "2"]
+    x = {r.record_id: r for r in found if r.capture.payload_digest == "sha1:" + _base32(b"x")}
+    response = [r for r in x.values() if r.capture.record_type == "response"]
+    assert len(x) == 3 and len(response) == 1 and response[0].page == "1"
+    assert {r.capture.refers_to for r in x.values() if r is not response[0]} == {response[0].record_id}
+
+
+def _base32(data):
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
 def test_no_pages(spark, tmp_path):
     path, out = str(tmp_path / "p"), str(tmp_path / "w")
     spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(path)
