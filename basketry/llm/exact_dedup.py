@@ -8,7 +8,8 @@ by digest.  Digits grow, so a text of n bytes takes O(log n) rounds.
 
 Scale: the first round shuffles one digit per row; texts travel only for rows that
 still share a group after it, and are stored without the bytes looked at.  Groups are counted with
-map-side sums and joined back, so a group with a third of all rows is spread.
+map-side sums, which spreads a group with a third of all rows; the join back by group does not,
+unless the groups are few enough to be broadcast or Spark splits the skewed partition.
 """
 
 from __future__ import annotations
