@@ -33,6 +33,8 @@ CHUNK = 512
 MOST_STATES = 200_000
 BATCH_BYTES = 4 << 20
 LIMIT = 1024
+HEADS = 2048  # heads that run together; states may be forgotten between two such blocks
+ROUNDS = 16  # in which maps are run for all states that may be met; afterwards only where needed
 
 _MISSING = np.int32(-1)
 _SHIFT = 8  # a transition holds the next state above, the change in count (plus 128) below
@@ -78,6 +80,25 @@ class Transducer:
         self.column = np.full(256, -1, np.int64)  # of the table, for bytes met so far
         self.table = np.full((1024, 64), _MISSING, np.int32)
 
+    def renew(self, states: np.ndarray) -> np.ndarray:
+        """Forget all compiled states but the start and the given ones; their new numbers."""
+        used, place = np.unique(states, return_inverse=True)
+        memories = [self.states[k] for k in used.tolist()]
+        columns, width = self.column, self.table.shape[1]
+        self.reset()
+        self.column, self.table = columns, np.full((1024, width), _MISSING, np.int32)
+        return np.array([self.intern(m) for m in memories], np.int64)[place]
+
+    def intern(self, memory: tuple) -> int:
+        """The number of a state, given one if it is new."""
+        state = self.index.get(memory)
+        if state is None:
+            state = self.index[memory] = len(self.states)
+            self.states.append(memory)
+            if state >= len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, _MISSING)])
+        return state
+
     def adjacent(self, left: int, right: int) -> bool:
         """Whether the two tokens may follow each other in an encoding.
 
@@ -121,12 +142,7 @@ class Transducer:
         if last < 0:
             raise ValueError("the vocabulary lacks a byte")
         memory = tuple(sorted((n, b, a - count) for n, b, a in [*grown, (0, last, count)]))
-        target = self.index.get(memory)
-        if target is None:
-            target = self.index[memory] = len(self.states)
-            self.states.append(memory)
-            if target >= len(self.table):
-                self.table = np.concatenate([self.table, np.full_like(self.table, _MISSING)])
+        target = self.intern(memory)
         self.table[state, self.column[byte]] = (target << _SHIFT) | (count + 128)
 
     def step(self, states: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -217,19 +233,58 @@ def count_tokens(texts: list[str], machine: Transducer, chunk: int = CHUNK, star
     first = np.minimum(np.append(marks, len(data))[np.searchsorted(marks, begin)], end)
     total, leaves = _run(machine, data, starts, first, end, np.zeros(len(begin), np.int64))
     # Heads: the part of a chunk before its first word start, entered from the chunk before.
-    waiting = np.flatnonzero(first > begin)
     known = first < end
-    while len(waiting):
-        ready = waiting[known[waiting - 1]]
-        added, out = _run(machine, data, starts, begin[ready], first[ready], leaves[ready - 1])
-        total[ready] += added
-        whole = ready[first[ready] == end[ready]]
-        leaves[whole] = out[first[ready] == end[ready]]
-        known[ready] = True
-        waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+    waiting = np.flatnonzero(first > begin)
+    for heads in np.split(waiting, range(HEADS, len(waiting), HEADS)):
+        if len(machine.states) > MOST_STATES:
+            leaves = machine.renew(leaves)
+        entries = np.where(known[heads - 1], leaves[heads - 1], -1)
+        # The next head is entered with what this one leaves, if it has no word start.
+        linked = np.append(np.diff(heads) == 1, False) & ~known[heads]
+
+        def run(places: np.ndarray, states: np.ndarray):
+            return _run(machine, data, starts, begin[heads[places]], first[heads[places]], states)
+
+        added, out = _scan(entries, linked, run)
+        total[heads] += added
+        leaves[heads] = np.where(known[heads], leaves[heads], out)
+        known[heads] = True
     return np.bincount(owner, total, len(texts)).astype(np.int64)
 
 
+def _scan(entries: np.ndarray, linked: np.ndarray, run) -> tuple[np.ndarray, np.ndarray]:
+    """(change in count, exit state) of each chunk of a sequence, whose maps `run` computes.
+
+    `entries` are the known entry states, -1 where the chunk before decides (it is `linked`).
+    `run(places, states)` runs chunks for given entries, any number of them at once.
+    """
+    size = len(entries)
+    places, states = np.arange(size), np.maximum(entries, 0)
+    sums, leaves = run(places, states)
+    for turn in range(size + 1):
+        # Entries of the maps, in order; each leads to an entry of the next chunk's map.
+        keys = places << 32 | states
+        order = np.argsort(keys)
+        places, states, sums, leaves, keys = places[order], states[order], sums[order], leaves[order], keys[order]
+        then = (places + 1) << 32 | leaves
+        jump = np.minimum(np.searchsorted(keys, then), len(keys) - 1)
+        leads = linked[places]
+        missing = leads & (keys[jump] != then)
+        jump = np.where(leads & ~missing, jump, -1)
+        # Prefix scan: after k steps all entries within 2^k chunks of a known one are found.
+        real = (entries >= 0)[places] & (states == entries[places])
+        for _ in range(max(1, size).bit_length()):
+            real[jump[real & (jump >= 0)]] = True
+            jump = np.where(jump >= 0, jump[jump], -1)
+        if not (real & missing).any():
+            break
+        new = np.unique(then[missing] if turn < ROUNDS else then[missing & real])
+        more, out = run(new >> 32, new & 0xFFFFFFFF)
+        places, states = np.append(places, new >> 32), np.append(states, new & 0xFFFFFFFF)
+        sums, leaves = np.append(sums, more), np.append(leaves, out)
+    return sums[real], leaves[real]
+
+
 def _run(machine, data, starts, begin, end, states) -> tuple[np.ndarray, np.ndarray]:
     """Run chunks [begin, end) from their entry states: (change in count, exit state) of each."""
     order = np.argsort(begin - end, kind="stable")

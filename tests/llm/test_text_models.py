@@ -265,6 +265,24 @@ def test_chunks_compose(chunk):
     assert found.tolist() == expected
 
 
+def test_long_words_take_few_rounds(monkeypatch):
+    vocabulary, tokenizer = bpe.Vocabulary(FILE), Tokenizer.from_file(FILE)
+    random.seed(3)
+    texts = ["".join(random.choices("abcdefghij", k=40_000)), "a" * 30_000, "é" * 9_001, "ab " + "xyz" * 7_000 + " end"]
+    expected = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    runs, run = [], token_counts._run
+    monkeypatch.setattr(token_counts, "_run", lambda *a: (runs.append(1), run(*a))[1])
+    machine = token_counts.Transducer(vocabulary)
+    assert token_counts.count_tokens(texts, machine).tolist() == expected
+    assert len(runs) < 12  # the longest word has 79 chunks
+    # States may be forgotten between any two blocks of heads, and maps need not be closed.
+    monkeypatch.setattr(token_counts, "MOST_STATES", 1)
+    monkeypatch.setattr(token_counts, "HEADS", 7)
+    for rounds in (0, 16):
+        monkeypatch.setattr(token_counts, "ROUNDS", rounds)
+        assert token_counts.count_tokens(texts, machine).tolist() == expected
+
+
 # Scores
 
 
