@@ -90,7 +90,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.read_records(spark, archives).select(
         "record_id",
         "record_type",
-        "concurrent_to",
+        "concurrent",
         "refers_to",
         "head",
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),

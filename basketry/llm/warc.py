@@ -8,7 +8,8 @@ commit protocol.
 
 Reading: archives are parsed record by record along `Content-Length`; nothing in a
 payload can end a record.  A transaction is put together by joining its records
-through the concurrent-to identifiers, and comes out as one nested row.
+through the concurrent-to identifiers, whichever side names the other, and comes out
+as one nested row; a record without a capture comes out as a row of its own.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import pinned, with_row_id
+from .common import ROW, pinned, stored, with_row_id
+from .graph import join_few
 
 # The format's version line and line end.
 VERSION = "WARC/1.1"
@@ -32,9 +34,12 @@ ARCHIVE_BYTES = 16 << 20
 RECORD = (
     "record_id string, record_type string, concurrent_to string, target_uri string, "
     "refers_to string, payload_digest string, headers map<string,string>, "
-    "head binary, payload binary"
+    "head binary, payload binary, concurrent array<string>"
 )
 
+# The types of records that hold what was captured.
+CAPTURED = ("response", "revisit", "resource")
+
 
 def _record_id(kind: str, key: Column) -> Column:
     """A name-based identifier; equal pages give equal identifiers in every run."""
@@ -159,7 +164,8 @@ def write_archives(
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of one archive, gzip-compressed or plain.
 
-    An archive that ends within a record is an error, not a shorter record.
+    The values of a header that is repeated are joined by line feeds, which no value
+    holds.  An archive that ends within a record is an error, not a shorter record.
     """
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
@@ -169,7 +175,10 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         if end < 0:
             raise ValueError(f"the archive ends within the headers of the record at byte {at}")
         lines = data[at:end].decode("utf-8", "replace").split(EOL)[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        headers: dict[str, str] = {}
+        for name, _, value in (line.partition(":") for line in lines):
+            name, value = name.strip().lower(), value.strip()
+            headers[name] = f"{headers[name]}\n{value}" if name in headers else value
         begun, at = at, end + 4 + int(headers.get("content-length") or 0)
         if at > len(data):
             raise ValueError(f"the archive ends {at - len(data)} bytes before the record at byte {begun} does")
@@ -178,6 +187,10 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in RECORD.split(", ")]
+
+    def first(headers: dict[str, str], name: str) -> str | None:
+        return headers[name].split("\n")[0] if name in headers else None
+
     for batch in batches:
         for content in batch["content"]:
             rows, held = [], 0
@@ -185,12 +198,13 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 head, found, payload = block, False, b""
                 if headers.get("content-type", "").startswith("application/http"):
                     head, found, payload = block.partition(b"\r\n\r\n")
+                named = headers.get("warc-concurrent-to")
                 rows.append(
                     (
-                        headers.get("warc-record-id"), headers.get("warc-type"),
-                        headers.get("warc-concurrent-to"), headers.get("warc-target-uri"),
-                        headers.get("warc-refers-to"), headers.get("warc-payload-digest"),
-                        headers, head, payload if found else b"",
+                        *(first(headers, f"warc-{name}") for name in (
+                            "record-id", "type", "concurrent-to", "target-uri", "refers-to", "payload-digest"
+                        )),
+                        headers, head, payload if found else b"", named.split("\n") if named else [],
                     )
                 )
                 held += len(block)
@@ -208,31 +222,64 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: (record_id, capture, request, metadata).
-
-    `capture` is the response or revisit record; `request` and `metadata` are those
-    that name it as concurrent, NULL where there is none.  Where several do, the one
-    with the smallest record id is taken.
+    """One nested row per capture: (record_id, capture, request, metadata, concurrent).
+
+    `capture` is a response, revisit or resource.  `concurrent` holds all other records that
+    name it in one of their `WARC-Concurrent-To` headers, or that it names, ordered by type and
+    id, each once; `request` and `metadata` are the first of these types, NULL where there is
+    none.  A record beside several captures comes with each of them.  A record beside none (its
+    capture is absent, or it names nothing) gives a row whose `capture` is NULL, with its own id
+    and itself in `concurrent`.  Captures that repeat an id stay rows of their own, with the
+    same records beside them; a NULL id is named by nothing.  No records give no rows.
+
+    Scale: links are found and checked on ids alone; records travel twice, captures once.  All
+    records of a capture meet, as they come out in one row.
     """
-    is_capture = F.col("record_type").isin("response", "revisit")
+    records = pinned(records)
+    row = ROW
+    while row in records.columns:
+        row += "_"
     fields = F.struct(*records.columns)
+    is_capture = F.coalesce(F.col("record_type").isin(*CAPTURED), F.lit(False))
+    found, others = records.where(is_capture), with_row_id(records, row).where(~is_capture)
+    ids = found.where("record_id IS NOT NULL").select(F.col("record_id").alias("_to")).distinct()
+    forward = others.select(row, F.explode(F.array_distinct("concurrent")).alias("_to"))
+    named = found.select(F.col("record_id").alias("_to"), F.explode("concurrent").alias("record_id")).distinct()
+    # Where both name each other, the link is there already.
+    twice = F.coalesce(F.array_contains("concurrent", F.col("_to")), F.lit(False))
+    backward = others.select(row, "record_id", "concurrent").join(named, "record_id").where(~twice)
+    links = stored(
+        forward.unionByName(backward.select(row, "_to")).join(ids, "_to", "left_semi")
+    )
+    alone = stored(others.select(row).join(links.select(row).distinct(), row, "left_anti"))
+    in_order = F.array_sort(
+        F.collect_list("_record"),
+        lambda a, b: F.when(_place(a) < _place(b), -1).when(_place(a) > _place(b), 1).otherwise(0),
+    )
+    beside = (
+        others.select(row, fields.alias("_record"))
+        .join(links, row)
+        .groupBy(F.col("_to").alias("record_id"))
+        .agg(in_order.alias("concurrent"))
+    )
+    together = found.select("record_id", fields.alias("capture")).join(beside, "record_id", "left")
+    single = join_few(others.select(row, "record_id", fields.alias("_record")), alone, row, "left_semi").select(
+        "record_id", F.array("_record").alias("concurrent")
+    )
 
-    def beside(kind: str) -> DataFrame:
-        return (
-            records.where(F.col("record_type") == kind)
-            .where("concurrent_to IS NOT NULL")
-            .groupBy(F.col("concurrent_to").alias("record_id"))
-            .agg(F.min_by(fields, "record_id").alias(kind))
-        )
-
-    return (
-        records.where(is_capture)
-        .select("record_id", fields.alias("capture"))
-        .join(beside("request"), "record_id", "left")
-        .join(beside("metadata"), "record_id", "left")
+    def first(kind: str) -> Column:
+        return F.get(F.filter("concurrent", lambda r: r["record_type"] == kind), F.lit(0)).alias(kind)
+
+    return together.unionByName(single, allowMissingColumns=True).select(
+        "record_id", "capture", first("request"), first("metadata"), F.coalesce("concurrent", F.array()).alias("concurrent")
     )
 
 
+def _place(record: Column) -> Column:
+    """What records beside a capture are ordered by."""
+    return F.concat_ws("\n", F.coalesce(record["record_type"], F.lit("")), F.coalesce(record["record_id"], F.lit("")))
+
+
 def metadata_field(name: str) -> Column:
     """A field of a capture's metadata record, NULL where it has none."""
     return F.nullif(

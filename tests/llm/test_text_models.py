@@ -348,6 +348,60 @@ def test_warc_round_trip(spark, tmp_path):
         assert r.request.concurrent_to == r.metadata.concurrent_to == r.record_id
 
 
+def _archive(*records):
+    """An archive of records given as (type, id, ids that it names)."""
+    lines = [
+        "\r\n".join(["WARC/1.1", f"WARC-Type: {kind}"] + ([f"WARC-Record-ID: {own}"] if own else [])
+                    + [f"WARC-Concurrent-To: {other}" for other in names] + ["Content-Length: 0", "", "", "", ""])
+        for kind, own, names in records
+    ]
+    return "".join(lines).encode()
+
+
+def test_transactions_of_foreign_archives(spark, tmp_path):
+    first = [
+        ("warcinfo", "<i>", []),
+        ("response", "<a>", ["<qa>", "<ma>"]),  # names its request, and metadata that names it too
+        ("request", "<qa>", []),
+        ("metadata", "<ma>", ["<a>", "<b>"]),  # repeated headers: beside two captures
+        ("metadata", "<m2>", ["<a>", "<a>"]),
+        ("revisit", "<b>", []),
+    ]
+    second = [
+        ("request", "<lost>", ["<absent>"]),
+        ("request", "<q0>", ["<b>"]),
+        ("request", "<q1>", ["<b>"]),
+        ("resource", "<c>", []),
+        ("response", None, ["<q1>"]),
+        ("response", "<d>", []),
+        ("response", "<d>", []),
+        ("metadata", "<md>", ["<d>"]),
+        ("metadata", None, []),
+    ]
+    for k, records in enumerate((first, second)):
+        (tmp_path / f"{k}.warc").write_bytes(_archive(*records))
+    records = warc.read_records(spark, str(tmp_path))
+    rows = warc.captures(records).collect()
+    found = sorted(
+        (r.record_id or "", r.capture.record_type if r.capture else "", r.request.record_id if r.request else "",
+         (r.metadata.record_id or "-") if r.metadata else "", [c.record_id for c in r.concurrent]) for r in rows
+    )
+    assert found == [
+        ("", "", "", "-", [None]),
+        ("", "response", "", "", []),
+        ("<a>", "response", "<qa>", "<m2>", ["<m2>", "<ma>", "<qa>"]),
+        ("<b>", "revisit", "<q0>", "<ma>", ["<ma>", "<q0>", "<q1>"]),
+        ("<c>", "resource", "", "", []),
+        ("<d>", "response", "", "<md>", ["<md>"]),
+        ("<d>", "response", "", "<md>", ["<md>"]),
+        ("<i>", "", "", "", ["<i>"]),
+        ("<lost>", "", "<lost>", "", ["<lost>"]),
+    ]
+    # Every record comes out at least once, whatever it names.
+    out = {c.record_id for r in rows for c in [r.capture, *r.concurrent] if c}
+    assert out == {r.record_id for r in records.select("record_id").collect()}
+
+
 def test_archives_of_several_members():
     record = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     found = list(warc.parse_archive(gzip.compress(record) + gzip.compress(record)))
