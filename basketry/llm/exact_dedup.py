@@ -8,8 +8,8 @@ by digest.  Digits grow, so a text of n bytes takes O(log n) rounds.
 
 Scale: the first round shuffles one digit per row; texts travel only for rows that
 still share a group after it, and are stored without the bytes looked at.  Groups are counted with
-map-side sums, which spreads a group with a third of all rows; the join back by group does not,
-unless the groups are few enough to be broadcast or Spark splits the skewed partition.
+map-side sums, and the rows of a hot group are joined back in parts, so that a group with a
+third of all rows is spread over the tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ROW, pinned, stored, with_row_id
-from .graph import join_few, only_rows
+from .graph import join_few, join_spread, only_rows
 
 FIRST_DIGIT = 64
 GROWTH = 16
@@ -47,7 +47,7 @@ def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).withColumn("_next", F.monotonically_increasing_id())
     rest = [c for c in rows.columns if c == "_rest"]
     joined = stored(
-        rows.join(groups, keys, "left").select(
+        join_spread(rows, groups, keys, "group_size", "left").select(
             ROW, "doc_id", "_sha", "_next", "group_size", "_best",
             (F.col("_next").isNull() | (F.col("_left") == 0)).alias("_done"), *rest,
         )

@@ -8,7 +8,7 @@ that grows with the rows is a Spark aggregate, join or ranking.
 
 Ranks within a size and slots within a shard are two-level: rows are ranked within
 small buckets, whose offsets come from their counts, so neither a common size nor
-a shard's rows ever meet in one task.
+a shard's rows ever meet in one task; the rows of a common text learn their shard in parts.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import ROW, stored, with_row_id
+from .graph import join_spread
 
 OVERHEAD_BYTES = 8
 LAW = "bytes"
@@ -95,7 +96,7 @@ def assign_shards(
             F.unhex(F.sha2(data, 256)).alias("_text"),
         )
     )
-    groups = stored(rows.groupBy("_text").agg(F.sum("size").alias("_load")))
+    groups = stored(rows.groupBy("_text").agg(F.sum("size").alias("_load"), F.count("*").alias("_rows")))
     histogram = groups.groupBy("_load").count().orderBy(F.desc("_load"))
     spark = docs.sparkSession
     # One row per distinct size passes here, never one per group or row.
@@ -108,12 +109,13 @@ def assign_shards(
         F.sequence(F.lit(1), F.lit(shards)),
         lambda n: F.aggregate(F.slice("_given", 1, n), F.lit(0).cast("bigint"), lambda a, b: a + b),
     )
-    placed = ranked.join(plan, "_load").select(
-        "_text", F.size(F.filter(upto, lambda end: end <= F.col("_at"))).alias("shard")
+    placed = stored(
+        ranked.join(plan, "_load").select(
+            "_text", "_rows", F.size(F.filter(upto, lambda end: end <= F.col("_at"))).alias("shard")
+        )
     )
-    return _rank(
-        rows.join(placed, "_text"), "shard", F.xxhash64(ROW), [F.col(ROW)], "slot"
-    ).select(
+    dealt = join_spread(rows, placed, ["_text"], "_rows").drop("_rows")
+    return _rank(dealt, "shard", F.xxhash64(ROW), [F.col(ROW)], "slot").select(
         ROW,
         "doc_id",
         "size",

@@ -10,7 +10,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from basketry.llm import common, exact_dedup, near_dedup, sharding
+from basketry.llm import common, exact_dedup, graph, near_dedup, sharding
+from basketry.llm.common import stored
 from basketry.llm.graph import components
 
 
@@ -192,3 +193,27 @@ def test_shards(odd_docs):
     for load in sorted(groups.values(), reverse=True):
         heapq.heapreplace(heap, heap[0] + load)
     assert sorted(loads[k] for k in range(3)) == sorted(heap)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_rows_of_hot_groups_are_spread(spark, tmp_path, monkeypatch, how):
+    monkeypatch.setattr(graph, "HOT_SHARE", 10)
+    monkeypatch.setattr(graph, "HOT_PARTS", 64)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # Half of the rows have key 0; key 5000 has no group and NULL never meets.
+        rows = spark.range(4000).selectExpr(
+            "id AS _row_id", "CASE WHEN id % 2 = 0 THEN 0 WHEN id = 1 THEN NULL WHEN id = 3 THEN 5000 ELSE id END AS k"
+        )
+        groups = stored(rows.where("k <> 5000").groupBy("k").count().withColumn("v", F.col("k") * 2))
+        joined = graph.join_spread(rows, groups, ["k"], "count", how)
+        found = sorted((r._row_id, r.k, r.v) for r in joined.collect())
+        expected = [(r._row_id, r.k, None if r.k in (None, 5000) else 2 * r.k) for r in rows.collect()]
+        assert found == sorted(e for e in expected if how == "left" or e[2] is not None)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        # The hot key alone has 2000 rows; its parts are dealt over the four partitions.
+        assert len(sizes) == 4 and max(sizes) < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
