@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import ROW, lean, pinned, stored, text_batches, with_row_id
-from .graph import components, join_few, only_rows
+from .graph import components, join_few, join_spread, only_rows
 
 BANDS, DEPTH = 24, 5
 SAMPLES = BANDS * DEPTH
@@ -297,8 +297,11 @@ def near_duplicates(
     reps = stored(
         described.where("n_shingles > 0")
         .groupBy("_key")
-        .agg(F.min(ROW).alias("rep"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch"))
-    )
+        .agg(
+            F.min(ROW).alias("rep"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch"),
+            F.count("*").alias("_rows"),
+        )
+    )
     banded = reps.select("rep", F.explode("_bands").alias("_bucket"))
     crowded = banded.groupBy("_bucket").agg(F.count("*").alias("_n")).where("_n > 1")
     members = stored(
@@ -334,18 +337,25 @@ def near_duplicates(
         .applyInPandas(_confirmed(threshold, most), "u bigint, v bigint")
     )
     joined = components(links).withColumnsRenamed({"node": "rep"})
-    same = reps.select("_key", "rep").join(joined, "rep", "left").select(
-        "_key", F.coalesce("component", "rep").alias("_component")
+    same = stored(
+        reps.select("_key", "rep", "_rows").join(joined, "rep", "left").select(
+            "_key", "_rows", F.coalesce("component", "rep").alias("_component")
+        )
     )
+    # Rows without words have no set to meet by; one that is hot meets its rows in parts.
+    narrow = described.select(ROW, "doc_id", "n_shingles", "_key")
     labelled = stored(
-        described.select(ROW, "doc_id", "n_shingles", "_key")
-        .join(same, "_key", "left")
-        .select(ROW, "doc_id", "n_shingles", F.coalesce("_component", ROW).alias("_component"))
+        join_spread(narrow.where("n_shingles > 0"), same, ["_key"], "_rows")
+        .select(ROW, "doc_id", "n_shingles", "_component")
+        .unionByName(narrow.where("n_shingles = 0").select(ROW, "doc_id", "n_shingles", F.col(ROW).alias("_component")))
     )
-    first = labelled.groupBy("_component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"), F.col(ROW).alias("at"))).alias("_first")
+    first = stored(
+        labelled.groupBy("_component").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"), F.col(ROW).alias("at"))).alias("_first"),
+            F.count("*").alias("_rows"),
+        )
     )
-    return labelled.join(first, "_component").select(
+    return join_spread(labelled, first, ["_component"], "_rows").select(
         ROW,
         "doc_id",
         "n_shingles",
