@@ -1,8 +1,9 @@
 """Ad-hoc SELECTs over the gold tables, checked before they run.
 
 Spark parses the text; the parsed plan is inspected before anything is analysed
-or executed, since `spark.sql` runs commands at once.  What passes runs as an
-ordinary Spark query, capped at `max_rows`.
+or executed, since `spark.sql` runs commands at once.  What passes is a plain SELECT, whose
+joins are then looked at with their names resolved.  It runs as an ordinary Spark
+query, capped at `max_rows`.
 """
 
 from __future__ import annotations
@@ -136,15 +137,16 @@ def check(
     except PySparkException as error:
         raise QueryDenied("G1", f"not a single readable statement: {error}") from error
     _check_root(plan)
-    rules = _Rules(allowed, _built_in(spark), theta_joins)
-    _check_nodes(plan, rules, frozenset())
+    _check_nodes(plan, _Rules(allowed, _built_in(spark)), frozenset())
+    if not theta_joins:
+        # A plain SELECT by now, which is analysed here and not run.
+        _check_joins(spark.sql(sql)._jdf.queryExecution().analyzed())
 
 
 @dataclass(frozen=True)
 class _Rules:
     allowed: frozenset[str]
     functions: frozenset[str]
-    theta_joins: bool
 
 
 def _built_in(spark: SparkSession) -> frozenset[str]:
@@ -196,38 +198,34 @@ def _check_nodes(plan, rules: _Rules, ctes: frozenset[str]) -> None:
             raise QueryDenied("G4", f"access to table '{name}' is denied")
     if kind == "Join" and plan.condition().isEmpty() and _kind(plan.joinType()) != "UsingJoin":
         raise QueryDenied("G5", "a join needs ON or USING")
-    if kind == "Join" and plan.condition().isDefined() and not rules.theta_joins:
-        if not _has_equality(plan.condition().get()):
-            raise QueryDenied("G5", "a join needs an equality between its sides")
     _check_functions(plan, rules.functions)
     for below in (plan.children(), plan.subqueries()):
         for child in _each(below):
             _check_nodes(child, rules, ctes)
 
 
-def _has_equality(condition) -> bool:
-    """Whether one of the conditions joined by AND equates columns of two relations.
+def _check_joins(plan) -> None:
+    """Every join of the query's own text equates its two sides; views may join as they like."""
+    if _kind(plan) == "View":
+        return
+    if _kind(plan) == "Join" and plan.condition().isDefined():
+        if not _has_equality(plan.condition().get(), plan.left().outputSet(), plan.right().outputSet()):
+            raise QueryDenied("G5", "a join needs an equality between its sides")
+    for below in (plan.children(), plan.subqueries()):
+        for child in _each(below):
+            _check_joins(child)
 
-    The names are not resolved yet, so the sides must be named: `a.x = b.y`.
-    """
+
+def _has_equality(condition, left, right) -> bool:
+    """Whether one of the conditions joined by AND equates columns of the two sides."""
     if _kind(condition) == "And":
-        return any(_has_equality(side) for side in _each(condition.children()))
+        return any(_has_equality(part, left, right) for part in _each(condition.children()))
     if _kind(condition) not in _EQUALITIES:
         return False
-    left, right = (_relations(side) for side in _each(condition.children()))
-    return bool(left and right and not left & right)
-
-
-def _relations(expression) -> set[str]:
-    """The relations whose columns an expression names."""
-    found, pending = set(), [expression]
-    while pending:
-        expression = pending.pop()
-        if _kind(expression) == "UnresolvedAttribute":
-            parts = [part.lower() for part in _each(expression.nameParts())]
-            found.add(parts[-2] if len(parts) > 1 else "")
-        pending.extend(_each(expression.children()))
-    return found
+    one, other = (part.references() for part in _each(condition.children()))
+    if one.isEmpty() or other.isEmpty():
+        return False
+    return (one.subsetOf(left) and other.subsetOf(right)) or (one.subsetOf(right) and other.subsetOf(left))
 
 
 def _check_functions(plan, functions: frozenset[str]) -> None:

@@ -163,6 +163,47 @@ def test_errors_of_a_run_come_as_text(guard):
     assert guard.query_or_error(f"SELECT country FROM {COUNTRY}").count() == 5
 
 
+@pytest.mark.parametrize(
+    "sql",
+    [
+        f"SELECT net_revenue FROM {FACT} JOIN {COUNTRY} c ON total_line_price = net_revenue - net_revenue + total_line_price AND {FACT}.country = c.country",
+        f"SELECT net_revenue FROM {FACT} JOIN (SELECT country AS place, net_revenue FROM {COUNTRY}) ON country = place",
+        f"SELECT net_revenue FROM {FACT} JOIN (SELECT country AS place, net_revenue FROM {COUNTRY}) ON place = upper(country) OR false",
+        f"WITH p AS (SELECT country AS place, net_revenue FROM {COUNTRY}) SELECT net_revenue FROM {FACT} JOIN p ON place <=> country",
+        f"SELECT 1 AS a FROM {FACT} WHERE country IN (SELECT place FROM {COUNTRY} c JOIN (SELECT country AS place FROM {FACT}) ON place = c.country)",
+    ],
+)
+def test_joins_may_name_columns_alone(guard, sql):
+    if sql.endswith("false"):
+        with pytest.raises(QueryDenied, match="G5"):
+            guard.query(sql)
+    else:
+        assert guard.query(sql).count() > 0
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        # The last table is joined by nothing.
+        f"SELECT 1 AS a FROM {FACT} a JOIN {COUNTRY} b ON a.country = b.country JOIN {COUNTRY} c ON a.country = b.country",
+        f"SELECT 1 AS a FROM {FACT} a JOIN {COUNTRY} b ON invoice_no = total_line_price",
+        f"SELECT 1 AS a FROM {FACT} a JOIN {COUNTRY} b ON a.country = concat(a.country, b.country)",
+        f"SELECT 1 AS a FROM {FACT} WHERE EXISTS (SELECT 1 FROM {FACT} b JOIN {COUNTRY} c ON b.country > c.country)",
+    ],
+)
+def test_equalities_within_one_side_join_nothing(guard, sql):
+    with pytest.raises(QueryDenied, match="G5"):
+        guard.query(sql)
+
+
+def test_views_may_join_as_they_like(spark):
+    def register(session):
+        session.range(3).createOrReplaceTempView("few")
+        session.sql("SELECT a.id AS invoice_no FROM few a JOIN few b ON a.id < b.id").createOrReplaceTempView(FACT)
+
+    assert open_guard(spark, register).query(f"SELECT invoice_no FROM {FACT}").count() == 3
+
+
 def test_theta_joins_may_be_permitted(spark):
     def register(session):
         session.range(4).selectExpr("id AS invoice_no").createOrReplaceTempView(FACT)
