@@ -95,6 +95,17 @@ def timestamp_or_null(text: Column, fmt: str = ISO_FORMAT) -> Column:
     )
 
 
+def timestamp_as_text(time: Column, missing: str | None = None) -> Column:
+    """`2010-12-01 08:26:00`, with six more digits where a time has parts of a second.
+
+    A missing time is NULL, or the text `missing`.
+    """
+    whole = F.date_format(time, ISO_FORMAT)
+    parts = F.date_format(time, "SSSSSS")
+    text = F.when(parts == "000000", whole).otherwise(F.concat_ws(".", whole, parts))
+    return F.when(time.isNull(), F.lit(missing)).otherwise(text)
+
+
 def money(exact: Column) -> Column:
     """Exact decimal amounts leave the engine as DOUBLE."""
     return exact.cast("double")

@@ -12,6 +12,7 @@ from basketry.functions.cells import (
     exact_amount,
     not_fitting,
     not_whole,
+    timestamp_as_text,
     timestamp_or_null,
     whole_number,
 )
@@ -57,6 +58,14 @@ def cleanse(
     return _derived(typed(raw, price_scale).where(is_valid_line()), date_format).select(SILVER_COLUMNS)
 
 
+def dates_as_text(lines: DataFrame, missing: str | None = None) -> DataFrame:
+    """Lines whose date is text, for readers that know no timestamps; all else stays.
+
+    The stored date stays a timestamp, which filters and zones are pushed down on.
+    """
+    return lines.withColumn("invoice_date", timestamp_as_text(F.col("invoice_date"), missing))
+
+
 def examined(
     raw: DataFrame, date_format: str = DATE_FORMAT, price_scale: int = PRICE_SCALE
 ) -> DataFrame:

@@ -252,6 +252,8 @@ SELECT invoice_no AS "Invoice", stock_code AS "StockCode", product_description A
        country AS "Country"
 FROM raw""",
     "silver_cleansed": _with(_SILVER) + f" SELECT {_SILVER_COLUMNS} FROM silver",
+    "silver_text_dates": _with(_SILVER)
+    + f" SELECT * REPLACE (strftime(invoice_date, '%Y-%m-%d %H:%M:%S') AS invoice_date) FROM (SELECT {_SILVER_COLUMNS} FROM silver)",
     "layer_row_counts": _with(_SILVER)
     + """
 SELECT 'bronze_sales_raw' AS layer, COUNT(*) AS row_count FROM raw

@@ -144,6 +144,18 @@ def test_whole_quantities_in_other_notations(spark, ansi):
     assert [r.quantity for r in cleansed(spark, {"Quantity": "6.0"}, {"Quantity": "-3"}, {"Quantity": "12.00"})] == [6, -3, 12]
 
 
+def test_dates_as_text(spark, ansi):
+    lines = silver.cleanse(raw(spark, {}, {"InvoiceDate": "2010-01-02 00:00:00"}, {"InvoiceDate": "soon"}))
+    text = silver.dates_as_text(lines)
+    assert text.columns == SILVER_COLUMNS and dict(text.dtypes)["invoice_date"] == "string"
+    assert [r.invoice_date for r in text.collect()] == ["2009-12-01 07:45:00", "2010-01-02 00:00:00", None]
+    assert [r.invoice_date for r in silver.dates_as_text(lines, "NaT").collect()][2] == "NaT"
+    assert text.drop("invoice_date").collect() == lines.drop("invoice_date").collect()
+    assert silver.dates_as_text(lines.limit(0)).count() == 0
+    parts = spark.sql("SELECT TIMESTAMP_NTZ'2010-01-02 03:04:05.25' AS invoice_date")
+    assert silver.dates_as_text(parts).first().invoice_date == "2010-01-02 03:04:05.250000"
+
+
 def test_each_cell_is_parsed_once(spark):
     from basketry.plans import driver_tables as given
 
