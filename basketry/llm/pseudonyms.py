@@ -4,8 +4,8 @@ Numbers and dates that prove valid (checksums, number ranges, calendar) are perm
 a keyed Feistel network within the values of their own format; a result that would not
 be valid is permuted again until it is (cycle walking).  So a pseudonym is valid where
 the original was, keeps its punctuation, and equal values get equal pseudonyms in every
-document, while the key alone leads back (`reveal`).  Mail names, which are words over an
-alphabet, are permuted the same way.
+document.  Key and spans lead back (`revealed`), whatever stands beside a value.  Mail names,
+which are words over an alphabet, are permuted the same way.
 
 Each text is handled by itself: no shuffle, and nothing depends on other rows.
 """
@@ -303,14 +303,21 @@ def _next(text: str, at: int, feistel: Feistel, back: bool) -> tuple[Kind, int,
     return None
 
 
-def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
-    """(the text with pseudonyms, their (kind, start, end) in the original text)."""
+def replaced(
+    text: str, key: bytes, back: bool = False, linked: bool = False
+) -> tuple[str, list[tuple[str, int, int]]]:
+    """(the text with pseudonyms, their (kind, start, end) in both texts, which are of one length).
+
+    `linked`, equal values get equal pseudonyms wherever they stand, and `restored` leads back.
+    Otherwise one that a number beside it would make read differently is permuted again, so
+    that `back` may find it in the text alone.
+    """
     if not _MARK.search(text):
         return text, []
     feistel, spans, out, done = Feistel(key), [], [], 0
     while found := _next(text, done, feistel, back):
         kind, start, end, new = found
-        if _NEAR.search(text[max(start - 2, done) : start] + text[end : end + 2]):
+        if not linked and _NEAR.search(text[max(start - 2, done) : start] + text[end : end + 2]):
             # A number stands beside it: go on until the pseudonym is read as the value was.
             low = max(done, start - _REACH)
             lead, tail = text[max(low - 1, 0) : start], text[end : end + _REACH]
@@ -328,6 +335,18 @@ def replaced(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple
     return "".join([*out, text[done:]]), spans
 
 
+def restored(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
+    """The original of a text with `linked` pseudonyms at the given spans."""
+    feistel, kinds, out, done = Feistel(key), {k.name: k for k in KINDS}, [], 0
+    for name, start, end in spans:
+        value = kinds[name].change(feistel, text[start:end], True)
+        if value is None:
+            raise ValueError(f"no {name} stands at {start} to {end}")
+        out += [text[done:start], value]
+        done = end
+    return "".join([*out, text[done:]])
+
+
 _OUT = "text string, n_values bigint, kinds array<string>, starts array<bigint>, ends array<bigint>"
 
 
@@ -337,9 +356,11 @@ def pseudonymised(
     """One row per document: (_row_id, doc_id, text, n_values, kinds, starts, ends).
 
     `text` has all personal values replaced; kinds, starts and ends tell what they were
-    and where they stood in the original, by character.  A text without any comes back
-    unchanged, NULL as NULL.  An empty table gives an empty result; other columns are
-    ignored.  `back=True` turns pseudonyms into the originals.
+    and where they stand in the original and here, by character.  A text without any comes
+    back unchanged, NULL as NULL.  An empty table gives an empty result; other columns are
+    ignored.  Equal values have equal pseudonyms in all texts, beside any neighbour; `revealed`
+    turns them back.  `back=True` looks for pseudonyms in texts whose spans are lost; it may
+    miss those beside another number.
     """
     rows = with_row_id(docs).select(
         ROW, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("_text")
@@ -350,7 +371,7 @@ def pseudonymised(
         for batch in text_batches(batches, 2, BATCH_BYTES):
             texts, spans = [], []
             for text in batch.column(2).to_pylist():
-                new, found = replaced(text, key, back) if text else (text, [])
+                new, found = replaced(text, key, back, linked=True) if text else (text, [])
                 texts.append(new)
                 spans.append(found)
             columns = [[[s[k] for s in own] for own in spans] for k in range(3)]
@@ -368,3 +389,27 @@ def pseudonymised(
             )
 
     return rows.mapInArrow(run, f"{ROW} bigint, doc_id {ids}, {_OUT}")
+
+
+def revealed(found: DataFrame, key: bytes) -> DataFrame:
+    """The rows that `pseudonymised` gave, with the original texts; all columns are kept.
+
+    NULL texts, and texts without spans (empty or NULL), stay as they are.  A span that
+    holds no value of its kind is an error.  An empty table gives an empty result.
+    """
+    columns = found.columns
+    at, *places = [columns.index(c) for c in ("text", "kinds", "starts", "ends")]
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, at, BATCH_BYTES):
+            spans = [[own or [] for own in batch.column(k).to_pylist()] for k in places]
+            texts = [
+                None if text is None else restored(text, list(zip(*own)), key)
+                for text, *own in zip(batch.column(at).to_pylist(), *spans)
+            ]
+            yield pa.record_batch(
+                [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(columns))],
+                names=columns,
+            )
+
+    return found.mapInArrow(run, found.schema)

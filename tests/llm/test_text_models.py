@@ -100,6 +100,31 @@ def test_values_end_where_another_number_follows(text, values):
         assert pseudonyms.replaced(text, KEY)[0][spans[0][1] : spans[0][2]] == kept
 
 
+def test_equal_values_stay_linked_beside_any_number(spark, tmp_path):
+    values = ["4111111111111111", "DE89 3704 0044 0532 0130 00", "+1 (826) 555-4081", "190.137.223.20", "2024-01-31"]
+    texts = [
+        a.replace("{}", v) for v in values for a in ("{}", "{} 12 items", "no 7 {} 10.1.2.3", "{} AB", "{} 2001-02-03 é {}")
+    ]
+    for key in (bytes([k]) for k in range(20)):
+        alone = {v: pseudonyms.replaced(v, key, linked=True)[0] for v in values}
+        for text in texts:
+            new, spans = pseudonyms.replaced(text, key, linked=True)
+            assert len(new) == len(text) and pseudonyms.restored(new, spans, key) == text
+            found = [(text[a:b], new[a:b]) for _, a, b in spans if text[a:b] in values]
+            assert found and all(changed == alone[value] for value, changed in found)
+    path = str(tmp_path / "d")
+    rows = [*enumerate(texts), (None, None), (98, ""), (99, "nothing"), (99, "nothing")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    coded = pseudonyms.pseudonymised(docs, KEY)
+    back = pseudonyms.revealed(coded.withColumn("note", F.lit(1)), KEY)
+    assert back.columns == [*coded.columns, "note"]
+    assert sorted((r.doc_id or -1, r.text or "") for r in back.collect()) == sorted((i or -1, t or "") for i, t in rows)
+    assert pseudonyms.revealed(coded.where("doc_id = -5"), KEY).count() == 0
+    with pytest.raises(ValueError, match="no card"):
+        pseudonyms.restored("x" * 16, [("card", 0, 16)], KEY)
+
+
 def test_pseudonyms_on_odd_rows(odd_docs, no_docs):
     rows = pseudonyms.pseudonymised(odd_docs, KEY).collect()
     assert {r._row_id: r.text for r in rows} == {k: r.text for k, r in texts_of(odd_docs).items()}
