@@ -330,6 +330,109 @@ def test_scores(spark, tmp_path):
         assert r.base_score == pytest.approx(base) and r.score < 0
 
 
+class SlowMixer:
+    """The mixed model bit by bit in plain Python, with contexts as they are instead of slots."""
+
+    def __init__(self, words):
+        self.met = {}
+        for word, n in words.items():
+            for k, bit, keys in self.bits(word):
+                for key in keys:
+                    self.met.setdefault(key, [0, 0])[bit] += n
+        self.weights, self.seen, self.times = {}, {}, {}
+
+    @staticmethod
+    def bits(word):
+        data = word + b" "
+        for at, byte in enumerate(data):
+            befores = [data[max(0, at - order) : at] for order in range(5)] + [data[:at]]
+            for k in range(8):
+                partial = byte >> (8 - k)
+                keys = [(c, min(c, at) if c < 5 else at, before, k, partial) for c, before in enumerate(befores)]
+                yield k, byte >> (7 - k) & 1, keys
+
+    def predicted(self, k, keys, taken=None):
+        met = [list(self.met.get(key, (0, 0))) for key in keys]
+        if taken is not None:
+            for pair in met:
+                pair[taken] = max(pair[taken] - 1, 0)
+        odds = [math.log((one + 0.4) / (zero + 0.4)) for zero, one in met]
+        gate = tuple(min(int(math.log2(1 + sum(pair))), 7) for pair in met[4:])
+        mix = sum(w * o for w, o in zip(self.weights.get((gate, k), [0.3] * 6), odds))
+        return odds, gate, mix, min(max(round(mix / 0.75) + 16, 0), 32)
+
+    @staticmethod
+    def squash(x):
+        return 1 / (1 + math.exp(-min(max(x, -14), 14)))
+
+    def past(self, gate, bucket):
+        start = self.squash((bucket - 16) * 0.75) * 8
+        return self.seen.get((gate, bucket), start), self.times.get((gate, bucket), 8)
+
+    def fit(self, words):
+        for k in range(8):
+            steps = [(bit, *self.predicted(k, keys, bit)) for w in words for at, bit, keys in self.bits(w) if at == k]
+            crowd = Counter(gate for _, _, gate, _, _ in steps)
+            for bit, odds, gate, mix, bucket in steps:
+                step = 0.02 * (bit - self.squash(mix)) / math.sqrt(crowd[gate])
+                old = self.weights.get((gate, k), [0.3] * 6)
+                self.weights[gate, k] = [w + step * o for w, o in zip(old, odds)]
+                seen, times = self.past(gate, bucket)
+                self.seen[gate, bucket], self.times[gate, bucket] = seen + bit, times + 1
+
+    def cost(self, word):
+        total = 0.0
+        for k, bit, keys in self.bits(word):
+            _, gate, mix, bucket = self.predicted(k, keys)
+            seen, times = self.past(gate, bucket)
+            one = 0.5 * self.squash(mix) + 0.5 * seen / times
+            total += math.log10(one if bit else 1 - one)
+        return total
+
+
+def test_costs_against_brute_force():
+    words = {b"the": 40, b"then": 7, b"cat": 12, "é".encode(): 3, b"a": 25, b"at": 1}
+    counts = np.zeros((6, 2, context_mixing.SLOTS))
+    context_mixing._count(counts, list(words), np.array(list(words.values()), float))
+    model, slow = context_mixing.Model(counts.transpose(0, 2, 1).copy()), SlowMixer(words)
+    new = [*words, b"that", b"", b"catcatcat", b"zzz"]
+    assert model.costs(new) == pytest.approx([slow.cost(w) for w in new])
+    random.seed(4)
+    for _ in range(3):  # passes of one batch each
+        batch = random.choices(list(words), list(words.values()), k=60)
+        model.fit(batch)
+        slow.fit(batch)
+    assert model.costs(new) == pytest.approx([slow.cost(w) for w in new])
+
+
+def test_whole_scores_against_brute_force(spark, tmp_path, monkeypatch):
+    """Texts' scores from the words' costs, and the costs' tables from all training words."""
+    random.seed(6)
+    pool = [f"w{i}" for i in range(12)]
+    texts = [" ".join(random.choices(pool, k=random.randint(0, 150))) for _ in range(60)] + [None, "", "Neu w1 neu NEU"]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3).write.parquet(path)
+    made, learned = [], context_mixing._learned
+    monkeypatch.setattr(context_mixing, "_learned", lambda words: made.append(learned(words)) or made[0])
+    rows = {r.doc_id: r for r in context_mixing.scores(spark.read.parquet(path)).collect()}
+    tokens = {i: (t or "").encode().lower().split() for i, t in enumerate(texts)}
+    train = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(w for t in train for w in t)
+    n, ends = sum(counts.values()), len(train)
+    table = np.zeros((6, 2, context_mixing.SLOTS))
+    context_mixing._count(table, list(counts), np.array(list(counts.values()), float))
+    assert np.array_equal(made[0].counts, table.transpose(0, 2, 1))
+    words = sorted({w for t in tokens.values() for w in t})
+    cost = dict(zip(words, made[0].costs(words)))
+    for i, t in tokens.items():
+        score = math.log10((ends + 0.1) / (n + ends + 0.2)) + len(t) * math.log10((n + 0.1) / (n + ends + 0.2))
+        for at, w in enumerate(t):
+            recent = 0.3 * at / (at + 50)
+            whole = 0.5 * counts[w] / n + 0.5 * 10 ** cost[w]
+            score += math.log10((1 - recent) * whole + recent * t[:at].count(w) / max(at, 1))
+        assert rows[i].score == pytest.approx(score)
+
+
 def test_bit_probabilities_add_up():
     model = context_mixing.Model(np.random.default_rng(0).random((6, context_mixing.SLOTS, 2)).astype(np.float32))
     words = [bytes([b]) for b in range(256) if b != 32]
