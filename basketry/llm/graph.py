@@ -9,7 +9,6 @@ from .common import ROW, stored, with_row_id
 BROADCAST_ROWS = 500_000
 ONE_TASK_LINKS = 200_000
 HOT_SHARE = 1000
-HOT_PARTS = 256
 
 
 def join_few(rows: DataFrame, few: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -27,24 +26,27 @@ def join_spread(rows: DataFrame, groups: DataFrame, on: list[str], rows_in: str,
     """Join rows with their groups so that the rows of a hot group are spread over many tasks.
 
     `groups` is stored, with one row per value of `on` and its number of rows in `rows_in`.
-    A group is hot that has more than one in `HOT_SHARE` of the rows counted there, so there are fewer
-    than `HOT_SHARE`, which bounds what is broadcast: a hash of each.  Rows whose hash is a hot
-    one get one of `HOT_PARTS` numbers by their row id, and such groups a copy for each.  The
-    hash only spreads; rows and groups meet on `on` itself.
+    A group is hot that has more than one in `HOT_SHARE` of the rows counted there.  It is cut into
+    parts of about that share: its rows get the number of one by their row id, the group a copy
+    for each.  There are fewer than `HOT_SHARE` hot groups, which bounds what is broadcast (a
+    hash and the parts of each), and at most twice as many copies.  The hash only spreads; rows and
+    groups meet on `on` itself.
     """
     total = groups.agg(F.sum(rows_in).alias("n")).first()["n"] or 0
-    place = F.xxhash64(*on)
-    hot = groups.where(F.col(rows_in) * HOT_SHARE > total).select(place.alias("_hash")).distinct()
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    place, share = F.xxhash64(*on), F.col(rows_in) * HOT_SHARE
+    hot = groups.where(share > total).groupBy(place.alias("_hash")).agg(
+        F.max(F.ceil(share / total)).cast("int").alias("_parts")
+    )
 
     def marked(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_hash", place).join(hot, "_hash", "left").drop("_hash")
+        return frame.withColumn("_hash", place).join(F.broadcast(hot), "_hash", "left").drop("_hash")
 
-    part = F.pmod(F.xxhash64(ROW), F.lit(HOT_PARTS)).cast("int")
-    dealt = marked(rows).withColumn("_part", F.when(F.col("_hot"), part).otherwise(0)).drop("_hot")
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = marked(groups).withColumn("_part", F.explode(parts)).drop("_hot")
-    return dealt.join(copies, [*on, "_part"], how).drop("_part")
+    part = F.pmod(F.xxhash64(ROW), F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = marked(rows).withColumn("_part", part).drop("_parts")
+    copies = marked(groups).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    )
+    return dealt.join(copies.drop("_parts"), [*on, "_part"], how).drop("_part")
 
 
 def only_rows(frame: DataFrame, kept: DataFrame) -> DataFrame:

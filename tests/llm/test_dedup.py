@@ -197,8 +197,7 @@ def test_shards(odd_docs):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_rows_of_hot_groups_are_spread(spark, tmp_path, monkeypatch, how):
-    monkeypatch.setattr(graph, "HOT_SHARE", 10)
-    monkeypatch.setattr(graph, "HOT_PARTS", 64)
+    monkeypatch.setattr(graph, "HOT_SHARE", 100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
