@@ -433,6 +433,39 @@ def test_whole_scores_against_brute_force(spark, tmp_path, monkeypatch):
         assert rows[i].score == pytest.approx(score)
 
 
+def test_a_weighted_word_is_fitted_as_its_occurrences():
+    words = [b"the", b"cat"]
+    counts = np.zeros((6, 2, context_mixing.SLOTS))
+    context_mixing._count(counts, words, np.array([9.0, 9.0]))
+    weighted, plain = [context_mixing.Model(counts.transpose(0, 2, 1).copy()) for _ in range(2)]
+    weighted.fit(words, np.array([4, 4]))
+    plain.fit(words)
+    assert np.allclose(weighted.weights, plain.weights)  # all four times as heavy: the same mean
+    start = context_mixing.Model(plain.counts)
+    assert np.allclose(weighted.seen - start.seen, 4 * (plain.seen - start.seen))
+    assert np.allclose(weighted.times - start.times, 4 * (plain.times - start.times))
+
+
+def test_the_fit_takes_in_every_training_word(spark, monkeypatch):
+    """Rare, long and frequent words alike, in every shard; its tasks do not change it."""
+    random.seed(8)
+    words = {f"w{i}".encode(): random.choice([1, 2, 300]) for i in range(150)} | {b"x" * 5000: 1, b"unseen": 0}
+    schema = "word binary, n bigint"
+    monkeypatch.setattr(context_mixing, "SHARD_WORDS", 20)
+    models = [
+        context_mixing._learned(spark.createDataFrame(list(words.items()), schema).repartition(parts))
+        for parts in (1, 5)
+    ]
+    start = context_mixing.Model(models[0].counts)
+    bits = sum(8 * (len(w) + 1) * n for w, n in words.items())
+    assert (models[0].times - start.times).sum() == bits
+    for name in ("weights", "seen", "times"):
+        assert np.array_equal(getattr(models[0], name), getattr(models[1], name))
+    assert not np.array_equal(models[0].weights, start.weights)
+    empty = context_mixing._learned(spark.createDataFrame([], schema))
+    assert np.array_equal(empty.weights, start.weights) and np.array_equal(empty.times, start.times)
+
+
 def test_bit_probabilities_add_up():
     model = context_mixing.Model(np.random.default_rng(0).random((6, context_mixing.SLOTS, 2)).astype(np.float32))
     words = [bytes([b]) for b in range(256) if b != 32]
