@@ -21,6 +21,7 @@ from basketry.schema import CLUSTERED_BY
 
 FILE = "_metadata.file_name"
 ROWS_PER_FILE = 5_000_000
+SMALL_FILES = 256
 SAMPLE_ROWS = 100_000
 BITS = 5
 
@@ -104,6 +105,16 @@ def interleaved(ranks: Sequence[Column], bits: int) -> Column:
     return reduce(Column.bitwiseOR, parts)
 
 
+def files_for(n_lines: int, rows_per_file: int) -> int:
+    """How many files of about `rows_per_file` lines hold `n_lines`.
+
+    Each file costs a task, a row of zones and an open by its readers, whatever it holds.  So
+    `SMALL_FILES` grow with the table, up to `ROWS_PER_FILE` lines each, before there are more.
+    """
+    wanted = -(-n_lines // rows_per_file)
+    return max(1, min(wanted, SMALL_FILES), min(wanted, -(-n_lines // ROWS_PER_FILE)))
+
+
 def clustered(
     lines: DataFrame,
     columns: Sequence[str] = CLUSTERED_BY,
@@ -114,8 +125,8 @@ def clustered(
     """The same lines along the Z-order curve of some text columns, ready to be written.
 
     One shuffle by ranges of (place on the curve, hash of the line): a place that holds a
-    third of all lines is cut by hash, only copies of one whole line stay together.  An
-    empty table stays empty; lines with NULLs lie with the smallest values.
+    third of all lines is cut by hash, only copies of one whole line stay together.  Small
+    files are few (`files_for`).  An empty table stays empty; lines with NULLs lie with the smallest values.
     """
     n_lines = lines.count()
     edges = edges_of(lines, columns, 1 << bits, n_lines, sample_rows)
@@ -124,7 +135,7 @@ def clustered(
     ranked = lines.withColumns({**ranks, "_hash": F.xxhash64(*lines.columns)})
     ranked = ranked.withColumn("_curve", interleaved([F.col(r) for r in ranks], bits))
     return (
-        ranked.repartitionByRange(max(1, -(-n_lines // rows_per_file)), "_curve", "_hash")
+        ranked.repartitionByRange(files_for(n_lines, rows_per_file), "_curve", "_hash")
         .sortWithinPartitions("_curve", *columns)
         .select(*lines.columns)
     )

@@ -27,7 +27,7 @@ SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
 }
 
-# Small files, so that the given tables fill many.
+# Small files, so that the given tables fill many; larger ones have larger files (`layout.files_for`).
 LINES_PER_FILE = 2_000
 
 # Raw column -> its text, with missing-value tokens where a value is absent.

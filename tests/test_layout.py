@@ -190,6 +190,23 @@ def test_odd_lines_are_kept(spark, tmp_path):
     assert layout.zones(spark.read.parquet(str(tmp_path / "e"))).count() == 0
 
 
+def test_small_files_grow_before_there_are_more():
+    assert [layout.files_for(n, 2_000) for n in (0, 1, 2_000, 2_001, 512_000)] == [1, 1, 1, 2, 256]
+    assert layout.files_for(36_000_000, 2_000) == layout.files_for(216_000_000, 2_000) == 256
+    assert layout.files_for(5_000_000_000, 2_000) == layout.files_for(5_000_000_000, 5_000_000) == 1000
+    assert layout.files_for(5_000_000_000, 10_000_000) == 500
+
+
+def test_many_lines_in_small_files_are_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SMALL_FILES", 8)
+    schema = "invoice_year_month string, country string, stock_code string, n int"
+    rows = spark.createDataFrame([(f"20{n % 7:02}-01", "ABC"[n % 3], str(n % 50), n) for n in range(400)], schema)
+    layout.clustered(rows, rows_per_file=1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assertDataFrameEqual(table, rows)
+    assert 4 < len(table.inputFiles()) <= 8
+
+
 def test_ranks_interleave(spark):
     rows = spark.createDataFrame([(x, y) for x in range(8) for y in range(8)], "x int, y int")
     curve = rows.select("x", "y", layout.interleaved([F.col("x"), F.col("y")], 3).alias("z")).collect()
