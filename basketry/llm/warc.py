@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -48,12 +49,13 @@ def _record_id(kind: str, key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
+def _record(headers: list[tuple[str, Column]], *block: Column) -> Column:
     lines: list[Column] = [F.lit(VERSION)]
     for name, value in headers:
         lines.append(F.concat(F.lit(f"{name}: "), value))  # NULL values are skipped
-    lines.append(F.concat(F.lit("Content-Length: "), F.octet_length(F.encode(block, "UTF-8")).cast("string")))
-    return F.concat(F.concat_ws(EOL, *lines), F.lit(EOL * 2), block)
+    length = reduce(Column.__add__, [F.octet_length(part) for part in block])
+    lines.append(F.concat(F.lit("Content-Length: "), length.cast("string")))
+    return F.concat(F.concat_ws(EOL, *lines), F.lit(EOL * 2), *block)
 
 
 def _one_line(text: Column) -> Column:
@@ -97,9 +99,15 @@ def write_archives(
         payload.alias("_payload"),
         F.col(row).alias("_row"),
     )
-    # Digests and ids alone decide who responds; payloads stay out of that shuffle.
-    narrow = rows.select(
-        "_row", "_id", F.unhex(F.sha2(F.encode("_payload", "UTF-8"), 256)).alias("_sha")
+    # Digests and ids alone decide who responds; payloads stay out of that shuffle and are
+    # read and hashed once for all steps on them.
+    narrow = stored(
+        rows.select(
+            "_row",
+            "_id",
+            F.unhex(F.sha2(F.col("_payload").cast("binary"), 256)).alias("_sha"),
+            F.octet_length("_payload").alias("_bytes"),
+        )
     )
     best = narrow.groupBy("_sha").agg(
         F.max(F.struct("_id", "_row")).alias("_best"), F.count("*").alias("_n")
@@ -109,12 +117,24 @@ def write_archives(
         .where("_row <> _best._row")
         .select("_row", F.col("_best._row").alias("_of"), F.col("_best._id").alias("_of_id"))
     )
-    size = pages.select(F.sum(F.octet_length(payload) + 1500).alias("n")).first()["n"] or 0
-    rows = rows.repartition(max(1, size // archive_bytes), "_row").join(revisits, "_row", "left")
-    uri = _one_line(F.col("_url"))
-    own, page = _record_id("capture", F.col("_row")), F.coalesce(F.col("_id").cast("string"), F.lit(""))
+    size = narrow.select(F.sum(F.col("_bytes") + 1500).alias("n")).first()["n"] or 0
+    # Hashed on the narrow side, so that the payloads are not sorted for it.
+    rows = rows.repartition(max(1, size // archive_bytes), "_row").join(
+        revisits.hint("shuffle_hash"), "_row", "left"
+    )
+    # What several records hold is a column of its own, found once.
+    rows = rows.select(
+        "_row",
+        "_payload",
+        "_of",
+        "_of_id",
+        _one_line(F.col("_url")).alias("_uri"),
+        _record_id("capture", F.col("_row")).alias("_own"),
+        F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("_page"),
+    )
+    uri, own, page = F.col("_uri"), F.col("_own"), F.col("_page")
     is_revisit = F.col("_of").isNotNull()
-    digest = F.concat(F.lit("sha1:"), base32_sha1(F.encode("_payload", "UTF-8")))
+    digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("_payload").cast("binary")))
     head = F.concat(
         F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}X-Page: "), page, F.lit(EOL * 2)
     )
@@ -129,7 +149,8 @@ def write_archives(
             ("WARC-Profile", F.when(is_revisit, PROFILE)),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ],
-        F.when(is_revisit, head).otherwise(F.concat(head, F.col("_payload"))),
+        head,
+        F.when(is_revisit, "").otherwise(F.col("_payload")),
     )
     request = _record(
         [
@@ -151,7 +172,7 @@ def write_archives(
         ],
         F.concat(
             F.lit("page: "), page, F.lit(f"{EOL}payload-bytes: "),
-            F.octet_length(F.encode("_payload", "UTF-8")).cast("string"),
+            F.octet_length("_payload").cast("string"),
             F.coalesce(F.concat(F.lit(f"{EOL}refers-to-page: "), F.col("_of_id").cast("string")), F.lit("")),
             F.lit(EOL),
         ),
