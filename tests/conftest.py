@@ -19,3 +19,10 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_cached(spark):
+    """What a module caches shows in no other module's plans."""
+    yield
+    spark.catalog.clearCache()
