@@ -20,9 +20,19 @@ def sales_fact(silver: DataFrame) -> DataFrame:
     return silver
 
 
-def product_metrics(silver: DataFrame) -> DataFrame:
-    """Per (description, code): units, revenue, cancelled lines, invoices."""
-    return silver.groupBy("product_description", "stock_code").agg(
+def product_metrics(silver: DataFrame, n_tasks: int | None = None) -> DataFrame:
+    """Per (description, code): units, revenue, cancelled lines, invoices.
+
+    There are nearly as many (product, invoice) pairs as lines, so combining pairs before the
+    shuffle saves nothing and holds a task's lines in memory.  With `n_tasks` the lines are
+    hashed by pair over so many tasks first: what a task holds is then its share of the lines,
+    whatever the session's number of shuffle partitions.
+    """
+    keys = ["product_description", "stock_code"]
+    if n_tasks:
+        lines = silver.select(*keys, "invoice_no", "quantity", "total_line_price", "is_cancelled")
+        silver = lines.repartition(n_tasks, *keys, "invoice_no")
+    return silver.groupBy(*keys).agg(
         F.sum("quantity").alias("net_units_sold"),
         F.sum("total_line_price").alias("net_revenue"),
         F.sum("is_cancelled").alias("total_cancellations"),

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators import gold, layout, silver
-from basketry.schema import FACT, ZONES
+from basketry.schema import FACT, PRODUCT, ZONES
 from basketry.sources.golden import normalise_golden
 from basketry.sources.raw_csv import normalise
 
@@ -30,6 +30,9 @@ SCHEMAS = {
 # Small files, so that the given tables fill many; larger ones have larger files (`layout.files_for`).
 LINES_PER_FILE = 2_000
 
+# A task that sorts or groups lines holds about as many of them.
+LINES_PER_TASK = 250_000
+
 # Raw column -> its text, with missing-value tokens where a value is absent.
 _RAW_TEXT = {
     "Invoice": """concat(
@@ -68,21 +71,35 @@ def _keyed(spark: SparkSession, sf_dir: str, name: str, **renamed: str) -> DataF
     return table(spark, sf_dir, name).withColumnsRenamed(renamed)
 
 
+def line_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """How many tasks hold the lines at `LINES_PER_TASK` each; None where the session's cores do.
+
+    The count comes from the footers of the files.
+    """
+    wanted = -(-table(spark, sf_dir, "lineitem").count() // LINES_PER_TASK)
+    return wanted if wanted > spark.sparkContext.defaultParallelism else None
+
+
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail lines as a raw file holds them: eight text columns, tokens for gaps.
 
     Orders meet their customers first, so the lines, by far the largest input,
-    are shuffled for two joins at most and not for four.
+    are shuffled for two joins at most and not for four.  Many lines meet their orders in
+    as many tasks as their number asks for, or in the session's number if that is larger.
     """
+    n_tasks = line_tasks(spark, sf_dir)
     customers = _keyed(spark, sf_dir, "customer", c_custkey="o_custkey").join(
         _keyed(spark, sf_dir, "nation", n_nationkey="c_nationkey"), "c_nationkey"
     )
     orders = _keyed(spark, sf_dir, "orders", o_orderkey="l_orderkey").join(customers, "o_custkey")
+    # However few row groups hold the lines, the work on them is spread; beyond
+    # broadcast size the join needs this partitioning anyway.
+    spread = [n_tasks, "l_orderkey"] if n_tasks else ["l_orderkey"]
+    if n_tasks:
+        orders = orders.repartition(*spread)
     return (
         table(spark, sf_dir, "lineitem")
-        # However few row groups hold the lines, the work on them is spread; beyond
-        # broadcast size the join needs this partitioning anyway.
-        .repartition("l_orderkey")
+        .repartition(*spread)
         .join(orders, "l_orderkey")
         .join(_keyed(spark, sf_dir, "part", p_partkey="l_partkey"), "l_partkey")
         .selectExpr(*[f"{text} AS `{name}`" for name, text in _RAW_TEXT.items()])
@@ -98,7 +115,10 @@ def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return gold.BUILDERS[name](silver_lines(spark, sf_dir))
+    lines = silver_lines(spark, sf_dir)
+    if name == PRODUCT:
+        return gold.product_metrics(lines, line_tasks(spark, sf_dir))
+    return gold.BUILDERS[name](lines)
 
 
 def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:

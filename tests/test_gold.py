@@ -62,6 +62,51 @@ def test_product_metrics_group_by_description_and_code(lines):
     }
 
 
+@pytest.mark.parametrize("n_tasks", [1, 7, 50])
+def test_product_metrics_over_a_number_of_tasks(spark, lines, n_tasks):
+    """Odd lines twice, lines without any cell of the key, and a product with most of the lines."""
+    odd = [line("8", 1, "2", product=None, code=None), line("8", 5, "2", product=None, code=None)]
+    hot = [line(f"{'C' * (i % 5 == 0)}{i // 2}", i % 3, "0.5", product="BAG", code="2") for i in range(400)]
+    no_invoice = [(None, *line("9", 4, "1")[1:]), (None, *line("9", 4, "1", product="BAG", code="2")[1:])]
+    given_lines = lines.unionByName(lines).unionByName(spark.createDataFrame(odd + hot + no_invoice, SILVER_SCHEMA))
+    plain, spread = gold.product_metrics(given_lines), gold.product_metrics(given_lines, n_tasks)
+    assert spread.schema == plain.schema
+    keys = ("product_description", "stock_code")
+    found = rows(spread, *keys)
+    assert found == rows(plain, *keys) and len(found) == 4
+    assert found["CUP", "1"]["distinct_transactions"] == 6
+    assert found["BAG", "2"]["distinct_transactions"] == len({row[0] for row in hot})
+    assert found[None, None]["distinct_transactions"] == 1
+
+
+def test_product_metrics_hold_a_share_of_the_lines_a_task(spark, lines):
+    """Pairs of product and invoice are grouped behind the shuffle only, over the tasks asked for."""
+    plan = gold.product_metrics(lines, 7)._jdf.queryExecution().executedPlan().toString()
+    pairs = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "invoice_no" in x]
+    assert len(pairs) == 1 and ", 7)" in pairs[0]
+    assert "HashAggregate" not in plan[plan.index(pairs[0]):]
+
+
+def test_tasks_grow_with_the_lines(spark, monkeypatch):
+    import __spark_entry__ as entry_point
+
+    def result(name):
+        return sorted(map(str, entry_point.queries()[name](spark, SF).collect()))
+
+    names = ("gold_product_metrics", "gold_product_positions", "bronze_raw")
+    plain = {name: result(name) for name in names}
+    lines = given.table(spark, SF, "lineitem").count()
+    assert given.line_tasks(spark, SF) is None
+    monkeypatch.setattr(given, "LINES_PER_TASK", 100)
+    n_tasks = given.line_tasks(spark, SF)
+    assert n_tasks == -(-lines // 100) > spark.sparkContext.defaultParallelism
+    assert {name: result(name) for name in names} == plain
+    joined = given.raw_text(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert f", {n_tasks}), REPARTITION_BY_NUM" in joined
+    monkeypatch.setattr(given, "LINES_PER_TASK", 50)
+    assert given.line_tasks(spark, SF) == -(-lines // 50)
+
+
 def test_country_metrics_leave_guests_out_of_customers_only(lines):
     result = rows(gold.country_metrics(lines), "country")
     assert result["FR",] == {
