@@ -80,14 +80,13 @@ def line_tasks(spark: SparkSession, sf_dir: str) -> int | None:
     return wanted if wanted > spark.sparkContext.defaultParallelism else None
 
 
-def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_text(spark: SparkSession, sf_dir: str, n_tasks: int | None = None) -> DataFrame:
     """Retail lines as a raw file holds them: eight text columns, tokens for gaps.
 
     Orders meet their customers first, so the lines, by far the largest input,
-    are shuffled for two joins at most and not for four.  Many lines meet their orders in
-    as many tasks as their number asks for, or in the session's number if that is larger.
+    are shuffled for two joins at most and not for four.  With `n_tasks`
+    they meet their orders in so many tasks, or in the session's number if that is larger.
     """
-    n_tasks = line_tasks(spark, sf_dir)
     customers = _keyed(spark, sf_dir, "customer", c_custkey="o_custkey").join(
         _keyed(spark, sf_dir, "nation", n_nationkey="c_nationkey"), "c_nationkey"
     )
@@ -106,19 +105,19 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalise(raw_text(spark, sf_dir))
+def bronze(spark: SparkSession, sf_dir: str, n_tasks: int | None = None) -> DataFrame:
+    return normalise(raw_text(spark, sf_dir, n_tasks))
 
 
-def silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.cleanse(bronze(spark, sf_dir))
+def silver_lines(spark: SparkSession, sf_dir: str, n_tasks: int | None = None) -> DataFrame:
+    return silver.cleanse(bronze(spark, sf_dir, n_tasks))
 
 
 def gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    lines = silver_lines(spark, sf_dir)
     if name == PRODUCT:
-        return gold.product_metrics(lines, line_tasks(spark, sf_dir))
-    return gold.BUILDERS[name](lines)
+        n_tasks = line_tasks(spark, sf_dir)
+        return gold.product_metrics(silver_lines(spark, sf_dir, n_tasks), n_tasks)
+    return gold.BUILDERS[name](silver_lines(spark, sf_dir))
 
 
 def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
